@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from . import op10_lines
 from .op2_sharding import op2_vector_bin_packing
+from .op3_pii import op3_feistel_pseudonyms
+from .op10_lines import op10_line_frequency
 
-QUERIES = {f.__name__: f for f in (op2_vector_bin_packing,)}
+QUERIES = {f.__name__: f for f in (op2_vector_bin_packing, op3_feistel_pseudonyms, op10_line_frequency)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_line_frequency": op10_lines.ORACLE}
