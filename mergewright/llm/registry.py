@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import op10_lines
+from . import op9_licences, op10_lines
 from .op2_sharding import op2_vector_bin_packing
 from .op3_pii import op3_feistel_pseudonyms
+from .op9_licences import op9_licence_dice
 from .op10_lines import op10_line_frequency
 
-QUERIES = {f.__name__: f for f in (op2_vector_bin_packing, op3_feistel_pseudonyms, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op2_vector_bin_packing, op3_feistel_pseudonyms, op9_licence_dice, op10_line_frequency)}
 
-ORACLES: dict[str, str] = {"op10_line_frequency": op10_lines.ORACLE}
+ORACLES: dict[str, str] = {"op9_licence_dice": op9_licences.ORACLE, "op10_line_frequency": op10_lines.ORACLE}
