@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import by_value
+
+by_value(__name__)
+
 #: Bytes that separate words: space and \t \n \v \f \r.
 SPACE_BYTES = (32, 9, 10, 11, 12, 13)
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -46,6 +51,12 @@ def unstash(*dfs: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps, which nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few documents, for some documents are long."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:

@@ -17,8 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import by_value
 from .common import components, stash, unstash
 
+by_value(__name__)
+
 COSINE = 0.98
 #: Rows wanted in a shard, and from how many on a shard is cut into blocks.
 SHARD, BLOCK = 1500, 4000

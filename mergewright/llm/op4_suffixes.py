@@ -13,7 +13,6 @@ covered whole. Repeated stretches are merged within a map task, so a passage in
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -21,7 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, n_shuffle, powers, small_batches, stash, text_chunks, unstash
+from ..shipping import by_value
+from .common import mix, n_shuffle, powers, release, small_batches, stash, text_chunks, unstash
+
+by_value(__name__)
 
 WINDOW, GRAM = 200, 40
 _BASE = 0xD1342543DE82EF95 | 1
@@ -350,12 +352,6 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def release(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps, which nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def removed_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text).
 

@@ -17,8 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import by_value
 from .common import n_shuffle, small_batches, stash
 
+by_value(__name__)
+
 DIMS, BITS = 4, 10
 TOKENS = "uid long, doc_id long, key long, n long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -6,9 +6,12 @@ Hamming distance of two sketches is at most the symmetric difference of the sets
 allows a symmetric difference of d = (100 - s) * (a + b) / (100 + s), so that at most d segments differ (pigeonhole).
 Of the non-empty segments of a set, in one global order, the first d + 1 therefore include one that is equal in both;
 only these are joined (by a fingerprint of their parities). The order puts rare shingles first, by a count-min sketch
-of fixed size over all documents. A set also joins the next lower band if a partner there is possible. Sets that share
-a segment are verified exactly. In groups of many sets only pairs with one of them are verified at first; pairs of
-sets that are then still in different components follow, so no link that joins components is lost.
+of fixed size over all documents. A set also joins the next lower band if a partner there is possible.
+
+Pairs whose folded sketches (two to four bits for each shingle) differ in more than d bits are dropped; the others are
+verified exactly, as far as they can still join components: first each set with its nearest partner, then the pairs
+that are still in different components. A group with a common segment gives pairs with one of its sets at first, and
+the pairs of components that it still spans then, so no link that joins components is lost.
 
 Sets are named by the sum of their mixed hashes (64 bits); documents with equal sets are one set throughout.
 """
@@ -20,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, n_shuffle, small_batches, stash, text_chunks, unstash, word_hashes
+from ..shipping import by_value
+from .common import components, mix, n_shuffle, release, small_batches, stash, text_chunks, unstash, word_hashes
+
+by_value(__name__)
 
 #: Shingle length in words and least Jaccard similarity in percent.
 WORDS, PERCENT = 5, 75
 #: Counters of the count-min sketch, and parts in which it is merged.
 COUNTERS, SLICES = 1 << 20, 16
-#: In groups of up to so many sets all pairs are verified at once.
-SMALL = 8
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
 _RECORD = np.dtype([("sig", "<u8"), ("node", "<u8")])
 
@@ -76,14 +80,35 @@ def counter(g: np.ndarray) -> np.ndarray:
     return (g >> np.uint64(20)).astype(np.int64) & (COUNTERS - 1)
 
 
+def sketches(g: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity sketches of sets given one after the other: at least two bits for each member, a power of two of them."""
+    out = []
+    ends = np.cumsum(n)
+    for k, e in zip(n.tolist(), ends.tolist(), strict=True):
+        bits = 1 << max(6, (2 * k - 1).bit_length())
+        at = (g[e - k : e] >> np.uint64(8)).astype(np.int64) & (bits - 1)
+        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool), bitorder="little").tobytes() if k else b"")
+    return out
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches, the longer one folded: at most the symmetric difference of the sets."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n) of each document; and rows with part, slice and counts: a task's share of the count-min sketch."""
+    """(doc_id, node, n, sketch) of each document; and rows with part, slice and counts: a task's share of the count-min sketch."""
 
     def run(batches):
         from pyspark import TaskContext
 
         counts, any_rows = np.zeros(COUNTERS, np.int64), False
-        names = ["doc_id", "node", "n", "part", "slice", "counts"]
+        names = ["doc_id", "node", "n", "sketch", "part", "slice", "counts"]
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 any_rows = True
@@ -91,15 +116,15 @@ def described(docs: DataFrame) -> DataFrame:
                 node, n = set_names(g, own, len(offsets) - 1)
                 counts += np.bincount(counter(g), minlength=COUNTERS)
                 none = pa.nulls(len(n), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node.view(np.int64)), pa.array(n), none, none, pa.nulls(len(n), pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node.view(np.int64)), pa.array(n), pa.array(sketches(g, n), pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names)
         if any_rows:
             blobs = [np.minimum(x, 65535).astype("<u2").tobytes() for x in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
+                [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
             )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, part int, slice int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, node long, n long, sketch binary, part int, slice int, counts binary")
 
 
 def merged_counts(shares: DataFrame) -> np.ndarray:
@@ -231,7 +256,7 @@ def shown(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
 
 
 def met(records: DataFrame) -> DataFrame:
-    """Groups of sets with a common signature: pairs (a, b) to verify, and for larger groups rows (sig, b) of all members."""
+    """Groups of sets with a common signature: pairs (a, b) of its first set and each other one, and for groups of over two rows (sig, b) of all members."""
 
     def run(batches):
         blobs = [np.frombuffer(x, _RECORD) for batch in batches for x in batch.column("records").to_pylist()]
@@ -249,21 +274,12 @@ def met(records: DataFrame) -> DataFrame:
         size = np.repeat(sizes, sizes)
         some = size > 1
         sig, node, size = sig[some], node[some], size[some]
-        group = np.cumsum(np.concatenate([[True], sig[1:] != sig[:-1]])) - 1 if len(sig) else np.zeros(0, np.int64)
-        a, b = [], []
-        for k in range(1, SMALL):
-            if len(sig) > k:
-                same = (group[k:] == group[:-k]) & (size[k:] <= SMALL)
-                a.append(node[:-k][same])
-                b.append(node[k:][same])
-        large = size > SMALL
-        if large.any():
-            lead = np.concatenate([[True], group[1:] != group[:-1]])
-            pivot = node[np.flatnonzero(lead)][group]
-            a.append(pivot[large & ~lead])
-            b.append(node[large & ~lead])
-        if a:
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1).view([("a", "<u8"), ("b", "<u8")]).ravel())
+        lead = np.concatenate([[True], sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, bool)
+        pivot = node[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+        large = size > 2
+        a, b = pivot[~lead], node[~lead]
+        if len(a):
+            pairs = np.unique(np.stack([a, b], 1).view([("a", "<u8"), ("b", "<u8")]).ravel())
             for at in range(0, len(pairs), 100_000):
                 p = pairs[at : at + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(p["a"].copy().view(np.int64)), pa.array(p["b"].copy().view(np.int64)), pa.nulls(len(p), pa.int64())], ["a", "b", "sig"])
@@ -275,6 +291,25 @@ def met(records: DataFrame) -> DataFrame:
     return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(run, "a long, b long, sig long")
 
 
+def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, far) of the pairs (a, b) that their sizes and sketches allow to be similar; far: sketch distance to total size."""
+
+    def run(batches):
+        for batch in batches:
+            far, keep = [], []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+                d = sketch_distance(x, y)
+                keep.append(d * (100 + percent) <= (100 - percent) * (n + m))
+                far.append(d / (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64())], ["a", "b", "far"]).filter(pa.array(keep, pa.bool_()))
+
+    left = classes.select(F.col("node").alias("a"), "n", F.col("sketch").alias("x"))
+    right = classes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    # Sizes first, so that few sketches travel.
+    fit = pairs.join(left.select("a", "n"), "a").join(right.select("b", "m"), "b").where(f"{percent} * greatest(n, m) <= 100 * least(n, m)")
+    return fit.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long, far double")
+
+
 def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, members) of the named sets, from a document of each; members: sorted hashes of 48 bits, in 6 bytes each."""
     wanted = stash(classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node"), "wanted")
@@ -322,6 +357,17 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The similar ones of the pairs (a, b), as a table."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = stash(sets_of(docs, nodes, classes), "members")
+    release(docs.sparkSession)
+    links = stash(linked(pairs, sets, percent), "links")
+    unstash(sets)
+    release(docs.sparkSession)
+    return links
+
+
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id, text).
 
@@ -335,39 +381,48 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     all_rows = stash(described(docs), "sets")
     rows = all_rows.where("part IS NULL").select("doc_id", "node", "n")
     counts = merged_counts(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    classes = all_rows.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("node")
+    classes = stash(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     named = docs.where("doc_id IS NOT NULL")
     groups = stash(met(shown(named, counts, percent)), "groups")
-    pairs = stash(groups.where("sig IS NULL").select("a", "b").distinct(), "pairs")
-    nodes = lambda p: p.select(F.col("a").alias("node")).union(p.select("b")).distinct()
-    sets = stash(sets_of(named, nodes(pairs), classes), "members")
-    links = stash(linked(pairs, sets, percent), "links")
-    unstash(sets)
+    release(spark)
+    pairs = stash(near(groups.where("sig IS NULL").select("a", "b").distinct(), classes, percent), "pairs")
+    first = stash(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), "nearest")
+    links = verified(named, first, classes, percent)
+    label = stash(components(links, "a", "b"), "labels")
+    rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
     large = groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node"))
-    if not large.isEmpty():
-        label = stash(components(links, "a", "b"), "labels")
-        member = stash(large.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("label")), "large")
-        tags = member.select("sig", "label").distinct()
-        tags = tags.join(tags.groupBy("sig").count().where("count > 1").select("sig"), "sig")
+    tags = large.join(label, "node", "left").select("sig", F.coalesce("component", "node").alias("label")).distinct()
+    tags = stash(tags.join(tags.groupBy("sig").count().where("count > 1").select("sig"), "sig"), "tags")
+    if not tags.isEmpty():
         apart = tags.join(tags.withColumnRenamed("label", "other"), "sig").where("label < other").select("label", "other").distinct()
-        whole = member.select("label", "node").union(label.select(F.col("component").alias("label"), "node")).distinct()
-        more = apart.join(whole.withColumnRenamed("node", "p"), "label").join(whole.select(F.col("label").alias("other"), F.col("node").alias("q")), "other")
-        more = more.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = stash(more.join(done, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            sets = stash(sets_of(named, nodes(more), classes), "members")
-            links = links.union(stash(linked(more, sets, percent), "links"))
-            unstash(sets)
-        unstash(member)
+        # The members of two components that a group spans; those of a component of one set are that set.
+        whole = label.select("node", F.col("component").alias("label")).union(tags.select(F.col("label").alias("node"), "label")).distinct()
+        spanned = apart.join(whole.withColumnRenamed("node", "p"), "label").join(whole.select(F.col("label").alias("other"), F.col("node").alias("q")), "other")
+        spanned = spanned.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+        order = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        spanned = spanned.join(order(pairs), ["a", "b"], "left_anti")
+        rest.append(near(spanned, classes, percent).select("a", "b"))
+    more = stash(rest[0] if len(rest) == 1 else rest[0].union(rest[1]).distinct(), "pairs")
+    release(spark)
+    if not more.isEmpty():
+        links = links.union(verified(named, more, classes, percent))
     unstash(groups)
-    by_id = links.join(classes.select(F.col("node").alias("a"), F.col("rep").alias("u")), "a").join(classes.select(F.col("node").alias("b"), F.col("rep").alias("v")), "b")
+    reps = classes.select("node", "rep")
+    by_id = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("u")), "a").join(reps.select(F.col("node").alias("b"), F.col("rep").alias("v")), "b")
     found = components(by_id, "u", "v")
-    home = classes.join(found, classes["rep"] == found["node"], "left").select(classes["node"], F.coalesce("component", "rep").alias("component_id"))
+    home = reps.join(found.withColumnRenamed("node", "u"), F.col("rep") == F.col("u"), "left").select("node", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(home, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
+def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose ends are in different components."""
+    out = pairs.join(label.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left")
+    out = out.join(label.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left")
+    return out.where("p IS NULL OR q IS NULL OR p <> q").select("a", "b")
+
+
 def op7_parity_sketch_join(spark, sf_dir: str) -> DataFrame:
     return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -14,8 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import by_value
 from .common import mix, small_batches, stash, text_chunks, word_hashes
 
+by_value(__name__)
+
 #: Labelled rows to fit on, at most: those whose hashed doc_id is least.
 SAMPLE = 20_000
 #: A score from here on predicts label 1.
