@@ -8,10 +8,15 @@ by a hash of doc_id, so that the kept tokens have the target marginals in expect
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SPACE_CHARS
+from ..shipping import by_value
+from .common import small_batches, stash, text_chunks
+
+by_value(__name__)
 
 #: Targets of a marginal without weights of its own: its shares to this power, scaled to one.
 POWER = 0.7
@@ -22,25 +27,40 @@ CELLS = 200_000
 MARGINS = ("source", "lang", "topic")
 
 
-def tokens_of(text: Column) -> Column:
-    """Words and separators in a row count as one; at least 1."""
-    t = F.coalesce(text, F.lit(""))
-    return (F.length(t) - F.length(F.translate(t, SPACE_CHARS, "")) + 1).cast("long")
+TOPICS = np.array(["table", "markup", "shouted", "long prose", "prose"])
+#: Classes of bytes: white space, pipe, markup, exclamation, others.
+_CLASS = np.full(256, 4, np.int64)
+_CLASS[list(b" \t\n\x0b\x0c\r")], _CLASS[ord("|")], _CLASS[list(b"#*$%&<>")], _CLASS[ord("!")] = 0, 1, 2, 3
+
+
+def forms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens (words, at least 1) and topic by form of texts given end to end: table (2 % pipes), markup (5 % signs),
+    shouted (5 % exclamation marks), long prose (over 4,000 bytes) or prose."""
+    docs, size = len(offsets) - 1, np.diff(offsets)
+    kind = _CLASS[data]
+    owner = np.repeat(np.arange(docs), size)
+    counts = np.bincount(owner * 5 + kind, minlength=docs * 5).reshape(docs, 5)
+    start = kind != 0
+    start[1:] &= (kind[:-1] == 0) | (owner[1:] != owner[:-1])
+    tokens = np.maximum(np.bincount(owner[start], minlength=docs), 1)
+    n = np.maximum(size, 1)
+    topic = np.select([counts[:, 1] * 100 >= 2 * n, counts[:, 2] * 100 >= 5 * n, counts[:, 3] * 100 >= 5 * n, size > 4000], [0, 1, 2, 3], 4)
+    return tokens, TOPICS[np.where(size > 0, topic, 4)]
+
+
+def measured(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+    """docs with mix_tokens and mix_topic of each whole text, with or without the text."""
+    small_batches(docs.sparkSession)
+    names = [c for c in docs.columns if keep_text or c != "text"]
 
+    def run(batches):
+        for batch in batches:
+            for part, data, offsets in text_chunks(batch, "text"):
+                tokens, topic = forms(data, offsets)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(tokens, pa.int64()), pa.array(topic)], [*names, "mix_tokens", "mix_topic"])
 
-def topic_of(text: Column) -> Column:
-    """A topic by the form of the text: table, markup, shouted, notice (licence words), long prose or prose."""
-    t = F.coalesce(text, F.lit(""))
-    n = F.length(t) + 1
-    share = lambda chars: (F.length(t) - F.length(F.translate(t, chars, ""))) * 100 / n
-    return (
-        F.when(share("|") >= 2, "table")
-        .when(share("#*$%&<>") >= 5, "markup")
-        .when(share("!") >= 5, "shouted")
-        .when(F.lower(t).rlike("licen[sc]e|all rights reserved"), "notice")
-        .when(n > 4000, "long prose")
-        .otherwise("prose")
-    )
+    schema = T.StructType([f for f in docs.schema if f.name in names] + [T.StructField("mix_tokens", T.LongType()), T.StructField("mix_topic", T.StringType())])
+    return docs.mapInArrow(run, schema)
 
 
 def rake(table: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray], rounds: int = 500, tolerance: float = 1e-9) -> np.ndarray:
@@ -79,21 +99,15 @@ def calibrated(raked: np.ndarray, tokens: np.ndarray, share: float) -> np.ndarra
     return np.where(ratio > 0, 1.0, 0.0)
 
 
-def mixed(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE) -> DataFrame:
-    """docs with tokens, topic, probability and kept appended, under the names mix_tokens, mix_topic, mix_probability, mix_kept.
+def margins() -> dict:
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x00null"))
+    return {"source": value("source"), "lang": value("lang"), "topic": F.col("mix_topic")}
 
-    weights: targets by marginal (source, lang, topic) and value; a marginal without them gets its shares of tokens
-    to `power`. A null source or language is a value of its own. A null or empty text has one token. Equal doc_ids are
-    kept or dropped together within a cell; a null doc_id is sampled as -1. An empty table gives an empty result. Other
-    columns pass through.
-    """
-    spark = docs.sparkSession
+
+def chances(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE) -> list[tuple[str, str, str, float]]:
+    """(source, lang, topic, probability) of each cell of measured docs: at most CELLS, and one for the rest of each language and topic."""
     weights = weights or {}
-    keyed = docs.drop("mix_tokens", "mix_topic", "mix_probability", "mix_kept").withColumns({"mix_tokens": tokens_of(F.col("text")), "mix_topic": topic_of(F.col("text"))})
-    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x00null"))
-    names = {"source": value("source"), "lang": value("lang"), "topic": F.col("mix_topic")}
-    cells = keyed.groupBy(*[c.alias(k) for k, c in names.items()]).agg(F.sum("mix_tokens").alias("tokens"))
-    # A bounded number of cells: the largest; the rest of each language and topic is raked as one source.
+    cells = docs.groupBy(*[c.alias(k) for k, c in margins().items()]).agg(F.sum("mix_tokens").alias("tokens"))
     top = cells.orderBy(F.desc("tokens"), *MARGINS).limit(CELLS).collect()
     rest = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect() if len(top) == CELLS else []
     table = [(r.source, r.lang, r.topic, r.tokens) for r in top]
@@ -101,27 +115,45 @@ def mixed(docs: DataFrame, weights: dict[str, dict] | None = None, power: float
         left = r.tokens - sum(t for _, g, k, t in table if (g, k) == (r.lang, r.topic))
         if left > 0:
             table.append(("\x00rest", r.lang, r.topic, left))
-    out = []
-    if table:
-        tokens = np.array([t[3] for t in table], np.int64)
-        codes, targets = [], []
-        for k, margin in enumerate(MARGINS):
-            found, code = np.unique([t[k] for t in table], return_inverse=True)
-            codes.append(code)
-            targets.append(shares(found.tolist(), np.bincount(code, tokens), weights.get(margin), power))
-        p = calibrated(rake(tokens / tokens.sum(), codes, targets), tokens, share)
-        out = [(s, g, k, float(x)) for (s, g, k, _), x in zip(table, p, strict=True)]
-    chances = spark.createDataFrame(out, "m_source string, m_lang string, m_topic string, mix_probability double")
-    other = chances.where("m_source = '\x00rest'").select(F.col("m_lang").alias("r_lang"), F.col("m_topic").alias("r_topic"), F.col("mix_probability").alias("r_probability"))
+    if not table:
+        return []
+    tokens = np.array([t[3] for t in table], np.int64)
+    codes, targets = [], []
+    for k, margin in enumerate(MARGINS):
+        found, code = np.unique([t[k] for t in table], return_inverse=True)
+        codes.append(code)
+        targets.append(shares(found.tolist(), np.bincount(code, tokens), weights.get(margin), power))
+    p = calibrated(rake(tokens / tokens.sum(), codes, targets), tokens, share)
+    return [(s, g, k, float(x)) for (s, g, k, _), x in zip(table, p, strict=True)]
+
+
+def sampled(docs: DataFrame, cells: list[tuple[str, str, str, float]]) -> DataFrame:
+    """Measured docs with mix_probability and mix_kept."""
+    names = margins()
+    known = docs.sparkSession.createDataFrame(cells, "m_source string, m_lang string, m_topic string, m_probability double")
+    other = known.where("m_source = '\x00rest'").select(F.col("m_lang").alias("r_lang"), F.col("m_topic").alias("r_topic"), F.col("m_probability").alias("r_probability"))
     # Both are of at most CELLS rows and a row for each language and topic.
-    joined = keyed.join(F.broadcast(chances), (names["source"] == F.col("m_source")) & (names["lang"] == F.col("m_lang")) & (names["topic"] == F.col("m_topic")), "left")
+    joined = docs.join(F.broadcast(known), (names["source"] == F.col("m_source")) & (names["lang"] == F.col("m_lang")) & (names["topic"] == F.col("m_topic")), "left")
     joined = joined.join(F.broadcast(other), (names["lang"] == F.col("r_lang")) & (names["topic"] == F.col("r_topic")), "left")
-    chance = F.coalesce("mix_probability", "r_probability")
+    chance = F.coalesce("m_probability", "r_probability")
     draw = F.conv(F.substr(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id"), F.lit(-1)).cast("string"))), F.lit(1), F.lit(12)), 16, 10).cast("double") / float(2**48)
-    return joined.select(*keyed.columns, chance.alias("mix_probability"), (draw < chance).alias("mix_kept"))
+    return joined.select(*docs.columns, chance.alias("mix_probability"), (draw < chance).alias("mix_kept"))
+
+
+def mixed(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE) -> DataFrame:
+    """docs with mix_tokens, mix_topic, mix_probability and mix_kept appended.
+
+    weights: targets by marginal (source, lang, topic) and value; a marginal without them gets its shares of tokens
+    to `power`. A null source or language is a value of its own. A null or empty text has one token and is prose. Equal
+    doc_ids are kept or dropped together within a cell; a null doc_id is sampled as -1. An empty table gives an empty
+    result. Other columns pass through; earlier columns of the four names are replaced.
+    """
+    docs = docs.drop("mix_tokens", "mix_topic", "mix_probability", "mix_kept")
+    return sampled(measured(docs), chances(measured(docs.select("source", "lang", "text"), False), weights, power, share))
 
 
 def op6_raked_mixture(spark, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability, kept of all documents."""
-    out = mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = stash(measured(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text"), False), "forms")
+    out = sampled(docs, chances(docs))
     return out.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.col("mix_probability").alias("probability"), F.col("mix_kept").alias("kept"))
