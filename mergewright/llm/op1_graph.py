@@ -24,7 +24,7 @@ by_value(__name__)
 
 COSINE = 0.98
 #: Rows wanted in a shard, and from how many on a shard is cut into blocks.
-SHARD, BLOCK = 1500, 4000
+SHARD, BLOCK = 400, 4000
 #: Centres in all labels, at most (a sample of vectors).
 CENTRES = 65_536
 #: Candidates and kept neighbours of a vertex, pruning factor, beam of the search.
@@ -63,41 +63,76 @@ def robust_lists(x: np.ndarray, candidates: int = CANDIDATES, degree: int = DEGR
     return out
 
 
-def range_search(x: np.ndarray, lists: np.ndarray, start: int, cosine: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(query, found): for each row the rows with cosine of at least `cosine` that its search meets."""
+def neighbours(starts: np.ndarray, flat: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into v, neighbour) for each neighbour of the vertices v; lists are flat[starts[v] : starts[v + 1]]."""
+    size = starts[v + 1] - starts[v]
+    owner = np.repeat(np.arange(len(v)), size)
+    return owner, flat[np.repeat(starts[v] - (np.cumsum(size) - size), size) + np.arange(len(owner))]
+
+
+def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoid: int, cosine: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+    """(query, found): for each row the rows with cosine of at least `cosine` that its search meets.
+
+    First a greedy search with a beam; then from all met vertices in range to their neighbours, while new ones are in range.
+    """
     n = len(x)
-    queries, found = [], []
+    queries, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, n, 1024):
         q = np.arange(at, min(n, at + 1024))
         m = len(q)
         seen = np.zeros((m, n), bool)
-        similar = np.full((m, n), -3.0)
-        todo = np.zeros((m, n), bool)
-
-        def meet(r: np.ndarray, v: np.ndarray) -> None:
-            keep = (v >= 0) & ~seen[r, np.maximum(v, 0)]
-            r, v = r[keep], v[keep]
-            seen[r, v] = True
-            similar[r, v] = np.einsum("ij,ij->i", x[q[r]], x[v])
-            todo[r, v] = True
-
-        meet(np.arange(m), np.full(m, start))
-        meet(np.arange(m), q)
+        hits = [np.arange(m) * n + q]
+        seen[np.arange(m), q] = True
+        ids = np.full((m, beam), -1, np.int64)
+        sims = np.full((m, beam), -4.0)
+        done = np.zeros((m, beam), bool)
+        ids[:, 0], sims[:, 0] = q, 1.0
+        fresh = ~seen[:, medoid]
+        seen[:, medoid] = True
+        ids[fresh, 1], sims[fresh, 1] = medoid, x[q[fresh]] @ x[medoid]
         active = np.arange(m)
         while len(active):
-            # The best vertex not yet gone on from; it must be in range or in the beam.
-            open_ = np.where(todo[active], similar[active], -4)
+            open_ = np.where(done[active] | (ids[active] < 0), -4, sims[active])
             best = open_.argmax(1)
-            value = open_[np.arange(len(active)), best]
-            bar = -np.partition(-similar[active], min(beam, n - 1), axis=1)[:, min(beam, n - 1)]
-            go = (value > -4) & ((value >= cosine) | (value >= bar))
+            go = open_[np.arange(len(active)), best] > -4
             active, best = active[go], best[go]
-            todo[active, best] = False
-            v = lists[best]
-            meet(np.repeat(active, v.shape[1]), v.ravel())
-        r, v = np.nonzero(similar >= cosine)
-        queries.append(q[r])
-        found.append(v)
+            if not len(active):
+                break
+            done[active, best] = True
+            owner, v = neighbours(starts, flat, ids[active, best])
+            r = active[owner]
+            new = ~seen[r, v]
+            r, v = r[new], v[new]
+            seen[r, v] = True
+            s = np.einsum("ij,ij->i", x[q[r]], x[v])
+            near = s >= cosine
+            hits.append(r[near] * n + v[near])
+            # Into the beams: the new ones of a row side by side, then the best of old and new.
+            rank = np.arange(len(r)) - np.searchsorted(r, r)
+            rows = np.unique(r)
+            if len(rows):
+                at_row = np.searchsorted(rows, r)
+                wide = int(rank.max()) + 1
+                i2, s2 = np.full((len(rows), wide), -1, np.int64), np.full((len(rows), wide), -4.0)
+                i2[at_row, rank], s2[at_row, rank] = v, s
+                i3, s3 = np.concatenate([ids[rows], i2], 1), np.concatenate([sims[rows], s2], 1)
+                d3 = np.concatenate([done[rows], np.zeros((len(rows), wide), bool)], 1)
+                top = np.argpartition(-s3, beam - 1, axis=1)[:, :beam]
+                ids[rows], sims[rows], done[rows] = (np.take_along_axis(y, top, 1) for y in (i3, s3, d3))
+        front = np.unique(np.concatenate(hits))
+        inside = [front]
+        while len(front):
+            owner, v = neighbours(starts, flat, front % n)
+            r = front[owner] // n
+            new = ~seen[r, v]
+            key = np.unique(r[new] * n + v[new])
+            r, v = key // n, key % n
+            seen[r, v] = True
+            front = key[np.einsum("ij,ij->i", x[q[r]], x[v]) >= cosine]
+            inside.append(front)
+        pairs = np.concatenate(inside)
+        queries.append(q[pairs // n])
+        found.append(pairs % n)
     return np.concatenate(queries), np.concatenate(found)
 
 
@@ -190,11 +225,9 @@ def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
         u, v = np.concatenate([owner, at]), np.concatenate([at, owner])
         pairs = np.unique(u * len(ids) + v)
         u, v = pairs // len(ids), pairs % len(ids)
-        rank = np.arange(len(u)) - np.searchsorted(u, u)
-        lists = np.full((len(ids), max(1, int(rank.max(initial=0)) + 1)), -1, np.int64)
-        lists[u, rank] = v
+        starts = np.searchsorted(u, np.arange(len(ids) + 1))
         centre = x.mean(0)
-        a, b = range_search(x, lists, int((x @ centre).argmax()), cosine - 1e-9)
+        a, b = range_search(x, starts, v, int((x @ centre).argmax()), cosine - 1e-9)
         good = (a != b) & (np.einsum("ij,ij->i", x[a], x[b]) >= cosine)
         return pa.table({"a": pa.array(ids[a[good]]), "b": pa.array(ids[b[good]])})
 
@@ -232,7 +265,7 @@ def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int = AUDI
     return (1.0 if n == 0 else true.join(links, ["a", "b"], "left_semi").count() / n), true
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 2) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors (vec_id, embedding, label).
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or vec_id link
@@ -246,7 +279,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 2) -
     while True:
         links = linked(nodes, overlap, cosine)
         recall, true = audit(nodes, links, cosine)
-        if recall >= LEAST_RECALL or overlap >= 6:
+        if recall >= LEAST_RECALL or overlap >= 12:
             break
         overlap *= 2
     extra = true.union(true.select(F.col("b").alias("a"), F.col("a").alias("b")))
