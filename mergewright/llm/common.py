@@ -20,7 +20,7 @@ by_value(__name__)
 SPACE_BYTES = (32, 9, 10, 11, 12, 13)
 SPACE_CHARS = " \t\n\x0b\f\r"
 #: Bytes of text that a Python worker handles at once; numpy temporaries are about 60 times as large.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -58,9 +58,10 @@ def release(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few documents, for some documents are long."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Arrow batches of few documents and bytes, for some documents are long."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 500:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def n_shuffle(spark: SparkSession) -> int:

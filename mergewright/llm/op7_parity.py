@@ -18,6 +18,8 @@ Sets are named by the sum of their mixed hashes (64 bits); documents with equal
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +33,9 @@ by_value(__name__)
 #: Shingle length in words and least Jaccard similarity in percent.
 WORDS, PERCENT = 5, 75
 #: Counters of the count-min sketch, and parts in which it is merged.
-COUNTERS, SLICES = 1 << 20, 16
+COUNTERS, SLICES = 1 << 25, 64
+#: Sets of a block; pairs of blocks are compared in a task.
+BLOCK = 512
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
 _RECORD = np.dtype([("sig", "<u8"), ("node", "<u8")])
 
@@ -77,7 +81,7 @@ def set_names(g: np.ndarray, own: np.ndarray, docs: int) -> tuple[np.ndarray, np
 
 
 def counter(g: np.ndarray) -> np.ndarray:
-    return (g >> np.uint64(20)).astype(np.int64) & (COUNTERS - 1)
+    return (g >> np.uint64(10)).astype(np.int64) & (COUNTERS - 1)
 
 
 def sketches(g: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -107,18 +111,19 @@ def described(docs: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        counts, any_rows = np.zeros(COUNTERS, np.int64), False
+        counts, any_rows = np.zeros(COUNTERS, np.uint8), False
         names = ["doc_id", "node", "n", "sketch", "part", "slice", "counts"]
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 any_rows = True
                 g, own = shingle_sets(data, offsets)
                 node, n = set_names(g, own, len(offsets) - 1)
-                counts += np.bincount(counter(g), minlength=COUNTERS)
+                at, more = np.unique(counter(g), return_counts=True)
+                counts[at] = np.minimum(counts[at] + more, 255)
                 none = pa.nulls(len(n), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node.view(np.int64)), pa.array(n), pa.array(sketches(g, n), pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names)
         if any_rows:
-            blobs = [np.minimum(x, 65535).astype("<u2").tobytes() for x in np.split(counts, SLICES)]
+            blobs = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
@@ -127,26 +132,25 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, node long, n long, sketch binary, part int, slice int, counts binary")
 
 
-def merged_counts(shares: DataFrame) -> np.ndarray:
-    """The sum of all tasks' sketches, in rounds of up to 64 shares; the driver gets one sketch of fixed size."""
+def rarity(shares: DataFrame) -> np.ndarray:
+    """A class of rarity for each counter of the sum of all tasks' sketches, added in rounds of up to 64 shares: 0 for what
+    may be noise, else eight for each doubling of the count. The driver gets one sketch of fixed size, slice by slice."""
     parts = (shares.agg(F.max("part")).first()[0] or 0) + 1
-    shares = shares.select("part", "slice", "counts", F.lit(2).alias("width"))
+    shares = shares.select("part", "slice", "counts", F.lit(1).alias("width"))
 
     def add(batches):
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for part, at, width, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "slice", "width", "counts")), strict=True):
-                x = np.frombuffer(blob, f"<u{width}").astype(np.int64)
+                x = np.frombuffer(zlib.decompress(blob), f"<u{width}")
                 key = (part // 64, at)
-                sums[key] = sums[key] + x if key in sums else x
-        if sums:
+                if key in sums:
+                    sums[key] += x
+                else:
+                    sums[key] = x.astype(np.uint32)
+        for (part, at), x in sums.items():
             yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array([k[0] for k in sums], pa.int32()),
-                    "slice": pa.array([k[1] for k in sums], pa.int32()),
-                    "counts": pa.array([np.minimum(x, 2**32 - 1).astype("<u4").tobytes() for x in sums.values()], pa.binary()),
-                    "width": pa.array([4] * len(sums), pa.int32()),
-                }
+                {"part": pa.array([part], pa.int32()), "slice": pa.array([at], pa.int32()), "counts": pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()), "width": pa.array([4], pa.int32())}
             )
 
     while True:
@@ -155,16 +159,16 @@ def merged_counts(shares: DataFrame) -> np.ndarray:
         parts = (parts + 63) // 64
         if parts == 1:
             break
-    out = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
-    for r in shares.collect():
-        out[r.slice] += np.frombuffer(r.counts, "<u4")
-    return out.ravel()
-
-
-def rarity(counts: np.ndarray) -> np.ndarray:
-    """A class for each counter: 0 for what may be noise of the sketch, else the binary logarithm of the count."""
-    noise = 2 * counts.mean() + 8
-    return np.where(counts <= noise, 0, np.log2(np.maximum(counts, 1)).astype(np.int64) + 1).astype(np.uint8)
+    total, classes = stash(shares, "counts"), np.zeros((SLICES, COUNTERS // SLICES), np.uint8)
+    mean = 0.0
+    for r in total.select(F.col("slice"), F.col("counts")).toLocalIterator():
+        x = np.frombuffer(zlib.decompress(r.counts), "<u4")
+        mean += float(x.mean()) / SLICES
+        classes[r.slice] = np.where(x > 0, np.minimum(np.log2(np.maximum(x, 1)) * 8, 254).astype(np.uint8) + 1, 0)
+    unstash(total)
+    classes = classes.ravel()
+    classes[classes <= 1 + 8 * np.log2(2 * mean + 2)] = 0
+    return classes
 
 
 def band_of(n: np.ndarray) -> np.ndarray:
@@ -210,11 +214,11 @@ def signatures(g: np.ndarray, own: np.ndarray, n: np.ndarray, classes: np.ndarra
     return np.concatenate(sigs), np.concatenate(owners)
 
 
-def shown(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def shown(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
     """(dest, records): packed (signature, set) records for each destination; a set once for each task."""
     spark = docs.sparkSession
     dests = 4 * n_shuffle(spark)
-    classes = spark.sparkContext.broadcast(rarity(counts))  # COUNTERS bytes
+    classes = spark.sparkContext.broadcast(classes)  # COUNTERS bytes
 
     def packed(records: list[np.ndarray]) -> pa.RecordBatch:
         r = np.concatenate(records)
@@ -246,7 +250,7 @@ def shown(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                 r["sig"], r["node"] = sig, node[o]
                 held.append(r)
                 size += len(r)
-                if size > 2_000_000:
+                if size > 500_000:
                     yield packed(held)
                     held, size = [], 0
         if size:
@@ -380,7 +384,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_rows = stash(described(docs), "sets")
     rows = all_rows.where("part IS NULL").select("doc_id", "node", "n")
-    counts = merged_counts(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
+    counts = rarity(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
     classes = all_rows.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("node")
     classes = stash(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     named = docs.where("doc_id IS NOT NULL")
@@ -395,14 +399,9 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tags = large.join(label, "node", "left").select("sig", F.coalesce("component", "node").alias("label")).distinct()
     tags = stash(tags.join(tags.groupBy("sig").count().where("count > 1").select("sig"), "sig"), "tags")
     if not tags.isEmpty():
-        apart = tags.join(tags.withColumnRenamed("label", "other"), "sig").where("label < other").select("label", "other").distinct()
         # The members of two components that a group spans; those of a component of one set are that set.
         whole = label.select("node", F.col("component").alias("label")).union(tags.select(F.col("label").alias("node"), "label")).distinct()
-        spanned = apart.join(whole.withColumnRenamed("node", "p"), "label").join(whole.select(F.col("label").alias("other"), F.col("node").alias("q")), "other")
-        spanned = spanned.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        order = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        spanned = spanned.join(order(pairs), ["a", "b"], "left_anti")
-        rest.append(near(spanned, classes, percent).select("a", "b"))
+        rest.append(spanned(tags, whole, classes, percent))
     more = stash(rest[0] if len(rest) == 1 else rest[0].union(rest[1]).distinct(), "pairs")
     release(spark)
     if not more.isEmpty():
@@ -417,6 +416,71 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def spanned(tags: DataFrame, whole: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of sets of different components that a common group spans and whose sketches allow them to be similar.
+
+    Components that groups connect form a span. Its sets are dealt to blocks, and each pair of blocks is compared in one
+    task, sketch by sketch; only pairs that may be similar leave it.
+    """
+    spark = tags.sparkSession
+    least = tags.groupBy("sig").agg(F.min("label").alias("least"))
+    span = components(tags.join(least, "sig").select("label", "least"), "label", "least")
+    member = whole.join(span.select(F.col("node").alias("label"), F.col("component").alias("span")), "label")
+    sizes = member.groupBy("span").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    member = member.join(sizes, "span").join(classes.select("node", "n", "sketch"), "node")
+    own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
+    dealt = member.select("span", "label", "node", "n", "sketch", own.alias("own"), F.explode(others).alias("pair"))
+    dealt = dealt.repartition(n_shuffle(spark), "span", "pair").sortWithinPartitions("span", "pair")
+
+    def compare(rows: list[tuple]):
+        """Pairs of the rows (label, node, n, sketch, own) of one pair of blocks."""
+        rows.sort(key=lambda r: r[2])
+        label, node, n, own = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 4))
+        length = np.array([len(r[3]) for r in rows])
+        both = own.max() != own.min()
+        folded: dict[int, np.ndarray] = {}
+        for size in np.unique(length).tolist():
+            m = np.zeros((len(rows), size), np.uint8)
+            for i in np.flatnonzero(length >= size):
+                x = np.frombuffer(rows[i][3], np.uint8)
+                while len(x) > size:
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                m[i] = x
+            folded[size] = m
+        for i in range(len(rows) - 1):
+            to = int(np.searchsorted(n, 100 * n[i] // percent, "right"))
+            j = np.arange(i + 1, max(i + 1, to))
+            j = j[(label[j] != label[i]) & ((own[j] != own[i]) | (not both))]
+            if len(j):
+                m = folded[int(length[i])]
+                d = np.bitwise_count(m[j] ^ m[i]).sum(1, dtype=np.int64)
+                j = j[d * (100 + percent) <= (100 - percent) * (n[i] + n[j])]
+                for v in node[j].tolist():
+                    yield int(node[i]), v
+
+    def run(batches):
+        def groups():
+            key, rows = None, []
+            for batch in batches:
+                for r in zip(*(batch.column(c).to_pylist() for c in ("span", "pair", "label", "node", "n", "sketch", "own")), strict=True):
+                    if r[:2] != key:
+                        if len(rows) > 1:
+                            yield rows
+                        key, rows = r[:2], []
+                    rows.append(r[2:])
+            if len(rows) > 1:
+                yield rows
+
+        for rows in groups():
+            found = list(compare(rows))
+            for at in range(0, len(found), 50_000):
+                part = found[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([y for _, y in part], pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose ends are in different components."""
     out = pairs.join(label.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left")
