@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shipping import by_value
 
@@ -42,7 +43,7 @@ def jaro_winkler_ratio(a: str, b: str) -> float:
     return ratio
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     known: dict[tuple[str, str], float] = {}  # each distinct pair of a batch once
 

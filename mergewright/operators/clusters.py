@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.params import Params
+from ..scratch import staged
 
 
 @dataclass(frozen=True)
@@ -26,27 +26,19 @@ def edges(pairs: DataFrame, decisions: DataFrame) -> DataFrame:
     return auto.select("pair_id", ways.alias("w"), "score", "decision_path").select("pair_id", "w.*", "score", "decision_path")
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the folder of spark.checkpoint.dir; only where that is unset, in a local one."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="mergewright-"))
-    return df.checkpoint()
-
-
 def connected(std: DataFrame, links: DataFrame, p: Params = Params()) -> Clusters:
     """record_key, cluster_id: each record's smallest reachable key. Only linked records take part in the rounds; each
     round takes the smallest label of the neighbours, then the label of that label."""
-    links = shared_checkpoint(links)
+    links = staged(links, "edges")
     near = links.select("from_key", "to_key").distinct()
-    labels = shared_checkpoint(near.select(F.col("from_key").alias("record_key")).distinct().withColumn("cluster_id", F.col("record_key")))
+    labels = staged(near.select(F.col("from_key").alias("record_key")).distinct().withColumn("cluster_id", F.col("record_key")), "labels")
     rounds, changed = 0, 1
     while changed and rounds < p.max_rounds:
         rounds += 1
         least = near.join(labels, near["to_key"] == labels["record_key"]).groupBy("from_key").agg(F.min("cluster_id").alias("least"))
         step = labels.join(least, labels["record_key"] == least["from_key"], "left").select("record_key", F.col("cluster_id").alias("was"), F.least("cluster_id", "least").alias("cluster_id"))
         beyond = step.select(F.col("record_key").alias("cluster_id"), F.col("cluster_id").alias("beyond"))
-        step = shared_checkpoint(step.join(beyond, "cluster_id", "left").select("record_key", "was", F.least("cluster_id", "beyond").alias("cluster_id")))
+        step = staged(step.join(beyond, "cluster_id", "left").select("record_key", "was", F.least("cluster_id", "beyond").alias("cluster_id")), "labels")
         changed = step.where("was <> cluster_id").count()
         labels = step.select("record_key", "cluster_id")
     ends = links.join(labels.select(F.col("record_key").alias("from_key"), F.col("cluster_id").alias("a")), "from_key").join(labels.select(F.col("record_key").alias("to_key"), F.col("cluster_id").alias("b")), "to_key")

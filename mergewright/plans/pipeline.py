@@ -9,9 +9,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..operators import blocking, clusters, evaluation, features, masters, profile, scoring, standardise
+from ..scratch import staged
 from .params import Params
 
 RULES = {"standardise": "std_v3", "block": "block_v1", "features": "feat_v2", "decide": "score_v5", "masters": "surv_v1", "evaluate": "score_v5", "profile": "dq_v1"}
@@ -19,23 +19,19 @@ RULES = {"standardise": "std_v3", "block": "block_v1", "features": "feat_v2", "d
 
 @dataclass
 class Resolution:
-    """Each table of the pipeline, made when first asked for. keep: persist tables with several readers (they are recomputed if an executor is lost)."""
+    """Each table of the pipeline, made when first asked for; tables with several readers are written to the shared scratch folder and read back."""
 
     raw_charities: DataFrame
     raw_companies: DataFrame
     params: Params = Params()
-    keep: bool = True
-
-    def kept(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
 
     @cached_property
     def std(self) -> DataFrame:
-        return self.kept(standardise.standardise(self.raw_charities, self.raw_companies))
+        return staged(standardise.standardise(self.raw_charities, self.raw_companies), "std")
 
     @cached_property
     def block_keys(self) -> DataFrame:
-        return self.kept(blocking.block_keys(self.std))
+        return staged(blocking.block_keys(self.std), "block_keys")
 
     @cached_property
     def block_skipped(self) -> DataFrame:
@@ -43,19 +39,19 @@ class Resolution:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self.kept(blocking.candidate_pairs(self.std, self.block_keys, self.block_skipped))
+        return staged(blocking.candidate_pairs(self.std, self.block_keys, self.block_skipped), "pairs")
 
     @cached_property
     def features(self) -> DataFrame:
-        return self.kept(features.match_features(self.pairs, self.std))
+        return staged(features.match_features(self.pairs, self.std), "features")
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return self.kept(scoring.evidence(self.pairs, self.features, self.std, self.params))
+        return staged(scoring.evidence(self.pairs, self.features, self.std, self.params), "ledger")
 
     @cached_property
     def scores(self) -> DataFrame:
-        return self.kept(scoring.pair_scores(self.ledger, self.features, self.params))
+        return staged(scoring.pair_scores(self.ledger, self.features, self.params), "scores")
 
     @cached_property
     def decisions(self) -> DataFrame:
@@ -71,11 +67,11 @@ class Resolution:
 
     @cached_property
     def xref(self) -> DataFrame:
-        return self.kept(clusters.entity_xref(self.std, self.clusters))
+        return staged(clusters.entity_xref(self.std, self.clusters), "xref")
 
     @cached_property
     def masters(self) -> DataFrame:
-        return self.kept(masters.master_organisations(self.std, self.xref, self.pair_queue, self.pairs, self.params))
+        return staged(masters.master_organisations(self.std, self.xref, self.pair_queue, self.pairs, self.params), "masters")
 
     @cached_property
     def queue(self) -> DataFrame:
