@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 COUNTERS, SLICES = 1 << 25, 64
 #: Sets of a block; pairs of blocks are compared in a task.
 BLOCK = 512
+#: Up to so many rows of two numbers (8 MB) go to every executor, so that texts need no shuffle; beyond, texts are shuffled.
+BROADCAST_ROWS = 500_000
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
 _RECORD = np.dtype([("sig", "<u8"), ("node", "<u8")])
 
@@ -317,6 +319,8 @@ def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, members) of the named sets, from a document of each; members: sorted hashes of 48 bits, in 6 bytes each."""
     wanted = stash(classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node"), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
 
     def run(batches):
         for batch in batches:
