@@ -288,7 +288,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -
     home = components(links, "a", "b")
     per_node = nodes.select("node", "grp", "key", "size").join(degree, nodes["node"] == degree["a"], "left").join(home.withColumnRenamed("node", "u"), F.col("node") == F.col("u"), "left")
     per_node = per_node.select("grp", "key", (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    mine = good.select("vec_id", "grp", "key").join(per_node, ["grp", "key"]).groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    mine = good.select("vec_id", "grp", "key").distinct().join(per_node, ["grp", "key"]).groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = rows.select("vec_id").join(mine, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
