@@ -7,6 +7,8 @@ their longest common extension, found by binary search on prefix polynomial hash
 agree over 200 bytes are checked byte by byte and covered. Only windows at the same distance from the gram can be
 equal, so the sort runs within (gram, distance), all of them side by side in numpy.
 
+A gram with very many different stretches is dealt out by distance, as sorts of their own.
+
 Texts are named by their 64-bit hash; of equal texts only one takes part, and all copies of at least 200 bytes are
 covered whole. Repeated stretches are merged within a map task, so a passage in many documents is sent once a task.
 """
@@ -26,6 +28,8 @@ from .common import mix, n_shuffle, powers, release, small_batches, stash, text_
 by_value(__name__)
 
 WINDOW, GRAM = 200, 40
+#: A gram with more different stretches than COMMON is dealt out in pieces of STEP distances.
+COMMON, STEP = 256, 20
 _BASE = 0xD1342543DE82EF95 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _TABLE = np.random.default_rng(977).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -164,7 +168,21 @@ def found_stretches(docs: DataFrame) -> DataFrame:
     return docs.select("name", F.col("text").cast("binary").alias("bytes")).mapInArrow(run, "dest int, records binary, text long, spans binary")
 
 
-def met_stretches(records: DataFrame) -> DataFrame:
+def split_stretches(r: np.ndarray, step: int = STEP) -> np.ndarray:
+    """The same windows in shorter stretches, each with `step` distances from the gram at most and under a gram of its own for them."""
+    top, bottom = r["at"].astype(np.int64), r["at"].astype(np.int64) - r["n"] + 1
+    pieces = top // step - bottom // step + 1
+    owner = np.repeat(np.arange(len(r)), pieces)
+    block = (top // step)[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    first, last = np.minimum(top[owner], block * step + step - 1), np.maximum(bottom[owner], block * step)
+    out = r[owner].copy()
+    out["start"] += (top[owner] - first).astype(np.uint32)
+    out["n"], out["at"] = first - last + 1, first
+    out["gram"] = mix(out["gram"] + block.astype(np.uint64) + np.uint64(1))
+    return out
+
+
+def met_stretches(records: DataFrame, common: int = COMMON) -> DataFrame:
     """(text, spans) of equal stretches, and (text, records) of different stretches that share a gram."""
 
     def run(batches):
@@ -191,7 +209,8 @@ def met_stretches(records: DataFrame) -> DataFrame:
         # One of each content where the gram has several; a gram whose contents all occur twice has nothing left to find.
         kinds = np.bincount(group, sub)[group]
         open_ = np.bincount(group, ~twice)[group]
-        ask = r[sub & (kinds > 1) & (open_ > 0)]
+        ask = sub & (kinds > 1) & (open_ > 0)
+        ask = np.concatenate([r[ask & (kinds <= common)], split_stretches(r[ask & (kinds > common)])])
         if len(ask):
             ask = ask[np.argsort(ask["text"], kind="stable")]
             cuts = np.flatnonzero(np.diff(ask["text"])) + 1
@@ -352,7 +371,7 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def removed_repeats(docs: DataFrame) -> DataFrame:
+def removed_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text).
 
     A null text reads as empty; texts of under 200 bytes keep everything. Rows with null or repeated doc_id are
@@ -362,7 +381,7 @@ def removed_repeats(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("name", F.xxhash64("text"))
     first = stash(found_stretches(docs), "stretches")
-    second = stash(met_stretches(first.where("dest IS NOT NULL").select("dest", "records")), "met")
+    second = stash(met_stretches(first.where("dest IS NOT NULL").select("dest", "records"), common), "met")
     copies = stash(
         docs.where(F.octet_length("text") >= WINDOW).groupBy("name").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("one")), "copies"
     )

@@ -182,8 +182,10 @@ def test_permutation_is_one_to_one(spark):
 
 
 def test_removed_repeats(docs):
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op4.removed_repeats(docs).collect()}
-    assert got == brute.removed_repeats(dict(corpus()))
+    want = brute.removed_repeats(dict(corpus()))
+    for common in (op4.COMMON, 1):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op4.removed_repeats(docs, common).collect()}
+        assert got == want
 
 
 def test_repeats_that_overlap_and_periods(spark):
