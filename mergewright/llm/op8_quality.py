@@ -216,7 +216,11 @@ def featured(docs: DataFrame) -> DataFrame:
 def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
     """The model of a bounded sample of rows (featured) with labels (doc_id, quality) that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("y")).where("y IN (0, 1)").where(remainder(F.col("doc_id")) != 0)
-    got = rows.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(sample).select("x", "y").toPandas()
+    labelled = stash(rows.join(known, "doc_id").select("doc_id", "x", "y"), "labelled")
+    # Of many rows, those whose hashes can't be among the least don't leave their tasks.
+    least = min(2**63 - 1, -(2**63) + 2 * sample * 2**64 // max(1, labelled.count()))
+    near = labelled.where(F.xxhash64("doc_id") <= F.lit(least))
+    got = near.orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(sample).select("x", "y").toPandas()
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(np.float64))
 
