@@ -296,3 +296,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -
 
 def op1_robust_graph(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE = f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1) USING (vec_id) JOIN (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1) USING (vec_id)
+"""

@@ -494,3 +494,16 @@ def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 def op7_parity_sketch_join(spark, sf_dir: str) -> DataFrame:
     return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda k: array_to_string(w[k:k + {WORDS - 1}], ' '))
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= {PERCENT} * (x.n + y.n - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) USING (doc_id)
+"""

@@ -357,14 +357,15 @@ def test_lines(spark):
     assert few[0].n_lost_words == 6 and few[0].kept
 
 
-@pytest.mark.parametrize("name", ["op9_licence_dice", "op10_line_frequency"])
+@pytest.mark.parametrize("name", ["op1_robust_graph", "op7_parity_sketch_join", "op9_licence_dice", "op10_line_frequency"])
 def test_twins(spark, name):
     import duckdb
 
     from mergewright.llm.registry import ORACLES, QUERIES
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLES[name]).df()
     columns = sorted(got.columns)
     key = lambda df: sorted(map(repr, df[columns].astype(str).itertuples(index=False, name=None)))
