@@ -35,11 +35,27 @@ WORDS, PERCENT = 5, 75
 #: Counters of the count-min sketch, and parts in which it is merged.
 COUNTERS, SLICES = 1 << 25, 64
 #: Sets of a block; pairs of blocks are compared in a task.
-BLOCK = 512
+BLOCK = 1536
 #: Up to so many rows of two numbers (8 MB) go to every executor, so that texts need no shuffle; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
 _RECORD = np.dtype([("sig", "<u8"), ("node", "<u8")])
+#: Of a signature 40 bits travel; the others have chosen the destination.
+_SHORT = (1 << 40) - 1
+
+
+def write_records(r: np.ndarray) -> bytes:
+    """Records sorted by short signature: its bytes, highest first, as planes that compress, then the sets."""
+    return b"".join((r["sig"] >> np.uint64(8 * k)).astype(np.uint8).tobytes() for k in (4, 3, 2, 1, 0)) + r["node"].tobytes()
+
+
+def read_records(raw: bytes) -> np.ndarray:
+    n = len(raw) // 13
+    out = np.zeros(n, _RECORD)
+    for k in range(5):
+        out["sig"] = (out["sig"] << np.uint64(8)) | np.frombuffer(raw, np.uint8, n, k * n)
+    out["node"] = np.frombuffer(raw, "<u8", n, 5 * n)
+    return out
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -224,12 +240,12 @@ def shown(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
 
     def packed(records: list[np.ndarray]) -> pa.RecordBatch:
         r = np.concatenate(records)
-        dest = ((r["sig"] >> np.uint64(33)) % np.uint64(dests)).astype(np.int64)
-        order = np.argsort(dest, kind="stable")
+        dest = ((r["sig"] >> np.uint64(40)) % np.uint64(dests)).astype(np.int64)
+        order = np.lexsort((r["sig"] & np.uint64(_SHORT), dest))
         r, dest = r[order], dest[order]
         cuts = np.flatnonzero(np.diff(dest)) + 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(dest[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in np.split(r, cuts)], pa.binary())], ["dest", "records"]
+            [pa.array(dest[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([write_records(x) for x in np.split(r, cuts)], pa.binary())], ["dest", "records"]
         )
 
     def run(batches):
@@ -265,7 +281,12 @@ def met(records: DataFrame) -> DataFrame:
     """Groups of sets with a common signature: pairs (a, b) of its first set and each other one, and for groups of over two rows (sig, b) of all members."""
 
     def run(batches):
-        blobs = [np.frombuffer(x, _RECORD) for batch in batches for x in batch.column("records").to_pylist()]
+        blobs = []
+        for batch in batches:
+            for dest, raw in zip(batch.column("dest").to_pylist(), batch.column("records").to_pylist(), strict=True):
+                r = read_records(raw)
+                r["sig"] |= np.uint64(dest << 40)
+                blobs.append(r)
         if not blobs:
             return
         r = np.concatenate(blobs)
