@@ -44,12 +44,12 @@ def query(sql: str | None):
     return add
 
 
-_RESOLUTIONS: dict[tuple[int, str], Resolution] = {}
+_RESOLUTIONS: dict[tuple[str, str], Resolution] = {}
 
 
 def resolution(spark: SparkSession, sf_dir: str) -> Resolution:
     """The pipeline over a data set; its stage tables are made once in a session."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RESOLUTIONS:
         _RESOLUTIONS[key] = Resolution(*raw_registers(spark, sf_dir))
     return _RESOLUTIONS[key]
