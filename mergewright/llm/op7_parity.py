@@ -35,7 +35,7 @@ WORDS, PERCENT = 5, 75
 #: Counters of the count-min sketch, and parts in which it is merged.
 COUNTERS, SLICES = 1 << 25, 64
 #: Sets of a block; pairs of blocks are compared in a task.
-BLOCK = 1536
+BLOCK = 768
 #: Up to so many rows of two numbers (8 MB) go to every executor, so that texts need no shuffle; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
