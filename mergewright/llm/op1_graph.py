@@ -3,8 +3,12 @@
 Vectors of a label are dealt to the shards of their nearest centres (overlapping); in each shard every vector gets a
 robust-pruned list of neighbours (Subramanya et al. 2019); lists from all its shards are united. In each shard every
 member then searches from the medoid and from itself, greedily with a beam, and goes on from every vector that it finds
-in range until no new one is in range. Pairs found are verified in double precision. Recall is audited on a bounded
-sample against brute force; under the least recall the graph is built again with more overlap.
+in range until no new one is in range. Pairs found are verified in double precision.
+
+Dense places don't rely on the graph: vertices in range of a centre are also dealt to a shard of all centres that hang
+together within three ranges of each other, so two linked ones always meet, and there every pair is compared. Recall is
+audited by label on a bounded sample against brute force; for labels under the least recall the graph is built again
+with more overlap, and at last all their pairs are compared.
 
 Equal vectors of a label are one vertex. Large shards are cut into blocks, and each pair of blocks is a shard, so a
 large group of near copies is spread over tasks.
@@ -29,8 +33,10 @@ SHARD, BLOCK = 400, 4000
 CENTRES = 65_536
 #: Candidates and kept neighbours of a vertex, pruning factor, beam of the search.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 16, 1.2, 24
-#: Queries of the audit, at most, and the recall that it must find.
+#: Queries of the audit, at most, among all vertices and among linked ones, and the recall that it must find in each label.
 AUDIT, LEAST_RECALL = 256, 0.9
+#: Overlap from which on labels under that recall are compared whole.
+MOST_OVERLAP = 12
 
 
 def robust_lists(x: np.ndarray, candidates: int = CANDIDATES, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
@@ -150,8 +156,25 @@ def vertices(vectors: DataFrame) -> DataFrame:
     return good.select("vec_id", F.xxhash64("label", F.size("embedding")).alias("grp"), F.col("embedding").alias("v"))
 
 
-def dealt(nodes: DataFrame, overlap: int) -> DataFrame:
-    """(node, grp, v, shard): each vertex in the shards of its nearest centres."""
+def hanging_together(c: np.ndarray, cosine: float) -> np.ndarray:
+    """For each of the unit vectors c the least row that a chain of cosines of at least `cosine` leads to."""
+    out = np.full(len(c), -1, np.int64)
+    for first in range(len(c)):
+        front = np.array([first]) if out[first] < 0 else np.zeros(0, np.int64)
+        out[front] = first
+        while len(front):
+            now, front = front[:256], front[256:]
+            free = np.flatnonzero(out < 0)
+            new = free[np.concatenate([(c[free[at : at + 8192]] @ c[now].T >= cosine).any(1) for at in range(0, len(free), 8192)] or [np.zeros(0, bool)])]
+            out[new] = first
+            front = np.concatenate([front, new])
+    return out
+
+
+def dealt(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
+    """(node, grp, v, shard, dense, own, cross): each vertex in the shards of its nearest centres; one in range of a centre
+    also in the dense shard of all centres that hang together. Two vertices in range of each other and of a centre each have
+    centres within three ranges, so they share a dense shard. cut() tells of own and cross."""
     spark = nodes.sparkSession
     sizes = nodes.groupBy("grp").count().where(F.col("count") > SHARD)
     total = sizes.agg(F.sum("count")).first()[0] or 0
@@ -163,40 +186,77 @@ def dealt(nodes: DataFrame, overlap: int) -> DataFrame:
     for r in share.select("node", "grp").join(nodes.select("node", "v"), "node").orderBy("grp", "node").limit(2 * CENTRES).collect():
         centres.setdefault(r.grp, []).append(r.v)
     ready = {g: np.array(c, np.float64) for g, c in centres.items()}
-    ready = spark.sparkContext.broadcast({g: c / np.sqrt((c * c).sum(1, keepdims=True)) for g, c in ready.items()})
+    ready = {g: c / np.sqrt((c * c).sum(1, keepdims=True)) for g, c in ready.items()}
+    wide = float(np.cos(min(np.pi, 3 * np.arccos(min(1.0, cosine))))) - 1e-6
+    ready = spark.sparkContext.broadcast({g: (c, hanging_together(c, wide)) for g, c in ready.items()})
 
     def run(batches):
         for batch in batches:
             grp = batch.column("grp").to_numpy()
-            rows, shard = [], []
+            rows, shard, dense = [], [], []
             for g in np.unique(grp).tolist():
                 at = np.flatnonzero(grp == g)
-                c = ready.value.get(g)
-                if c is None or len(c) < 2:
+                c, together = ready.value.get(g, ((), ()))
+                if len(c) < 2:
                     rows.append(at)
                     shard.append(np.zeros(len(at), np.int64))
+                    dense.append(np.zeros(len(at), bool))
                     continue
                 s = unit_rows(batch.column("v").take(pa.array(at))) @ c.T
                 k = min(overlap, len(c))
                 top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                rows.append(np.repeat(at, k))
-                shard.append(top.ravel().astype(np.int64))
+                near = s.max(1) >= cosine - 1e-9
+                rows += [np.repeat(at, k), at[near]]
+                shard += [top.ravel().astype(np.int64), together[s.argmax(1)[near]]]
+                dense += [np.zeros(len(at) * k, bool), np.ones(int(near.sum()), bool)]
             if rows:
                 out = batch.take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(shard))], ["node", "grp", "v", "shard"])
-
-    out = nodes.select("node", "grp", "v").mapInArrow(run, "node long, grp long, v array<float>, shard long")
-    out = stash(out, "dealt")
-    blocks = out.groupBy("grp", "shard").count().where(F.col("count") > BLOCK).select("grp", "shard", F.ceil(2 * F.col("count") / BLOCK).cast("int").alias("blocks"))
-    cut = out.join(blocks, ["grp", "shard"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("node", F.lit(13)), F.col("blocks")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
-    return cut.select("node", "grp", "v", F.explode(others).alias("pair"), "shard").select("node", "grp", "v", F.xxhash64("shard", "pair").alias("shard"))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(shard)), pa.array(np.concatenate(dense))], ["node", "grp", "v", "shard", "dense"])
+
+    out = nodes.select("node", "grp", "v").mapInArrow(run, "node long, grp long, v array<float>, shard long, dense boolean")
+    return cut(stash(out, "dealt"))
+
+
+def cut(out: DataFrame) -> DataFrame:
+    """Large shards cut into blocks, with a shard for each pair of them; own is a vertex's block, cross tells shards of two."""
+    blocks = out.groupBy("grp", "dense", "shard").count().where(F.col("count") > BLOCK).select("grp", "dense", "shard", F.ceil(2 * F.col("count") / BLOCK).cast("int").alias("blocks"))
+    out = out.join(blocks, ["grp", "dense", "shard"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    out = out.withColumn("own", F.pmod(F.xxhash64("node", F.lit(13)), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct((F.least("own", j).cast("long") * F.col("blocks") + F.greatest("own", j)).alias("id"), (j != F.col("own")).alias("two")))
+    out = out.select("node", "grp", "v", "dense", "own", F.explode(others).alias("pair"), "shard")
+    # The shard of a block with itself has no pair of two blocks, and the others have only such pairs.
+    return out.select("node", "grp", "v", F.xxhash64("shard", "pair.id").alias("shard"), "dense", "own", F.col("pair.two").alias("cross"))
+
+
+def compared(members: DataFrame, cosine: float) -> DataFrame:
+    """(a, b), one way, of all pairs within range in the shards of members; of a shard of two blocks those between them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, own = table.column("node").to_numpy(), table.column("own").to_numpy()
+        x = unit_rows(table.column("v").combine_chunks())
+        cross = np.asarray(table.column("cross").combine_chunks())
+        a, b = [np.zeros(0, ids.dtype)], [np.zeros(0, ids.dtype)]
+        left = np.flatnonzero(own == own.min()) if cross.any() else np.arange(len(ids))
+        right = np.flatnonzero(own != own.min()) if cross.any() else left
+        for at in range(0, len(left), 512):
+            rows = left[at : at + 512]
+            s = x[rows] @ x[right].T
+            i, j = np.nonzero(s >= cosine - 1e-9)
+            s, i, j = s[i, j], rows[i], right[j]
+            edge = np.flatnonzero(s < cosine + 1e-9)
+            s[edge] = np.einsum("ij,ij->i", x[i[edge]], x[j[edge]])
+            good = (s >= cosine) & (i != j if cross.any() else i < j)
+            a.append(ids[i[good]])
+            b.append(ids[j[good]])
+        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+    return members.groupBy("grp", "shard").applyInArrow(run, "a long, b long")
 
 
 def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
-    """(a, b), both ways, of vertices that the graph search finds within range."""
-    members = stash(dealt(nodes, overlap), "members")
+    """(a, b), both ways, of vertices that the graph search finds within range, and of all in dense shards."""
+    everywhere = stash(dealt(nodes, overlap, cosine), "members")
+    members, dense = everywhere.where("NOT dense"), everywhere.where("dense")
 
     def build(table: pa.Table) -> pa.Table:
         ids = table.column("node").to_numpy()
@@ -232,21 +292,31 @@ def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
         return pa.table({"a": pa.array(ids[a[good]]), "b": pa.array(ids[b[good]])})
 
     found = members.join(graph, "node").groupBy("grp", "shard").applyInArrow(search, "a long, b long")
-    both = stash(found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    unstash(members)
+    both = stash(both_ways(found.union(compared(dense, cosine))).distinct(), "links")
+    unstash(everywhere)
     return both
 
 
-def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int = AUDIT) -> tuple[float, DataFrame]:
-    """Recall of links for a bounded sample of vertices, and their true links, by brute force over all vertices."""
+def both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int = AUDIT) -> tuple[dict[int, float], DataFrame]:
+    """Recall of links in each group asked, for bounded samples of all vertices and of linked ones (these drawn from groups
+    in turn), and their true links, by brute force over all vertices."""
     spark = nodes.sparkSession
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(17))).limit(queries).select("node", "grp", "v").collect()
+    some = nodes.withColumn("h", F.xxhash64("node", F.lit(17))).select("node", "grp", "h")
+    mixed = some.orderBy("h").limit(queries).select("node")
+    found = some.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+    turns = found.groupBy("grp", F.pmod("h", F.lit(queries)).alias("turn")).agg(F.min_by("node", "h").alias("node"))
+    turns = turns.orderBy("turn", "node").limit(queries).select("node")
+    sample = nodes.join(mixed.union(turns).distinct(), "node").select("node", "grp", "v").collect()
     asked = spark.sparkContext.broadcast([(r.node, r.grp, np.array(r.v, np.float64)) for r in sample])
 
     def run(batches):
         for batch in batches:
             grp, ids = batch.column("grp").to_numpy(), batch.column("node").to_numpy()
-            a, b = [], []
+            a, b, of = [], [], []
             for g in np.unique(grp).tolist():
                 mine = [(i, v) for i, h, v in asked.value if h == g]
                 if not mine:
@@ -257,12 +327,15 @@ def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int = AUDI
                 i, j = np.nonzero(s >= cosine)
                 a.append(np.array([k for k, _ in mine])[i])
                 b.append(ids[at[j]])
+                of.append(np.full(len(i), g))
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in (a, b, of)], ["a", "b", "grp"])
 
-    true = stash(nodes.select("node", "grp", "v").mapInArrow(run, "a long, b long").where("a <> b"), "audit")
-    n = true.count()
-    return (1.0 if n == 0 else true.join(links, ["a", "b"], "left_semi").count() / n), true
+    true = stash(nodes.select("node", "grp", "v").mapInArrow(run, "a long, b long, grp long").where("a <> b"), "audit")
+    hit = links.select("a", "b", F.lit(1).alias("hit"))
+    # Groups with a query: two for each of `queries` at most.
+    recall = {r.grp: r.n / r.total for r in true.join(hit, ["a", "b"], "left").groupBy("grp").agg(F.count("hit").alias("n"), F.count("*").alias("total")).collect()}
+    return recall, true.select("a", "b")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -> DataFrame:
@@ -279,11 +352,15 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -
     while True:
         links = linked(nodes, overlap, cosine)
         recall, true = audit(nodes, links, cosine)
-        if recall >= LEAST_RECALL or overlap >= 12:
+        poor = [g for g, found in recall.items() if found < LEAST_RECALL]
+        if not poor or overlap >= MOST_OVERLAP:
             break
         overlap *= 2
-    extra = true.union(true.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = stash(links.union(extra).distinct(), "links")
+    extra = true
+    if poor:
+        whole = nodes.where(F.col("grp").isin(poor)).select("node", "grp", "v", F.lit(0).cast("long").alias("shard"), F.lit(True).alias("dense"))
+        extra = extra.union(compared(cut(whole), cosine))
+    links = stash(links.union(both_ways(extra)).distinct(), "links")
     degree = links.join(nodes.select(F.col("node").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("linked"))
     home = components(links, "a", "b")
     per_node = nodes.select("node", "grp", "key", "size").join(degree, nodes["node"] == degree["a"], "left").join(home.withColumnRenamed("node", "u"), F.col("node") == F.col("u"), "left")

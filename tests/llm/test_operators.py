@@ -111,6 +111,37 @@ def test_near_vectors(spark):
         assert got[i].n_links == 0 and got[i].component_id == i and got[i].kept
 
 
+def test_a_dense_ball_gives_all_its_links(spark, monkeypatch):
+    from mergewright.llm import op1_graph
+
+    # Many nearly equidistant centres, so the nearest few of two vertices often differ; and blocks, cut and uncut.
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal(24)
+    rows = [(i, (base + 0.12 * rng.standard_normal(24)).astype(np.float32).tolist(), 0) for i in range(1500)]
+    monkeypatch.setattr(op1_graph, "SHARD", 10)
+    monkeypatch.setattr(op1_graph, "BLOCK", 500)
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.98).sum(1) - 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert want.sum() > 1_000_000 and [got[i] for i in range(1500)] == want.tolist()
+
+
+def test_labels_of_low_recall_are_compared_whole(spark, monkeypatch):
+    from mergewright.llm import op1_graph
+
+    monkeypatch.setattr(op1_graph, "linked", lambda nodes, overlap, cosine: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    rows = vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([k for *_, k in rows])
+    link = (x @ x.T >= 0.98) & (label[:, None] == label)
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert [got[i] for i, *_ in rows] == (link.sum(1) - 1).tolist()
+
+
 def test_near_vectors_of_nothing(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
