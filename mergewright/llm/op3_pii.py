@@ -1,9 +1,9 @@
 """Format-preserving pseudonyms for personal data, in DataFrame functions only.
 
-Payment card numbers (Luhn-valid), telephone numbers, IPv4 addresses, US social security numbers, ISO and
-slash dates are validated and then permuted by a keyed Feistel network within their own format: a card stays a
-Luhn-valid card with its grouping, a date stays a date between 1900 and 2099. Mail addresses and quoted hexadecimal
-secrets are replaced digit by digit and letter by letter by a keyed stream. The key is secret, the mapping is the
+Payment card numbers (Luhn-valid), telephone numbers, IPv4 addresses, US social security numbers and numeric
+dates are validated and then permuted by a keyed Feistel network within their own format: a card stays a
+Luhn-valid card with its grouping, a date stays a date between 1900 and 2099. Mail addresses, account numbers (IBAN,
+with new check digits) and hexadecimal secrets are replaced digit by digit and letter by letter by a keyed stream. The key is secret, the mapping is the
 same everywhere, and so equal values stay linked across documents.
 """
 
@@ -16,13 +16,22 @@ from pyspark.sql import functions as F
 KINDS = {
     "mail": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)+",
     "secret": r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
-    "date": r"(?:(?:19|20)\d\d-[01]\d-[0-3]\d|[0-3]?\d/[0-3]?\d/(?:19|20)\d\d)(?![A-Za-z0-9/\-])",
+    "iban": r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])",
+    # Of a timestamp the date; one sign between all parts.
+    "date": "(?:" + "|".join(rf"(?:19|20)\d\d{c}[01]?\d{c}[0-3]?\d|[0-3]?\d{c}[0-3]?\d{c}(?:19|20)\d\d" for c in (r"\-", "/", r"\.")) + r")(?:(?=[Tt]\d\d:?\d\d)|(?![A-Za-z0-9]|[/\-.]\d))",
     "ip": r"(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    "ssn": r"\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?!\d|-\d)",
+    # International; 3-3-4 digits; ten digits as North American numbers have them; with a trunk 0, 9 to 12 digits.
+    "phone": r"(?:\+\d(?:[ .\-/]?\(?\d\)?){6,14}(?!\d)|(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|[2-9]\d\d[2-9]\d{6}(?![A-Za-z0-9]|[.\-]\d)"
+    r"|(?=\(?0(?:[ .\-/()]{0,2}\d){8,11}(?![ .\-/]?\d))(?:0\d{1,4}|\(0\d{1,4}\))(?:[ .\-/]\d{2,8}){1,4}(?!\d))",
     "card": r"\d(?:[ \-]?\d){12,18}(?![\d])",
 }
-PATTERN = r"(?<![A-Za-z0-9._%+\-@])(?:" + "|".join(KINDS.values()) + r")|(?<![\d.+\-])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
+#: A letter or digit before continues any kind; a digit and a sign before continue numbers, but not mail addresses.
+PATTERN = "(?:(?<![A-Za-z0-9])" + KINDS["mail"] + r"|(?<!\d[.\-/+])(?:(?<![A-Za-z0-9])(?:" + "|".join(v for k, v in KINDS.items() if k != "mail") + r")|(?<=[A-Za-z])(?=\+)" + KINDS["phone"] + "))"
+#: Country codes of one, two and three digits.
+COUNTRY = r"\A\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: A date candidate alone, without what follows it in a text.
+DATE = r"\A(?:\d{4}([\-/.])\d\d?\1\d\d?|\d\d?([\-/.])\d\d?\2\d{4})\z"
 ROUNDS = 8
 
 
@@ -113,6 +122,24 @@ def hex_stream(key: Column, value: Column) -> Column:
     return F.when(value.rlike("[A-F]"), F.upper(lower)).otherwise(lower)
 
 
+def iban_rest(value: Column) -> Column:
+    """Rest modulo 97 of an account number, read from its fifth character round to its fourth; of a valid one it is 1."""
+    plain = F.regexp_replace(value, " ", "")
+    turned = F.split(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4))), "")
+    number = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.filter(turned, lambda c: c != ""), F.lit(0), lambda a, c: ((a * F.when(number(c) > 9, 100).otherwise(10) + number(c)) % 97).cast("int"))
+
+
+def iban(key: Column, value: Column) -> Column:
+    """Another account number of the same country and grouping, with its check digits."""
+    bare = F.regexp_replace(value, " ", "")
+    body = stream(key, "iban", F.substr(bare, F.lit(5)))
+    check = F.lpad((98 - iban_rest(F.concat(F.substr(value, F.lit(1), F.lit(2)), F.lit("00"), body))).cast("string"), 2, "0")
+    new = F.concat(F.substr(value, F.lit(1), F.lit(2)), check, body)
+    grouped = F.when(value.contains(" "), F.trim(F.regexp_replace(new, "(.{4})", "$1 "))).otherwise(new)
+    return grouped
+
+
 def pseudonym(value: Column, key: Column) -> Column:
     """The replacement of a candidate; a candidate that isn't valid stays as it is."""
     d = digits(value)
@@ -124,22 +151,22 @@ def pseudonym(value: Column, key: Column) -> Column:
     ip_new = F.transform(F.array(permute(key, "ip", ip_number, F.lit(65536), F.lit(65536))), lambda v: F.concat_ws(".", *[(F.floor(v / 256**k) % 256).cast("string") for k in (3, 2, 1, 0)]))
     ip = F.element_at(ip_new, 1)
     # 73,049 days from 1900-01-01 to 2099-12-31; 17 * 4,297.
-    iso = value.rlike(r"\A\d{4}-")
-    parts = F.split(value, "/")
-    parsed = F.when(iso, F.try_to_date(value, "yyyy-MM-dd")).otherwise(
-        F.coalesce(F.try_to_date(value, "d/M/yyyy"), F.try_to_date(value, "M/d/yyyy"))
-    )
+    parts = F.split(value, r"[\-/.]")
+    first, second, third = (F.get(parts, k) for k in range(3))
+    sign = F.regexp_extract(value, r"[\-/.]", 0)
+    year_first = F.length(first) == 4
+    plain = F.concat_ws("/", *(F.when(year_first, a).otherwise(b) for a, b in ((third, first), (second, second), (first, third))))
+    day_first = F.try_to_date(plain, "d/M/yyyy").isNotNull()
+    parsed = F.coalesce(F.try_to_date(plain, "d/M/yyyy"), F.when(~year_first, F.try_to_date(plain, "M/d/yyyy")))
     days = F.datediff(parsed, F.lit("1900-01-01").cast("date")).cast("long")
-    day = F.date_add(F.lit("1900-01-01").cast("date"), permute(key, "date", days, F.lit(17), F.lit(4297)).cast("int"))
-    day_first = F.try_to_date(value, "d/M/yyyy").isNotNull()
-    pad = (F.length(F.get(parts, 0)) == 2) & (F.length(F.get(parts, 1)) == 2)
-    date = F.when(iso, F.date_format(day, "yyyy-MM-dd")).otherwise(
-        F.when(day_first, F.when(pad, F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "d/M/yyyy"))).otherwise(
-            F.when(pad, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "M/d/yyyy"))
-        )
-    )
-    # The country code and the first digit of a number stay, so that it keeps its format.
-    head = F.regexp_extract(value, r"\A(\+\d{1,3}?)(?=[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}\z)", 1)
+    moved = F.date_add(F.lit("1900-01-01").cast("date"), permute(key, "date", days, F.lit(17), F.lit(4297)).cast("int"))
+    pad = (F.length(F.when(year_first, third).otherwise(first)) == 2) & (F.length(second) == 2)
+    # The new date once, in the widths and the order of the old one.
+    shown = F.transform(F.array(moved), lambda x: F.struct(F.date_format(x, "yyyy").alias("y"), F.when(pad, F.date_format(x, "MM")).otherwise(F.date_format(x, "M")).alias("m"), F.when(pad, F.date_format(x, "dd")).otherwise(F.date_format(x, "d")).alias("d")))
+    date = F.element_at(F.transform(shown, lambda x: F.when(year_first, F.concat(x["y"], sign, x["m"], sign, x["d"])).when(day_first, F.concat(x["d"], sign, x["m"], sign, x["y"])).otherwise(F.concat(x["m"], sign, x["d"], sign, x["y"]))), 1)
+    date = F.when(parsed.isNotNull(), date)
+    # The country code of a number stays, so that it keeps its format.
+    head = F.regexp_extract(value, COUNTRY, 0)
     rest = F.substr(value, F.length(head) + 1)
     phone = F.concat(head, refill(rest, permute_digits(key, "phone", digits(rest))))
     ssn = refill(value, permute_digits(key, "ssn", d))
@@ -147,11 +174,12 @@ def pseudonym(value: Column, key: Column) -> Column:
     return (
         F.when(value.contains("@"), stream(key, "mail", value))
         .when(whole(value, "secret") & value.rlike("[A-Fa-f]"), hex_stream(key, value))
-        .when(whole(value, "date"), F.coalesce(date, value))
+        .when(value.rlike("\\A[A-Z]"), F.when(iban_rest(value) == 1, iban(key, value)).otherwise(value))
+        .when(value.rlike(DATE), F.coalesce(date, value))
         .when(valid_ip, ip)
         .when(whole(value, "ssn"), ssn)
         .when(whole(value, "card") & F.length(d).between(13, 19), F.when(luhn_sum(d) % 10 == 0, card).otherwise(value))
-        .when(whole(value, "phone") | value.rlike(r"\A\+"), phone)
+        .when(whole(value, "phone"), phone)
         .otherwise(value)
     )
 

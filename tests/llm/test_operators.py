@@ -201,6 +201,28 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pseudonymise(df, "another key").where("doc_id = 1").first().text != a
 
 
+def test_pseudonyms_of_other_groupings_and_after_signs(spark):
+    values = [
+        "+44 20 7946 0958", "+49 30 901820", "+33 1 23 45 67 89", "2125550100", "020 7946 0958", "01 23 45 67 89", "(030) 901820", "+12125550100", "2024/01/05", "05.03.1990",
+        "15-04-2021", "1990-1-5", "12/25/1999", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000",
+    ]
+    texts = values + [f"see {v}." for v in values]
+    framed = {"tel.212-555-0100": "212-555-0100", "SSN-123-45-6789": "123-45-6789", "id_123-45-6789": "123-45-6789", "at 2024-01-05T12:00:00Z": "2024-01-05", "x-a.b@c.example": "a.b@c.example", "Tel+442079460958": "2079460958"}
+    stay = ["v1.2.3.4.5", "300.1.1.1", "1700000000", "GB83 WEST 1234 5698 7654 32", "2024-13-45", "release 1.20.2021.7", "part 12-2021", "0.123456789"]
+    df = spark.createDataFrame(list(enumerate([*texts, *framed, *stay])), "doc_id long, text string")
+    got = [r.text for r in pseudonymise(df).orderBy("doc_id").collect()]
+    shape = lambda t: "".join("9" if c.isdigit() else "A" if c.isupper() else c for c in t)
+    for i, v in enumerate(values):
+        assert got[i] != v and got[len(values) + i] == f"see {got[i]}.", v
+        assert shape(got[i]) == shape(v) or v in ("1990-1-5",), (v, got[i])
+    for new, (old, value) in zip(got[len(texts) :], framed.items(), strict=False):
+        assert value not in new and new != old, (old, new)
+    assert got[len(texts) + 3].endswith("T12:00:00Z") and got[-len(stay) :] == stay
+    for i in (13, 14):
+        plain = got[i].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
 def test_permutation_is_one_to_one(spark):
     from mergewright.llm.op3_pii import permute, permute_digits
 
