@@ -9,6 +9,8 @@ nothing is padded. Only narrow rows are sorted; token ids move once, to meet the
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from bisect import bisect_right
 
@@ -34,13 +36,22 @@ def vocabulary_path() -> str:
 
 
 def encoder(path: str | None):
-    """The byte-level BPE of byte_bpe_50k.json, by its ranks: the same ids (tested), four times as fast. Strings of special tokens are ordinary text."""
+    """The byte-level BPE of byte_bpe_50k.json, by its ranks: the same ids (tested), four times as fast. encode_ordinary takes
+    strings of added tokens as text; encode_added gives them their ids, as the tokenizer does with its default settings."""
     import public_tokenizers
     import tiktoken
 
-    with open(path or vocabulary_path(), "rb") as f:
+    path = path or vocabulary_path()
+    with open(os.path.splitext(path)[0] + ".json", encoding="utf-8") as f:
+        added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encode_added(enc, text: str) -> list[int]:
+    """The ids of text, which is split at added tokens first."""
+    return enc.encode(text, allowed_special="all")
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -83,7 +94,7 @@ def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             ids, n, at = [], [], []
             for text in batch.column(1).to_pylist():
-                got = np.array(enc.encode_ordinary(text) if text else [], np.uint16)
+                got = np.array(encode_added(enc, text) if text else [], np.uint16)
                 c = table[got].sum(0) / np.sqrt(max(1, len(got)) * 40.0) if len(got) else np.zeros(DIMS)
                 at.append(np.tanh(c))
                 n.append(len(got) + 1)

@@ -300,6 +300,19 @@ def test_encoder_takes_special_strings_as_text():
         assert encoder(None).encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_added_tokens_are_those_of_the_tokenizer_by_default(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|><|endoftext|>  y<|endoftext", "plain"]
+    ids = [np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4") for x in texts]
+    assert 50256 in ids[0]
+    rows = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 1 << 20).collect()
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id]) and zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     key = hilbert_key(grid, 3)
