@@ -22,9 +22,10 @@ by_value(__name__)
 POWER = 0.7
 #: Share of the tokens to keep.
 SHARE = 0.8
-#: Cells whose table may go to the driver; beyond, rare sources are raked together.
+#: Cells whose table may go to the driver; beyond, sources are raked by the executors.
 CELLS = 200_000
 MARGINS = ("source", "lang", "topic")
+CHANCES = "m_source string, m_lang string, m_topic string, m_probability double"
 
 
 TOPICS = np.array(["table", "markup", "shouted", "long prose", "prose"])
@@ -104,19 +105,16 @@ def margins() -> dict:
     return {"source": value("source"), "lang": value("lang"), "topic": F.col("mix_topic")}
 
 
-def chances(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE) -> list[tuple[str, str, str, float]]:
-    """(source, lang, topic, probability) of each cell of measured docs: at most CELLS, and one for the rest of each language and topic."""
+def chances(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE) -> DataFrame:
+    """m_source, m_lang, m_topic, m_probability of each cell of measured docs."""
     weights = weights or {}
     cells = docs.groupBy(*[c.alias(k) for k, c in margins().items()]).agg(F.sum("mix_tokens").alias("tokens"))
-    top = cells.orderBy(F.desc("tokens"), *MARGINS).limit(CELLS).collect()
-    rest = cells.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).collect() if len(top) == CELLS else []
-    table = [(r.source, r.lang, r.topic, r.tokens) for r in top]
-    for r in rest:
-        left = r.tokens - sum(t for _, g, k, t in table if (g, k) == (r.lang, r.topic))
-        if left > 0:
-            table.append(("\x00rest", r.lang, r.topic, left))
+    table = cells.limit(CELLS + 1).collect()
+    if len(table) > CELLS:
+        return wide_chances(stash(cells, "cells"), weights, power, share)
+    table = sorted(((r.source, r.lang, r.topic, r.tokens) for r in table), key=lambda t: (-t[3], *t[:3]))
     if not table:
-        return []
+        return docs.sparkSession.createDataFrame([], CHANCES)
     tokens = np.array([t[3] for t in table], np.int64)
     codes, targets = [], []
     for k, margin in enumerate(MARGINS):
@@ -124,18 +122,99 @@ def chances(docs: DataFrame, weights: dict[str, dict] | None = None, power: floa
         codes.append(code)
         targets.append(shares(found.tolist(), np.bincount(code, tokens), weights.get(margin), power))
     p = calibrated(rake(tokens / tokens.sum(), codes, targets), tokens, share)
-    return [(s, g, k, float(x)) for (s, g, k, _), x in zip(table, p, strict=True)]
+    # At most CELLS rows.
+    return F.broadcast(docs.sparkSession.createDataFrame([(s, g, k, float(x)) for (s, g, k, _), x in zip(table, p, strict=True)], CHANCES))
+
+
+def wide_chances(cells: DataFrame, weights: dict[str, dict], power: float, share: float, rounds: int = 500, tolerance: float = 1e-9) -> DataFrame:
+    """chances() for any number of sources. A cell's raked weight is its tokens by a factor of its source, its language and its
+    topic. The driver holds the factors of languages and topics; in each round executors find those of the sources, which
+    follow from them, and return sums by language and topic."""
+    spark = cells.sparkSession
+    sums = [sorted((r[0], r.n) for r in cells.groupBy(m).agg(F.sum("tokens").alias("n")).collect()) for m in ("lang", "topic")]
+    names = [[k for k, _ in one] for one in sums]
+    goals = [shares(names[i], np.array([n for _, n in sums[i]], np.int64), weights.get(m), power) for i, m in enumerate(("lang", "topic"))]
+    total, n_lang, n_topic = sum(n for _, n in sums[0]), len(names[0]), len(names[1])
+    code = [{k: i for i, k in enumerate(one)} for one in names]
+    given = weights.get("source")
+    shared = spark.sparkContext.broadcast((code, given))
+
+    def coded(batches):
+        code, given = shared.value
+        for batch in batches:
+            found = batch.column("cells").to_pylist()
+            tokens = [[c["tokens"] for c in x] for x in found]
+            goal = [given.get(k, 0.0) if given else (sum(t) / total) ** power for k, t in zip(batch.column("source").to_pylist(), tokens, strict=True)]
+            at = [[code[0][c["lang"]] * n_topic + code[1][c["topic"]] for c in x] for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("source"), pa.array(at, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64())), pa.array(goal, pa.float64())], ["source", "at", "tokens", "goal"]
+            )
+
+    # A source has as many cells as languages and topics, at most.
+    grouped = cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "tokens")).alias("cells"))
+    table = stash(grouped.mapInArrow(coded, "source string, at array<long>, tokens array<long>, goal double"), "sources")
+    all_goals = table.agg(F.sum("goal")).first()[0]
+    lang, topic = np.ones(n_lang), np.ones(n_topic)
+
+    def raked(batch, factor):
+        """Place in the grid, tokens and raked weight of the cells of a batch."""
+        at, t = batch.column("at").flatten().to_numpy(), batch.column("tokens").flatten().to_numpy()
+        owner = np.repeat(np.arange(len(batch)), np.diff(np.asarray(batch.column("at").offsets)))
+        w = t * factor[at] / total
+        now = np.bincount(owner, w, len(batch))
+        return at, t, w * np.where(now > 0, batch.column("goal").to_numpy() / all_goals / np.where(now > 0, now, 1), 0)[owner]
+
+    for _ in range(rounds):
+        factor = np.outer(lang, topic).ravel()
+
+        def add(batches, factor=factor):
+            grid = np.zeros(n_lang * n_topic)
+            for batch in batches:
+                at, _, w = raked(batch, factor)
+                grid += np.bincount(at, w, len(grid))
+            some = np.flatnonzero(grid)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(grid[some])], ["at", "w"])
+
+        grid = np.zeros((n_lang, n_topic))
+        for r in table.mapInArrow(add, "at long, w double").groupBy("at").agg(F.sum("w").alias("w")).collect():
+            grid.ravel()[r["at"]] = r.w
+        worst = 0.0
+        for axis, own in ((1, lang), (0, topic)):
+            now, goal = grid.sum(axis), goals[1 - axis]
+            step = np.where(now > 0, goal / np.where(now > 0, now, 1), 0)
+            worst = max(worst, float(np.abs(now - goal).max()))
+            own *= step
+            grid *= step[:, None] if axis else step[None, :]
+        if worst <= tolerance:
+            break
+    factor = np.outer(lang, topic).ravel()
+
+    def ratios(batches):
+        for batch in batches:
+            at, t, w = raked(batch, factor)
+            size = np.diff(np.asarray(batch.column("at").offsets))
+            source = batch.column("source").take(pa.array(np.repeat(np.arange(len(batch)), size)))
+            named = [pa.array(names[0], pa.string()).take(pa.array(at // n_topic)), pa.array(names[1], pa.string()).take(pa.array(at % n_topic))]
+            yield pa.RecordBatch.from_arrays([source, *named, pa.array(t), pa.array(w / np.maximum(t, 1) * total)], ["m_source", "m_lang", "m_topic", "tokens", "ratio"])
+
+    ratio = stash(table.mapInArrow(ratios, "m_source string, m_lang string, m_topic string, tokens long, ratio double"), "ratios")
+    # As calibrated(): c rises as cells get full, until no more do.
+    c, full = 0.0, -1
+    while True:
+        sure = F.col("ratio") * F.lit(c) > 1
+        r = ratio.agg(F.count_if(sure).alias("n"), F.coalesce(F.sum(F.when(sure, F.col("tokens"))), F.lit(0)).alias("t"), F.sum(F.when(~sure, F.col("ratio") * F.col("tokens"))).alias("rest")).first()
+        if r.n == full:
+            break
+        full, c = r.n, (share * total - r.t) / r.rest if r.rest else float("inf")
+    chance = F.least(F.lit(1.0), F.lit(c) * F.col("ratio")) if c < float("inf") else F.when(F.col("ratio") > 0, 1.0).otherwise(0.0)
+    return ratio.select("m_source", "m_lang", "m_topic", chance.alias("m_probability"))
 
 
-def sampled(docs: DataFrame, cells: list[tuple[str, str, str, float]]) -> DataFrame:
+def sampled(docs: DataFrame, cells: DataFrame) -> DataFrame:
     """Measured docs with mix_probability and mix_kept."""
     names = margins()
-    known = docs.sparkSession.createDataFrame(cells, "m_source string, m_lang string, m_topic string, m_probability double")
-    other = known.where("m_source = '\x00rest'").select(F.col("m_lang").alias("r_lang"), F.col("m_topic").alias("r_topic"), F.col("m_probability").alias("r_probability"))
-    # Both are of at most CELLS rows and a row for each language and topic.
-    joined = docs.join(F.broadcast(known), (names["source"] == F.col("m_source")) & (names["lang"] == F.col("m_lang")) & (names["topic"] == F.col("m_topic")), "left")
-    joined = joined.join(F.broadcast(other), (names["lang"] == F.col("r_lang")) & (names["topic"] == F.col("r_topic")), "left")
-    chance = F.coalesce("m_probability", "r_probability")
+    joined = docs.join(cells, (names["source"] == F.col("m_source")) & (names["lang"] == F.col("m_lang")) & (names["topic"] == F.col("m_topic")), "left")
+    chance = F.col("m_probability")
     draw = F.conv(F.substr(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id"), F.lit(-1)).cast("string"))), F.lit(1), F.lit(12)), 16, 10).cast("double") / float(2**48)
     return joined.select(*docs.columns, chance.alias("mix_probability"), (draw < chance).alias("mix_kept"))
 

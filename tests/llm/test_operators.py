@@ -343,6 +343,19 @@ def test_mixture_keeps_the_share(spark):
     assert n["en"] / n["de"] == pytest.approx(1, abs=0.2)
 
 
+def test_many_cells_keep_their_own_targets(spark, monkeypatch):
+    from mergewright.llm import op6_mixing
+
+    texts = ["w " * 7, "| " * 9, "* x " * 5]
+    df = spark.createDataFrame([(i, texts[i * 7 % 3], "en" if i % 4 else "de", f"s{int((i % 97) ** 1.3) // 6}" if i % 13 else None) for i in range(3000)], "doc_id long, text string, lang string, source string")
+    for weights, share in ((None, 0.8), ({"source": {f"s{k}": 1.0 + k % 3 for k in range(60)}}, 0.3)):
+        got = []
+        for cells in (200_000, 8):
+            monkeypatch.setattr(op6_mixing, "CELLS", cells)
+            got.append([r.mix_probability for r in mixed(df, weights, share=share).orderBy("doc_id").collect()])
+        assert len(set(got[0])) > 60 and got[1] == pytest.approx(got[0], abs=1e-6)
+
+
 # ---- 7
 
 
