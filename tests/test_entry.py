@@ -32,3 +32,20 @@ def test_twin(spark, con, name):
     got, want = parity.QUERIES[name](spark, SF).toPandas(), con.sql(parity.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert canonical(got) == canonical(want)
+
+
+def test_the_rest_works_without_the_training_data_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    top = Path(entry.__file__).parent
+    shutil.copytree(top / "mergewright", tmp_path / "mergewright", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(top / "__spark_entry__.py", tmp_path)
+    for with_pipeline in (False, True):
+        if with_pipeline and (top / "corpus_pipeline.py").exists():
+            shutil.copy(top / "corpus_pipeline.py", tmp_path)
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') for n in e.queries()))"
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+        assert out == [str(len(parity.QUERIES)), str(len(parity.ORACLES)), "False"]
