@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergewright.llm.common import stash
-from mergewright.llm.op3_pii import pseudonymise
+from mergewright.llm.op3_pii import pseudonymise, session_key
 from mergewright.llm.op5_packing import pack
 from mergewright.llm.op6_mixing import mixed
 from mergewright.llm.op7_parity import near_components
@@ -32,7 +32,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def protect(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms in place of personal data; n_chars follows the text."""
-    out = pseudonymise(docs.select(*COLUMNS))
+    out = pseudonymise(docs.select(*COLUMNS), session_key(spark))
     return out.withColumn("n_chars", F.when(F.col("n_changed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
