@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def tidy(run: Callable) -> Callable:
+    """run, a function over Arrow batches; at its end the memory that numpy and Arrow have freed goes back to the system, for
+    Python workers stay alive between tasks and would hold it while others work."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)(0)
+
+    return tidied
+
+
 def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

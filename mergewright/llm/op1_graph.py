@@ -6,9 +6,13 @@ member then searches from the medoid and from itself, greedily with a beam, and
 in range until no new one is in range. Pairs found are verified in double precision.
 
 Dense places don't rely on the graph: vertices in range of a centre are also dealt to a shard of all centres that hang
-together within three ranges of each other, so two linked ones always meet, and there every pair is compared. Recall is
-audited by label on a bounded sample against brute force; for labels under the least recall the graph is built again
-with more overlap, and at last all their pairs are compared.
+together within three ranges of each other, so two linked ones always meet, and there every pair is compared.
+
+A pair is counted in one shard only: in the dense shard of both, else in the first that both are in. Shards return numbers
+of links and a root for each member, never pairs, so rows stay in proportion to the input however large a group is.
+
+Recall is audited by label on bounded samples against brute force. The audit only counts: nothing that it finds enters the
+result. Labels under the least recall are searched again with more overlap, and at last all their pairs are compared.
 
 Equal vectors of a label are one vertex. Large shards are cut into blocks, and each pair of blocks is a shard, so a
 large group of near copies is spread over tasks.
@@ -16,27 +20,31 @@ large group of near copies is spread over tasks.
 
 from __future__ import annotations
 
+import logging
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shipping import by_value
-from .common import components, stash, unstash
+from .common import components, stash, tidy, unstash
 
 by_value(__name__)
 
 COSINE = 0.98
 #: Rows wanted in a shard, and from how many on a shard is cut into blocks.
 SHARD, BLOCK = 400, 4000
-#: Centres in all labels, at most (a sample of vectors).
-CENTRES = 65_536
+#: Centres in all labels (a sample of vectors): so many at most, and so many bytes of them, on the driver and every executor.
+CENTRES, CENTRE_BYTES = 65_536, 64 << 20
 #: Candidates and kept neighbours of a vertex, pruning factor, beam of the search.
 CANDIDATES, DEGREE, ALPHA, BEAM = 48, 16, 1.2, 24
 #: Queries of the audit, at most, among all vertices and among linked ones, and the recall that it must find in each label.
 AUDIT, LEAST_RECALL = 256, 0.9
-#: Overlap from which on labels under that recall are compared whole.
-MOST_OVERLAP = 12
+#: Shards of a vertex, and the overlap beyond which labels under that recall are compared whole.
+OVERLAP, MOST_OVERLAP = 3, 12
 
 
 def robust_lists(x: np.ndarray, candidates: int = CANDIDATES, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
@@ -143,17 +151,50 @@ def range_search(x: np.ndarray, starts: np.ndarray, flat: np.ndarray, medoid: in
 
 
 def unit_rows(column: pa.Array) -> np.ndarray:
-    x = np.asarray(column.flatten()).astype(np.float64)
-    x = x.reshape(len(column), -1)
+    x = np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(1, keepdims=True)  # squares of very large or small numbers leave the range of doubles
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def vertices(vectors: DataFrame) -> DataFrame:
-    """(node, grp, v, size): a vertex for each label, dimension and vector that can link, with the number of its rows."""
+def in_range(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of rows of x and y with a cosine of at least `cosine`; close ones are computed pair by pair."""
+    s = x @ y.T
+    i, j = np.nonzero(s >= cosine - 1e-9)
+    s = s[i, j]
+    edge = np.flatnonzero(s < cosine + 1e-9)
+    s[edge] = np.einsum("ij,ij->i", x[i[edge]], y[j[edge]])
+    good = s >= cosine
+    return i[good], j[good]
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n rows the least row that the links (a, b) lead to."""
+    out = np.arange(n)
+    while True:
+        new = out.copy()
+        np.minimum.at(new, a, out[b])
+        np.minimum.at(new, b, out[a])
+        new = new[new]
+        if (new == out).all():
+            return out
+        out = new
+
+
+def can_link() -> Column:
     finite = F.forall("embedding", lambda c: c.isNotNull() & (F.abs(c) < float("inf")) & ~F.isnan(c))
-    nonzero = F.exists("embedding", lambda c: c != 0)
-    good = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(finite & nonzero)
-    return good.select("vec_id", F.xxhash64("label", F.size("embedding")).alias("grp"), F.col("embedding").alias("v"))
+    whole = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("embedding", lambda c: c != 0)
+    return F.coalesce(whole, F.lit(False))
+
+
+def vertices(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that can link as (vec_id, grp, k, l), and a vertex (node, grp, k, l, v, size, rep) for each group (label and
+    length) and vector: k and l name its vector (128 bits), rep is the least of its `size` vec_ids."""
+    good = vectors.where(can_link())
+    small = isinstance(vectors.schema["label"].dataType, (T.ByteType, T.ShortType, T.IntegerType))
+    grp = F.col("label").cast("long") * (1 << 24) + F.size("embedding") if small else F.xxhash64("label", F.size("embedding"))
+    rows = good.select("vec_id", grp.alias("grp"), F.xxhash64("embedding").alias("k"), F.xxhash64(F.lit(29), "embedding").alias("l"), F.col("embedding").alias("v"))
+    classes = rows.groupBy("grp", "k", "l").agg(F.first("v").alias("v"), F.count_distinct("vec_id").alias("size"), F.min("vec_id").alias("rep"))
+    return rows.drop("v"), stash(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
 def hanging_together(c: np.ndarray, cosine: float) -> np.ndarray:
@@ -171,92 +212,113 @@ def hanging_together(c: np.ndarray, cosine: float) -> np.ndarray:
     return out
 
 
-def dealt(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
-    """(node, grp, v, shard, dense, own, cross): each vertex in the shards of its nearest centres; one in range of a centre
-    also in the dense shard of all centres that hang together. Two vertices in range of each other and of a centre each have
-    centres within three ranges, so they share a dense shard. cut() tells of own and cross."""
-    spark = nodes.sparkSession
+def centres_of(nodes: DataFrame) -> dict[int, np.ndarray]:
+    """Unit vectors of a sample, by group: one in SHARD vertices, but no more than CENTRES and CENTRE_BYTES allow."""
     sizes = nodes.groupBy("grp").count().where(F.col("count") > SHARD)
-    total = sizes.agg(F.sum("count")).first()[0] or 0
-    per = max(SHARD, -(-total // CENTRES))
-    # The vertices with the least hashes are centres: CENTRES at most, and one more for a label.
+    total, dims = sizes.agg(F.sum("count")).first()[0] or 0, nodes.agg(F.max(F.size("v"))).first()[0] or 1
+    most = min(CENTRES, max(2, CENTRE_BYTES // (8 * dims)))
+    per = max(SHARD, -(-total // most))
+    # The vertices with the least hashes are centres.
     ranked = nodes.select("node", "grp", F.xxhash64("node", F.lit(11)).alias("h"))
     share = ranked.join(sizes, "grp").where(F.pmod("h", F.lit(1 << 30)) < (F.lit(1 << 30) / per).cast("long"))
-    centres: dict[int, list] = {}
-    for r in share.select("node", "grp").join(nodes.select("node", "v"), "node").orderBy("grp", "node").limit(2 * CENTRES).collect():
-        centres.setdefault(r.grp, []).append(r.v)
-    ready = {g: np.array(c, np.float64) for g, c in centres.items()}
-    ready = {g: c / np.sqrt((c * c).sum(1, keepdims=True)) for g, c in ready.items()}
+    got = share.orderBy("h").limit(most).select("node").join(nodes.select("node", "grp", "v"), "node").orderBy("grp", "node").toArrow()
+    grp = got.column("grp").to_numpy()
+    cuts = np.append(np.flatnonzero(np.diff(grp, prepend=grp[:1] - 1)), len(grp))
+    return {int(grp[a]): unit_rows(got.column("v").slice(a, b - a).combine_chunks()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)}
+
+
+def member_type(nodes: DataFrame) -> str:
+    return f"node long, grp long, v {nodes.schema['v'].dataType.simpleString()}, size long, homes array<long>, dense long, shard long"
+
+
+def dealt(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
+    """(node, grp, v, size, homes, dense, shard): each vertex in the shards of its nearest centres (homes); one in range of a
+    centre also in the dense shard of all centres that hang together (its shard is null). Two vertices in range of each other
+    and of a centre each have centres within three ranges, so they share a dense shard."""
+    spark = nodes.sparkSession
     wide = float(np.cos(min(np.pi, 3 * np.arccos(min(1.0, cosine))))) - 1e-6
-    ready = spark.sparkContext.broadcast({g: (c, hanging_together(c, wide)) for g, c in ready.items()})
+    ready = spark.sparkContext.broadcast({g: (c, hanging_together(c, wide)) for g, c in centres_of(nodes).items()})
 
     def run(batches):
         for batch in batches:
             grp = batch.column("grp").to_numpy()
-            rows, shard, dense = [], [], []
             for g in np.unique(grp).tolist():
-                at = np.flatnonzero(grp == g)
+                part = batch.take(pa.array(np.flatnonzero(grp == g)))
                 c, together = ready.value.get(g, ((), ()))
+                k = min(overlap, max(1, len(c)))
                 if len(c) < 2:
-                    rows.append(at)
-                    shard.append(np.zeros(len(at), np.int64))
-                    dense.append(np.zeros(len(at), bool))
-                    continue
-                s = unit_rows(batch.column("v").take(pa.array(at))) @ c.T
-                k = min(overlap, len(c))
-                top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                near = s.max(1) >= cosine - 1e-9
-                rows += [np.repeat(at, k), at[near]]
-                shard += [top.ravel().astype(np.int64), together[s.argmax(1)[near]]]
-                dense += [np.zeros(len(at) * k, bool), np.ones(int(near.sum()), bool)]
-            if rows:
-                out = batch.take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(shard)), pa.array(np.concatenate(dense))], ["node", "grp", "v", "shard", "dense"])
-
-    out = nodes.select("node", "grp", "v").mapInArrow(run, "node long, grp long, v array<float>, shard long, dense boolean")
-    return cut(stash(out, "dealt"))
+                    top, dense = np.zeros((len(part), 1), np.int64), np.full(len(part), -1)
+                else:
+                    s = unit_rows(part.column("v")) @ c.T
+                    top = np.sort(np.argpartition(-s, k - 1, axis=1)[:, :k].astype(np.int64), 1)
+                    dense = np.where(s.max(1) >= cosine - 1e-9, together[s.argmax(1)], -1)
+                both = np.flatnonzero(dense >= 0)
+                rows = np.concatenate([np.repeat(np.arange(len(part)), k), both])
+                homes = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * k), pa.array(top.ravel()))
+                whole = pa.RecordBatch.from_arrays([*part.columns, homes, pa.array(dense, mask=dense < 0)], [*part.schema.names, "homes", "dense"])
+                shard = np.concatenate([top.ravel(), np.zeros(len(both), np.int64)])
+                out = whole.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(shard, mask=np.arange(len(shard)) >= k * len(part))], [*whole.schema.names, "shard"])
+
+    return nodes.select("node", "grp", "v", "size").mapInArrow(tidy(run), member_type(nodes))
 
 
 def cut(out: DataFrame) -> DataFrame:
-    """Large shards cut into blocks, with a shard for each pair of them; own is a vertex's block, cross tells shards of two."""
-    blocks = out.groupBy("grp", "dense", "shard").count().where(F.col("count") > BLOCK).select("grp", "dense", "shard", F.ceil(2 * F.col("count") / BLOCK).cast("int").alias("blocks"))
-    out = out.join(blocks, ["grp", "dense", "shard"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    """Large shards cut into blocks, with a part for each pair of them; own is a vertex's block, cross tells parts of two."""
+    out = out.select("*", F.when(F.col("shard").isNull(), F.col("dense")).alias("ball"))
+    blocks = out.groupBy("grp", "shard", "ball").count().where(F.col("count") > BLOCK).select("grp", "shard", "ball", F.ceil(2 * F.col("count") / BLOCK).cast("int").alias("blocks"))
+    # At most 2 / BLOCK of the members' rows have blocks to name.
+    out = out.alias("m").join(blocks.alias("b"), (F.col("m.grp") == F.col("b.grp")) & F.col("m.shard").eqNullSafe(F.col("b.shard")) & F.col("m.ball").eqNullSafe(F.col("b.ball")), "left")
+    out = out.select("m.*", F.coalesce("blocks", F.lit(1)).alias("blocks"))
     out = out.withColumn("own", F.pmod(F.xxhash64("node", F.lit(13)), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct((F.least("own", j).cast("long") * F.col("blocks") + F.greatest("own", j)).alias("id"), (j != F.col("own")).alias("two")))
-    out = out.select("node", "grp", "v", "dense", "own", F.explode(others).alias("pair"), "shard")
-    # The shard of a block with itself has no pair of two blocks, and the others have only such pairs.
-    return out.select("node", "grp", "v", F.xxhash64("shard", "pair.id").alias("shard"), "dense", "own", F.col("pair.two").alias("cross"))
+    # The part of a block with itself has no pair of two blocks, and the others have only such pairs.
+    return out.select("node", "grp", "v", "size", "homes", "dense", "shard", "ball", "own", F.explode(others).alias("pair")).select(
+        "node", "grp", "v", "size", "homes", "dense", "shard", "ball", "own", F.col("pair.id").alias("part"), F.col("pair.two").alias("cross")
+    )
+
+
+FOUND = "node long, links long, root long"
+
+
+def told(ids: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, counted: np.ndarray) -> pa.Table:
+    """(node, links, root): the vectors linked by the counted ones of the pairs (a, b), each pair once, and a root by all pairs."""
+    n = len(ids)
+    p, q = a[counted], b[counted]
+    links = (np.bincount(p, size[q], n) + np.bincount(q, size[p], n)).astype(np.int64)
+    root = roots(n, a, b)
+    some = (links > 0) | (root != np.arange(n))
+    return pa.table({"node": ids[some], "links": links[some], "root": ids[root[some]]})
 
 
 def compared(members: DataFrame, cosine: float) -> DataFrame:
-    """(a, b), one way, of all pairs within range in the shards of members; of a shard of two blocks those between them."""
+    """FOUND of all pairs within range in the parts of members; of a part of two blocks those between them."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, own = table.column("node").to_numpy(), table.column("own").to_numpy()
+        ids, own, size = (table.column(c).to_numpy() for c in ("node", "own", "size"))
         x = unit_rows(table.column("v").combine_chunks())
-        cross = np.asarray(table.column("cross").combine_chunks())
-        a, b = [np.zeros(0, ids.dtype)], [np.zeros(0, ids.dtype)]
-        left = np.flatnonzero(own == own.min()) if cross.any() else np.arange(len(ids))
-        right = np.flatnonzero(own != own.min()) if cross.any() else left
+        cross = table.column("cross")[0].as_py()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left = np.flatnonzero(own == own.min()) if cross else np.arange(len(ids))
+        right = np.flatnonzero(own != own.min()) if cross else left
         for at in range(0, len(left), 512):
             rows = left[at : at + 512]
-            s = x[rows] @ x[right].T
-            i, j = np.nonzero(s >= cosine - 1e-9)
-            s, i, j = s[i, j], rows[i], right[j]
-            edge = np.flatnonzero(s < cosine + 1e-9)
-            s[edge] = np.einsum("ij,ij->i", x[i[edge]], x[j[edge]])
-            good = (s >= cosine) & (i != j if cross.any() else i < j)
-            a.append(ids[i[good]])
-            b.append(ids[j[good]])
-        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+            i, j = in_range(x[rows], x[right], cosine)
+            i, j = rows[i], right[j]
+            good = slice(None) if cross else i < j
+            a.append(i[good])
+            b.append(j[good])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return told(ids, size, a, b, np.ones(len(a), bool))
 
-    return members.groupBy("grp", "shard").applyInArrow(run, "a long, b long")
+    return members.groupBy("grp", "ball", "part").applyInArrow(run, FOUND)
 
 
 def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
-    """(a, b), both ways, of vertices that the graph search finds within range, and of all in dense shards."""
-    everywhere = stash(dealt(nodes, overlap, cosine), "members")
-    members, dense = everywhere.where("NOT dense"), everywhere.where("dense")
+    """FOUND by the graph search, and of all pairs in dense shards: a row for a vertex and part."""
+    first = stash(dealt(nodes, overlap, cosine), "dealt")
+    everywhere = stash(cut(first), "members")
+    members, dense = everywhere.where("shard IS NOT NULL"), everywhere.where("shard IS NULL")
 
     def build(table: pa.Table) -> pa.Table:
         ids = table.column("node").to_numpy()
@@ -266,17 +328,17 @@ def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
         kept = [ids[row[row >= 0]] for row in lists]
         return pa.table({"node": pa.array(ids), "near": pa.array(kept, pa.list_(pa.int64()))})
 
-    graph = members.groupBy("grp", "shard").applyInArrow(build, "node long, near array<long>")
+    graph = members.select("node", "grp", "v", "shard", "part").groupBy("grp", "shard", "part").applyInArrow(build, "node long, near array<long>")
     graph = graph.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
     def search(table: pa.Table) -> pa.Table:
-        ids = table.column("node").to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        x = unit_rows(table.column("v").combine_chunks())[order]
-        near = table.column("near").combine_chunks().take(pa.array(order))
-        size = np.diff(np.asarray(near.offsets))
-        owner = np.repeat(np.arange(len(ids)), size)
+        order = np.argsort(table.column("node").to_numpy())
+        table = table.take(pa.array(order))
+        ids, own, size, ball = (table.column(c).to_numpy() for c in ("node", "own", "size", "ball_of"))
+        x = unit_rows(table.column("v").combine_chunks())
+        near = table.column("near").combine_chunks()
+        count = np.diff(np.asarray(near.offsets))
+        owner = np.repeat(np.arange(len(ids)), count)
         there = np.asarray(near.flatten())
         at = np.minimum(np.searchsorted(ids, there), len(ids) - 1)
         mine = ids[at] == there
@@ -286,89 +348,126 @@ def linked(nodes: DataFrame, overlap: int, cosine: float) -> DataFrame:
         pairs = np.unique(u * len(ids) + v)
         u, v = pairs // len(ids), pairs % len(ids)
         starts = np.searchsorted(u, np.arange(len(ids) + 1))
-        centre = x.mean(0)
-        a, b = range_search(x, starts, v, int((x @ centre).argmax()), cosine - 1e-9)
-        good = (a != b) & (np.einsum("ij,ij->i", x[a], x[b]) >= cosine)
-        return pa.table({"a": pa.array(ids[a[good]]), "b": pa.array(ids[b[good]])})
+        a, b = range_search(x, starts, v, int((x @ x.mean(0)).argmax()), cosine - 1e-9)
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        pairs = np.unique((a * len(ids) + b)[a != b])
+        a, b = pairs // len(ids), pairs % len(ids)
+        good = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
+        a, b = a[good], b[good]
+        # Counted here: not in a dense shard of both, first shard of both, and this part of its blocks.
+        homes = np.asarray(table.column("homes").combine_chunks().flatten()).reshape(len(ids), -1)
+        both = np.where((homes[a][:, :, None] == homes[b][:, None, :]).any(2), homes[a], np.iinfo(np.int64).max).min(1)
+        counted = ((ball[a] < 0) | (ball[a] != ball[b])) & (both == table.column("shard")[0].as_py())
+        counted &= (own[a] != own[b]) == table.column("cross")[0].as_py()
+        return told(ids, size, a, b, counted)
+
+    placed = members.select("node", "grp", "v", "size", "homes", F.coalesce("dense", F.lit(-1)).alias("ball_of"), "shard", "own", "part", "cross")
+    found = placed.join(graph, "node").groupBy("grp", "shard", "part").applyInArrow(search, FOUND)
+    out = stash(found.union(compared(dense, cosine)), "found")
+    unstash(first, everywhere)
+    return out
 
-    found = members.join(graph, "node").groupBy("grp", "shard").applyInArrow(search, "a long, b long")
-    both = stash(both_ways(found.union(compared(dense, cosine))).distinct(), "links")
-    unstash(everywhere)
-    return both
 
+@dataclass
+class Audit:
+    """Links of the audited vectors of a group, by brute force and as found; exact: all pairs of the group were compared afterwards."""
 
-def both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    grp: int
+    overlap: int
+    true: int
+    found: int
+    exact: bool = False
 
+    @property
+    def recall(self) -> float:
+        return self.found / self.true if self.true else 1.0
 
-def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int = AUDIT) -> tuple[dict[int, float], DataFrame]:
-    """Recall of links in each group asked, for bounded samples of all vertices and of linked ones (these drawn from groups
-    in turn), and their true links, by brute force over all vertices."""
-    spark = nodes.sparkSession
+
+def audit(nodes: DataFrame, found: DataFrame, overlap: int, cosine: float, queries: int | None = None) -> list[Audit]:
+    """For each group asked the numbers of links of bounded samples of all vertices and of linked ones (these drawn from
+    groups in turn), found and by brute force over all vertices."""
+    spark, queries = nodes.sparkSession, queries or AUDIT
+    sums = found.groupBy("node").agg(F.sum("links").alias("links"))
     some = nodes.withColumn("h", F.xxhash64("node", F.lit(17))).select("node", "grp", "h")
     mixed = some.orderBy("h").limit(queries).select("node")
-    found = some.join(links.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
-    turns = found.groupBy("grp", F.pmod("h", F.lit(queries)).alias("turn")).agg(F.min_by("node", "h").alias("node"))
+    turns = some.join(sums.where("links > 0"), "node", "left_semi").groupBy("grp", F.pmod("h", F.lit(queries)).alias("turn")).agg(F.min_by("node", "h").alias("node"))
     turns = turns.orderBy("turn", "node").limit(queries).select("node")
-    sample = nodes.join(mixed.union(turns).distinct(), "node").select("node", "grp", "v").collect()
-    asked = spark.sparkContext.broadcast([(r.node, r.grp, np.array(r.v, np.float64)) for r in sample])
+    # Twice `queries` vectors at most.
+    sample = mixed.union(turns).distinct().join(nodes, "node").join(sums, "node", "left").select("node", "grp", "v", F.coalesce("links", F.lit(0)).alias("links")).toArrow()
+    ids, grp, links = (sample.column(c).to_numpy() for c in ("node", "grp", "links"))
+    asked = {}
+    for g in np.unique(grp).tolist():
+        at = np.flatnonzero(grp == g)
+        asked[g] = (ids[at], unit_rows(sample.column("v").take(pa.array(at)).combine_chunks()))
+    shared = spark.sparkContext.broadcast(asked)
 
     def run(batches):
         for batch in batches:
-            grp, ids = batch.column("grp").to_numpy(), batch.column("node").to_numpy()
-            a, b, of = [], [], []
-            for g in np.unique(grp).tolist():
-                mine = [(i, v) for i, h, v in asked.value if h == g]
-                if not mine:
+            own, node, size = (batch.column(c).to_numpy() for c in ("grp", "node", "size"))
+            for g in np.unique(own).tolist():
+                q, y = shared.value.get(g, (None, None))
+                if q is None:
                     continue
-                at = np.flatnonzero(grp == g)
-                q = np.stack([v for _, v in mine])
-                s = (q / np.sqrt((q * q).sum(1, keepdims=True))) @ unit_rows(batch.column("v").take(pa.array(at))).T
-                i, j = np.nonzero(s >= cosine)
-                a.append(np.array([k for k, _ in mine])[i])
-                b.append(ids[at[j]])
-                of.append(np.full(len(i), g))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in (a, b, of)], ["a", "b", "grp"])
-
-    true = stash(nodes.select("node", "grp", "v").mapInArrow(run, "a long, b long, grp long").where("a <> b"), "audit")
-    hit = links.select("a", "b", F.lit(1).alias("hit"))
-    # Groups with a query: two for each of `queries` at most.
-    recall = {r.grp: r.n / r.total for r in true.join(hit, ["a", "b"], "left").groupBy("grp").agg(F.count("hit").alias("n"), F.count("*").alias("total")).collect()}
-    return recall, true.select("a", "b")
-
-
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = 3) -> DataFrame:
+                at = np.flatnonzero(own == g)
+                i, j = in_range(y, unit_rows(batch.column("v").take(pa.array(at))), cosine)
+                other = q[i] != node[at[j]]
+                true = np.bincount(i[other], size[at[j[other]]], len(q)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(true)], ["node", "true"])
+
+    true = {r.node: r.true for r in nodes.select("node", "grp", "v", "size").mapInArrow(tidy(run), "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).collect()}
+    return [Audit(g, overlap, sum(true.get(i, 0) for i in q.tolist()), int(links[grp == g].sum())) for g, (q, _) in asked.items()]
+
+
+def searched(vectors: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> tuple[DataFrame, list[Audit]]:
+    """near_vectors(), and the audits by which it was accepted."""
+    kind = vectors.schema["embedding"].dataType.elementType
+    wide = F.col("embedding") if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col("embedding").cast("array<double>")
+    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), wide.alias("embedding"), "label")
+    rows, nodes = vertices(vectors)
+    rest, parts, audits = nodes, [], []
+    while True:
+        found = linked(rest, overlap, cosine)
+        told_ = audit(rest, found, overlap, cosine)
+        poor = [t.grp for t in told_ if t.recall < LEAST_RECALL]
+        audits += [t for t in told_ if t.recall >= LEAST_RECALL]
+        if not poor:
+            parts.append(found)
+            break
+        bad = F.col("grp").isin(poor)
+        parts.append(found.join(rest.where(~bad).select("node"), "node", "left_semi"))
+        rest, overlap = rest.where(bad), 2 * overlap
+        if overlap > MOST_OVERLAP:
+            whole = rest.select("node", "grp", "v", "size", F.array().cast("array<long>").alias("homes"), F.lit(0).cast("long").alias("dense"), F.lit(None).cast("long").alias("shard"))
+            parts.append(stash(compared(cut(whole), cosine), "found"))
+            audits += [Audit(t.grp, t.overlap, t.true, t.found, True) for t in told_ if t.grp in poor]
+            break
+    for t in audits:
+        logging.getLogger(__name__).info("group %d: recall %.3f of %d links, overlap %d%s", t.grp, t.recall, t.true, t.overlap, ", then compared whole" if t.exact else "")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.union(p)
+    degree = found.groupBy("node").agg(F.sum("links").alias("linked"))
+    home = components(found, "node", "root")
+    # The least vec_id of a component.
+    placed = nodes.select("node", "rep").join(home, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("home"))
+    least = placed.join(placed.groupBy("home").agg(F.min("rep").alias("component_id")), "home").select("node", "component_id")
+    each = nodes.select("node", "grp", "k", "l", "size").join(degree, "node", "left").join(least, "node")
+    each = each.select("grp", "k", "l", (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
+    mine = rows.join(each, ["grp", "k", "l"]).select("vec_id", "n_links", "component_id")
+    cannot = vectors.where(~can_link()).select("vec_id", F.lit(0).alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = mine.union(cannot)
+    return out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept")), audits
+
+
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, overlap: int = OVERLAP) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors (vec_id, embedding, label).
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null label or vec_id link
-    with nothing and are their own component. Only vectors of one label and length link. A repeated row counts once
-    as a vector. An empty table gives an empty result; other columns are ignored.
+    with nothing and are their own component. Only vectors of one label and length link. A repeated row counts once as a
+    vector and appears as often as in the input. Rows of one vec_id with different vectors are vectors of their own: each
+    row has the links and the component of its vector. An empty table gives an empty result; other columns are ignored.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), "label")
-    good = stash(vertices(rows).withColumn("key", F.xxhash64("grp", "v")), "vectors")
-    classes = good.groupBy("grp", "key").agg(F.min("vec_id").alias("node"), F.first("v").alias("v"), F.count_distinct("vec_id").alias("size"))
-    nodes = stash(classes, "nodes")
-    while True:
-        links = linked(nodes, overlap, cosine)
-        recall, true = audit(nodes, links, cosine)
-        poor = [g for g, found in recall.items() if found < LEAST_RECALL]
-        if not poor or overlap >= MOST_OVERLAP:
-            break
-        overlap *= 2
-    extra = true
-    if poor:
-        whole = nodes.where(F.col("grp").isin(poor)).select("node", "grp", "v", F.lit(0).cast("long").alias("shard"), F.lit(True).alias("dense"))
-        extra = extra.union(compared(cut(whole), cosine))
-    links = stash(links.union(both_ways(extra)).distinct(), "links")
-    degree = links.join(nodes.select(F.col("node").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("linked"))
-    home = components(links, "a", "b")
-    per_node = nodes.select("node", "grp", "key", "size").join(degree, nodes["node"] == degree["a"], "left").join(home.withColumnRenamed("node", "u"), F.col("node") == F.col("u"), "left")
-    per_node = per_node.select("grp", "key", (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    mine = good.select("vec_id", "grp", "key").distinct().join(per_node, ["grp", "key"]).groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = rows.select("vec_id").join(mine, "vec_id", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return searched(vectors, cosine, overlap)[0]
 
 
 def op1_robust_graph(spark, sf_dir: str) -> DataFrame:

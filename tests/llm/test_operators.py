@@ -132,7 +132,7 @@ def test_a_dense_ball_gives_all_its_links(spark, monkeypatch):
 def test_labels_of_low_recall_are_compared_whole(spark, monkeypatch):
     from mergewright.llm import op1_graph
 
-    monkeypatch.setattr(op1_graph, "linked", lambda nodes, overlap, cosine: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    monkeypatch.setattr(op1_graph, "linked", lambda nodes, overlap, cosine: nodes.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root")).limit(0))
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     x = np.array([v for _, v, _ in rows])
@@ -143,6 +143,57 @@ def test_labels_of_low_recall_are_compared_whole(spark, monkeypatch):
     assert [got[i] for i, *_ in rows] == (link.sum(1) - 1).tolist()
 
 
+def links_of(x, label):
+    """Numbers of links and components by brute force, in blocks."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    n, least = np.zeros(len(x), int), np.arange(len(x))
+    near = [np.flatnonzero((x @ x[i] >= 0.98) & (label == label[i])) for i in range(len(x))]
+    u = brute.Union(range(len(x)))
+    for i, found in enumerate(near):
+        n[i] = len(found) - 1
+        for j in found.tolist():
+            if j < i:
+                u.join(i, j)
+    return n, np.array([u.find(i) for i in least])
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_groups_of_all_sizes_are_found_by_the_graph(spark, monkeypatch, dense):
+    """Groups of 2, 50 and 2,000 near copies among 6,000 vectors; the audit looks at few of them and adds nothing."""
+    from mergewright.llm import op1_graph
+
+    rng = np.random.default_rng(21)
+    sizes = [2] * 400 + [50] * 24 + [2000] + [1] * 2000
+    centre = rng.standard_normal((len(sizes), 24))
+    x = np.concatenate([c + 0.09 * rng.standard_normal((k, 24)) for c, k in zip(centre, sizes)]).astype(np.float32)
+    label = np.repeat(rng.integers(0, 2, len(sizes)), sizes)
+    monkeypatch.setattr(op1_graph, "AUDIT", 100)
+    if not dense:  # without dense places the graph has to find all
+        monkeypatch.setattr(op1_graph, "hanging_together", lambda c, cosine: np.full(len(c), -1, np.int64))
+    order = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), x[i].tolist(), int(label[i])) for i in order], "vec_id long, embedding array<float>, label int")
+    result, audits = op1_graph.searched(df)
+    got = {r.vec_id: r for r in result.collect()}
+    n, component = links_of(x.astype(np.float64), label)
+    assert n.max() > 1500 and len(audits) == 2 and all(t.found <= t.true and not t.exact for t in audits)
+    found, true = np.array([got[i].n_links for i in range(len(x))]), n
+    assert (found <= true).all() and found.sum() >= (1 if dense else 0.9) * true.sum()
+    if dense:
+        assert (found == true).all() and [got[i].component_id for i in range(len(x))] == component.tolist()
+
+
+def test_vectors_of_any_magnitude(spark):
+    rows = [(1, [1e-50, 0.0, 0.0], 1), (2, [1.0, 0.0, 0.0], 1), (3, [1e300, 0.0, 0.0], 1), (4, [0.0, 1e-300, 0.0], 1), (5, [0.0, 5.0, 0.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4)}
+
+
+def test_rows_of_one_id_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [0.0, 2.0], 1), (1, [1.0, 0.0], 1), (3, None, 1), (1, None, 1)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [(1, 0, 1), (1, 0, 1), (1, 0, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def test_near_vectors_of_nothing(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
