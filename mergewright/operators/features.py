@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.fuzzy import jaccard, jaro_winkler, word_set
+from ..functions.fuzzy import best_of_names, jaccard, jaro_winkler, word_set
 
 SIDE = (
     "name_clean", "name_core", "alt_names", "address_line_clean", "postcode", "city", "phone_clean", "email_clean", "is_generic_email_domain",
     "website_domain", "nzbn", "company_no", "charity_reg_no", "charity_parent_reg_no",
 )
+#: Values that few records may share, and the names of their features.
+SHARED = {"email_clean": "email", "phone_clean": "phone", "website_domain": "website", "nzbn": "nzbn", "company_no": "company_no"}
 FEATURES = (
     "pair_id", "name_jw", "name_core_jw", "name_core_jw_rev", "alt_name_jw", "address_jw", "name_token_jaccard", "postcode_eq", "city_eq", "phone_eq",
     "email_eq", "website_eq", "nzbn_eq", "company_no_eq", "same_parent_charity", "email_shared_count", "phone_shared_count", "website_shared_count",
@@ -26,14 +28,12 @@ def with_sides(pairs: DataFrame, std: DataFrame, columns=SIDE) -> DataFrame:
     return pairs
 
 
-def alt_name_similarity(sided: DataFrame) -> DataFrame:
-    """alt_name_jw: the best of all names of one side against all of the other, each the lesser of forward and reversed similarity; only where a side has other names."""
-    names = lambda s: F.concat(F.array_compact(F.array(f"{s}_name_clean")), F.coalesce(f"{s}_alt_names", F.array().cast("array<string>")))
-    some = (F.size(F.coalesce("l_alt_names", F.array().cast("array<string>"))) > 0) | (F.size(F.coalesce("r_alt_names", F.array().cast("array<string>"))) > 0)
-    pairs = sided.where(some).select("pair_id", names("l").alias("ls"), names("r").alias("rs"))
-    combos = pairs.select("pair_id", F.explode("ls").alias("a"), "rs").select("pair_id", "a", F.explode("rs").alias("b"))
-    both = F.least(jaro_winkler(F.col("a"), F.col("b")), jaro_winkler(F.reverse("a"), F.reverse("b")))
-    return combos.groupBy("pair_id").agg(F.max(both).alias("alt_name_jw"))
+def alt_name_similarity() -> Column:
+    """The best of all names of one side against all of the other; only where a side has other names."""
+    others = lambda s: F.coalesce(f"{s}_alt_names", F.array().cast("array<string>"))
+    names = lambda s: F.concat(F.array_compact(F.array(f"{s}_name_clean")), others(s))
+    some = (F.size(others("l")) > 0) | (F.size(others("r")) > 0)
+    return best_of_names(F.when(some, names("l")), F.when(some, names("r")))
 
 
 def best_jaccard() -> Column:
@@ -53,41 +53,50 @@ def equal(column: str) -> Column:
     return F.col(f"l_{column}") == F.col(f"r_{column}")
 
 
-def counts(std: DataFrame, value: Column, name: str) -> DataFrame:
-    return std.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias(name))
+def with_counts(std: DataFrame) -> DataFrame:
+    """Records with the number of records that have their email address, phone and so on; counted once for each record, not for each pair."""
+    values = {f"{name}_n": F.col(c) for c, name in SHARED.items()} | {"address_n": F.concat("address_line_clean", F.lit("|"), "postcode")}
+    out = std.select("record_key", *SIDE)
+    for name, value in values.items():
+        n = out.select(value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias(name))
+        out = out.join(n, value == F.col("v"), "left").drop("v")
+    return out
 
 
 def match_features(pairs: DataFrame, std: DataFrame) -> DataFrame:
-    sided = with_sides(pairs.select("pair_id", "left_key", "right_key"), std)
-    address = lambda s: F.concat(f"{s}_address_line_clean", F.lit("|"), f"{s}_postcode")
+    counted = with_counts(std)
+    extra = [c for c in counted.columns if c.endswith("_n")]
+    sided = with_sides(pairs.select("pair_id", "left_key", "right_key"), counted, (*SIDE, *extra))
     out = sided.select(
+        "*",
+        equal("phone_clean").alias("phone_eq"),
+        F.when(~(F.col("l_is_generic_email_domain") | F.col("r_is_generic_email_domain")), equal("email_clean")).alias("email_eq"),
+        equal("website_domain").alias("website_eq"),
+        equal("nzbn").alias("nzbn_eq"),
+        equal("company_no").alias("company_no_eq"),
+    )
+    # Where the values are equal, so are their counts.
+    shared = [F.when(F.col(f"{name}_eq"), F.col(f"l_{name}_n")).alias(f"{name}_shared_count") for name in SHARED.values()]
+    larger = F.when(F.col("l_address_n").isNotNull() & F.col("r_address_n").isNotNull(), F.greatest("l_address_n", "r_address_n"))
+    return out.select(
         "pair_id",
         jaro_winkler(F.col("l_name_clean"), F.col("r_name_clean")).alias("name_jw"),
         jaro_winkler(F.col("l_name_core"), F.col("r_name_core")).alias("name_core_jw"),
         jaro_winkler(F.reverse("l_name_core"), F.reverse("r_name_core")).alias("name_core_jw_rev"),
         jaro_winkler(F.col("l_address_line_clean"), F.col("r_address_line_clean")).alias("address_jw"),
+        alt_name_similarity().alias("alt_name_jw"),
         best_jaccard().alias("name_token_jaccard"),
         equal("postcode").alias("postcode_eq"),
         equal("city").alias("city_eq"),
-        equal("phone_clean").alias("phone_eq"),
-        F.when(~(F.col("l_is_generic_email_domain") | F.col("r_is_generic_email_domain")), equal("email_clean")).alias("email_eq"),
-        equal("website_domain").alias("website_eq"),
-        equal("nzbn").alias("nzbn_eq"),
-        equal("company_no").alias("company_no_eq"),
+        "phone_eq",
+        "email_eq",
+        "website_eq",
+        "nzbn_eq",
+        "company_no_eq",
         (equal("charity_parent_reg_no") & ~equal("charity_reg_no")).alias("same_parent_charity"),
-        *[F.col(f"l_{c}").alias(f"v_{c}") for c in ("email_clean", "phone_clean", "website_domain", "nzbn", "company_no")],
-        address("l").alias("l_address"),
-        address("r").alias("r_address"),
-    )
-    shared = (("email_clean", "email"), ("phone_clean", "phone"), ("website_domain", "website"), ("nzbn", "nzbn"), ("company_no", "company_no"))
-    for column, name in shared:
-        n = counts(std, F.col(column), f"{name}_shared_count")
-        out = out.join(n, (F.col("v") == F.col(f"v_{column}")) & F.col(f"{name}_eq"), "left").drop("v")
-    at = counts(std, F.concat("address_line_clean", F.lit("|"), "postcode"), "n")
-    for s in "lr":
-        out = out.join(at.select(F.col("v").alias(f"{s}_address"), F.col("n").alias(f"{s}_n")), f"{s}_address", "left")
-    larger = F.when(F.col("l_n").isNotNull() & F.col("r_n").isNotNull(), F.greatest("l_n", "r_n"))
-    return out.withColumn("address_shared_count", larger).join(alt_name_similarity(sided), "pair_id", "left").select(*FEATURES)
+        *shared,
+        larger.alias("address_shared_count"),
+    ).select(*FEATURES)
 
 
 def summary(features: DataFrame) -> DataFrame:

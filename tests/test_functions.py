@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from mergewright.functions import text as X
-from mergewright.functions.fuzzy import jaro_winkler, jaro_winkler_ratio
+from mergewright.functions.fuzzy import best_of_names, distinct_ratios, jaro_winkler, jaro_winkler_ratio
 
 CASES = {
     "name_clean": (X.name_clean, [
@@ -48,6 +48,31 @@ def test_sql_functions(spark):
     assert (r.a, r.b, r.c) == ("OTAGO RUGBY", "068710793", True)
 
 
+def plain_jaro_winkler(a: str, b: str) -> float:
+    if a == b:
+        return 1.0 if a else 0.0
+    reach, free, hits = max(max(len(a), len(b)) // 2 - 1, 0), [True] * len(b), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if free[j] and b[j] == c:
+                free[j] = False
+                hits.append(c)
+                break
+    if not hits:
+        return 0.0
+    k = len(hits)
+    turned = sum(x != y for x, y in zip(hits, (c for c, f in zip(b, free) if not f))) // 2
+    ratio = (k / len(a) + k / len(b) + (k - turned) / k) / 3
+    prefix = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(4, len(a), len(b)))
+    return ratio + (prefix * 0.1 * (1 - ratio) if ratio > 0.7 else 0)
+
+
+@given(st.lists(st.tuples(st.text("abcé ", max_size=14), st.text("abcé ", max_size=14)), max_size=12))
+def test_jaro_winkler_side_by_side(pairs):
+    got = distinct_ratios([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == pytest.approx([plain_jaro_winkler(a, b) for a, b in pairs], abs=1e-12)
+
+
 @given(st.text(max_size=12), st.text(max_size=12))
 def test_jaro_winkler_properties(a, b):
     x = jaro_winkler_ratio(a, b)
@@ -60,3 +85,10 @@ def test_jaro_winkler_known(spark):
     assert jaro_winkler_ratio("DIXON", "DICKSONX") == pytest.approx(0.8133, abs=1e-4)
     row = spark.createDataFrame([("a", None), ("MARTHA", "MARHTA")], "a string, b string").select(jaro_winkler(F.col("a"), F.col("b")).alias("s")).collect()
     assert row[0].s is None and float(row[1].s) == 96.11
+
+
+def test_best_of_names(spark):
+    rows = [(["MARTHA", "X"], ["MARHTA", None]), ([], ["A"]), (None, ["A"]), (["AB"], ["AB", "CD"])]
+    got = [r.s for r in spark.createDataFrame(rows, "l array<string>, r array<string>").select(best_of_names(F.col("l"), F.col("r")).alias("s")).collect()]
+    both = min(plain_jaro_winkler("MARTHA", "MARHTA"), plain_jaro_winkler("AHTRAM", "ATHRAM"))
+    assert float(got[0]) == round(100 * both, 2) and got[1] is None and got[2] is None and float(got[3]) == 100
