@@ -587,12 +587,75 @@ def test_quality_without_labels(docs):
 # ---- 9, 10
 
 
+def wrapped(text: str, width: int = 60, prefix: str = " * ") -> str:
+    import textwrap
+
+    return "\n".join(prefix + x for x in textwrap.wrap(text, width))
+
+
 def test_licences(spark):
-    texts = {1: "prose\nReleased under the MIT license\nmore", 2: "All rights reserved.", 3: "This work is licensed under the GNU General Public License version 3", 4: "rights are reserved", 5: None, 6: "", 7: "Licensed under CC BY-NC 4.0.\n" * 3}
-    got = {r.doc_id: r for r in scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
-    assert (got[1].best_licence, got[1].allowed) == ("MIT", True) and (got[2].best_licence, got[2].allowed) == ("proprietary", False)
-    assert got[3].licences == "GPL-3.0" and not got[3].allowed and got[7].n_lines == 3 and got[7].best_percent == 100
-    assert all(got[i].best_licence is None and got[i].allowed and got[i].n_lines == 0 for i in (4, 5, 6))
+    from mergewright.llm.licence_texts import TEMPLATES
+
+    full = {}
+    for name, text in TEMPLATES:
+        if len(text) > len(full.get(name, "")):
+            full[name] = text
+    mit = f"MIT License\n\nCopyright (c) 2021 A. Person. All rights reserved.\n\n{wrapped(full['MIT'], 72, '')}\n"
+    cases = {
+        "prose\nReleased under the MIT license\nmore": ("MIT", 1, True), "All rights reserved.": ("proprietary", 1, False), "rights are reserved": ("", 0, True), None: ("", 0, True), "": ("", 0, True),
+        "This work is licensed under the GNU General Public License version 3": ("GPL-3.0", 1, False), "Licensed under CC BY-NC 4.0.\n" * 3: ("CC-BY-NC-4.0", 3, False),
+        "The book was Released under the MIT License. It went on.": ("MIT", 1, True), "// SPDX-License-Identifier: MIT\nint x;": ("MIT", 1, True), "# SPDX-License-Identifier: GPL-2.0-only": ("GPL-2.0-only", 1, False),
+        "Some prose here that ends the page. Licensed under CC BY-NC 4.0.": ("CC-BY-NC-4.0", 1, False), "Copyright 2020 X. All rights reserved. No part may be copied.": ("proprietary", 1, False),
+        mit: ("MIT,proprietary", 2, True), wrapped(full["GPL-3.0"]): ("GPL-3.0", 1, False), wrapped(full["LGPL-2.1"].replace("library", "code")): ("LGPL-2.1", 1, False), wrapped(full["BSD-2-Clause"]): ("BSD-2-Clause", 1, True),
+        wrapped(full["BSD-3-Clause"].replace("COPYRIGHT HOLDERS AND CONTRIBUTORS", "REGENTS")): ("BSD-3-Clause", 1, True), wrapped(full["Apache-2.0"], 50, "// "): ("Apache-2.0", 1, True), full["ISC"].upper(): ("ISC", 1, True),
+        "word " * 5000 + "Licensed under CC BY 4.0." + " word" * 5000: ("CC-BY-4.0", 1, True), "license version software permission": ("", 0, True),
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r for r in scan(df).collect()}
+    for i, (text, (ids, n, allowed)) in enumerate(cases.items()):
+        assert (got[i].licences, got[i].n_matches, got[i].allowed) == (ids, n, allowed), text
+    assert [got[i].best_percent for i in (0, 1, 2)] == [100, 100, 0] and 80 <= min(r.best_percent for r in got.values() if r.n_matches) < 100
+    one = scan(df, templates=[("X", "licensed under cc")], percent=100, permissive=()).collect()
+    assert sum(r.n_matches for r in one) == 5
+
+
+def test_licences_without_the_bounds_are_the_same(spark):
+    """Against every window, by a plain loop."""
+    from mergewright.llm.licence_texts import TEMPLATES
+    from mergewright.llm.op9_licences import bigrams_of, matched, words_of
+
+    rng = random.Random(9)
+    texts = []
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            words = words_of(rng.choice(TEMPLATES)[1])[: rng.choice((6, 20, 400))]
+            for _ in range(rng.randint(0, 1 + len(words) // 12)):
+                k = rng.randrange(len(words))
+                words[k : k + rng.randint(0, 1)] = rng.choices(["and", "the", "software", "license"], k=rng.randint(0, 2))
+            parts += words + rng.choices(["of", "the", "work", "a"], k=rng.randint(0, 3))
+        texts.append(" ".join(parts))
+    got = {r.doc_id: sorted((m.start, m.rank, m.percent) for m in r.matches or []) for r in matched(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    ready = [(rank, len(words_of(t)), set(bigrams_of(t))) for rank, (_, t) in enumerate(TEMPLATES)]
+    some = 0
+    for i, text in enumerate(texts):
+        w = words_of(text)
+        b = [f"{x} {y}" for x, y in zip(w, w[1:])]
+        kept = []
+        for rank, size, g in ready:
+            own = []
+            for k, x in enumerate(b):
+                if x in g:
+                    window = set(b[k : k + size - 1])
+                    c = len(window & g)
+                    if 200 * c >= 80 * (len(window) + len(g)):
+                        own.append((c, 200 * c // (len(window) + len(g)), -k, k, size, rank))
+            kept += [x for x in own if not any(abs(o[3] - x[3]) < size and o[:3] > x[:3] for o in own)]
+        over = lambda o, x: o[3] < x[3] + x[4] and x[3] < o[3] + o[4]
+        want = sorted((x[3], x[5], x[1]) for x in kept if not any(over(o, x) and (o[0], o[1], -o[5]) > (x[0], x[1], -x[5]) for o in kept))
+        assert got[i] == want, text
+        some += sum(80 <= p < 100 for *_, p in want)
+    assert some > 50
 
 
 def test_lines(spark):
