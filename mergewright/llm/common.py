@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
@@ -65,6 +65,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def let(value: Column, f) -> Column:
+    """f(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def few(df: DataFrame, rows: int, each: int = 100_000) -> DataFrame:
+    """df, whose last step is cheap and gives up to `rows` rows, in no more partitions than these fill: a file for each
+    shuffle partition would cost more than its rows."""
+    return df.coalesce(max(4, min(n_shuffle(df.sparkSession), -(-rows // each))))
+
+
 def tidy(run: Callable) -> Callable:
     """run, a function over Arrow batches; at its end the memory that numpy and Arrow have freed goes back to the system, for
     Python workers stay alive between tasks and would hold it while others work."""
@@ -161,7 +172,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     e = stash(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
+    rows, before = e.count(), None
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -169,11 +180,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         down = large.where("u <> v").distinct()
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        new = stash(small.where("u <> v").distinct(), "edges")
+        # Edges never get more.
+        new = stash(few(small.where("u <> v").distinct(), rows), "edges")
         unstash(e)
         e = new
         state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break
-        before = state
+        rows, before = state[0], state
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v"), F.col("v")).distinct())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import mix, n_shuffle, powers, release, small_batches, stash, text_chunks, unstash
+from .common import mix, n_shuffle, powers, release, small_batches, stash, text_chunks, tidy, unstash
 
 by_value(__name__)
 
@@ -165,7 +165,7 @@ def found_stretches(docs: DataFrame) -> DataFrame:
         if size:
             yield from flush()
 
-    return docs.select("name", F.col("text").cast("binary").alias("bytes")).mapInArrow(run, "dest int, records binary, text long, spans binary")
+    return docs.select("name", F.col("text").cast("binary").alias("bytes")).mapInArrow(tidy(run), "dest int, records binary, text long, spans binary")
 
 
 def split_stretches(r: np.ndarray, step: int = STEP) -> np.ndarray:
@@ -217,7 +217,7 @@ def met_stretches(records: DataFrame, common: int = COMMON) -> DataFrame:
             parts = np.split(ask, cuts)
             yield pa.RecordBatch.from_arrays([pa.array([int(x["text"][0]) for x in parts], pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
-    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(run, "text long, spans binary, records binary")
+    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(tidy(run), "text long, spans binary, records binary")
 
 
 def read_stretches(asked: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def read_stretches(asked: DataFrame) -> DataFrame:
                     ["dest", "heads", "bodies"],
                 )
 
-    return asked.mapInArrow(run, "dest int, heads binary, bodies binary")
+    return asked.mapInArrow(tidy(run), "dest int, heads binary, bodies binary")
 
 
 def common_extension(sums: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -365,7 +365,7 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
             yield from solve(r[a:b], data[index])
             at = to
 
-    return read.repartition(n_shuffle(read.sparkSession), "dest").mapInArrow(run, "text long, spans binary")
+    return read.repartition(n_shuffle(read.sparkSession), "dest").mapInArrow(tidy(run), "text long, spans binary")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -419,7 +419,7 @@ def removed_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return docs.join(cover, "name", "left").select("doc_id", F.col("text").cast("binary").alias("bytes"), "whole", "spans").mapInArrow(finish, RESULT)
+    return docs.join(cover, "name", "left").select("doc_id", F.col("text").cast("binary").alias("bytes"), "whole", "spans").mapInArrow(tidy(finish), RESULT)
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:

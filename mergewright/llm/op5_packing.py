@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import n_shuffle, small_batches, stash
+from .common import n_shuffle, small_batches, stash, tidy
 
 by_value(__name__)
 
@@ -107,7 +107,7 @@ def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
             )
             uid += rows
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, TOKENS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(tidy(run), TOKENS)
 
 
 def tail_cuts(total: int, seq_len: int) -> list[int]:
@@ -143,7 +143,7 @@ def pack(docs: DataFrame, seq_len: int = 1024, path: str | None = None) -> DataF
             at = int(ends[-1]) if len(n) else at
 
     order = tokens.select("key", "uid", "n").repartitionByRange(n_shuffle(spark), "key", "uid").sortWithinPartitions("key", "uid")
-    places = stash(order.select("uid", "n").mapInArrow(running, "uid long, part int, at long, n long"), "places")
+    places = stash(order.select("uid", "n").mapInArrow(tidy(running), "uid long, part int, at long, n long"), "places")
     # One row for each partition of the sort.
     sums = {r.part: r.n for r in places.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     firsts, total = {}, 0
@@ -174,7 +174,7 @@ def pack(docs: DataFrame, seq_len: int = 1024, path: str | None = None) -> DataF
             cols = list(zip(*out, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], PIECES.replace(" long", "").split(", "))
 
-    return tokens.select("uid", "doc_id", "ids").join(places, "uid").select("doc_id", "part", "at", "n", "ids").mapInArrow(cut, PIECES)
+    return tokens.select("uid", "doc_id", "ids").join(places, "uid").select("doc_id", "part", "at", "n", "ids").mapInArrow(tidy(cut), PIECES)
 
 
 def op5_hilbert_packing(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import components, mix, n_shuffle, release, small_batches, stash, text_chunks, unstash, word_hashes
+from .common import components, few, mix, n_shuffle, release, small_batches, stash, text_chunks, tidy, unstash, word_hashes
 
 by_value(__name__)
 
@@ -147,7 +147,7 @@ def described(docs: DataFrame) -> DataFrame:
                 [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
             )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, sketch binary, part int, slice int, counts binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, node long, n long, sketch binary, part int, slice int, counts binary")
 
 
 def rarity(shares: DataFrame) -> np.ndarray:
@@ -173,7 +173,7 @@ def rarity(shares: DataFrame) -> np.ndarray:
 
     while True:
         to = max(1, min(SLICES * (parts // 64 + 1), n_shuffle(shares.sparkSession)))
-        shares = shares.repartition(to, F.floor(F.col("part") / 64), "slice").mapInArrow(add, "part int, slice int, counts binary, width int")
+        shares = shares.repartition(to, F.floor(F.col("part") / 64), "slice").mapInArrow(tidy(add), "part int, slice int, counts binary, width int")
         parts = (parts + 63) // 64
         if parts == 1:
             break
@@ -274,7 +274,7 @@ def shown(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
         if size:
             yield packed(held)
 
-    return docs.mapInArrow(run, "dest int, records binary")
+    return docs.mapInArrow(tidy(run), "dest int, records binary")
 
 
 def met(records: DataFrame) -> DataFrame:
@@ -315,7 +315,7 @@ def met(records: DataFrame) -> DataFrame:
             x = m[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), pa.array(x.view(np.int64)), pa.array(s[at : at + 100_000].view(np.int64))], ["a", "b", "sig"])
 
-    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(run, "a long, b long, sig long")
+    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(tidy(run), "a long, b long, sig long")
 
 
 def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -334,7 +334,7 @@ def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     right = classes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
     # Sizes first, so that few sketches travel.
     fit = pairs.join(left.select("a", "n"), "a").join(right.select("b", "m"), "b").where(f"{percent} * greatest(n, m) <= 100 * least(n, m)")
-    return fit.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long, far double")
+    return fit.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "n", "m", "x", "y").mapInArrow(tidy(run), "a long, b long, far double")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -356,7 +356,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
                     [pa.array(node[right].view(np.int64)), pa.array([raw[ends[i] - n[i] : ends[i]].tobytes() for i in right], pa.binary())], ["node", "members"]
                 )
 
-    return docs.join(wanted, "doc_id").select("text", "node").mapInArrow(run, "node long, members binary")
+    return docs.join(wanted, "doc_id").select("text", "node").mapInArrow(tidy(run), "node long, members binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -383,7 +383,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -391,7 +391,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stash(sets_of(docs, nodes, classes), "members")
     release(docs.sparkSession)
-    links = stash(linked(pairs, sets, percent), "links")
+    links = stash(few(linked(pairs, sets, percent), pairs.count()), "links")
     unstash(sets)
     release(docs.sparkSession)
     return links
@@ -416,7 +416,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = stash(met(shown(named, counts, percent)), "groups")
     release(spark)
     pairs = stash(near(groups.where("sig IS NULL").select("a", "b").distinct(), classes, percent), "pairs")
-    first = stash(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), "nearest")
+    first = stash(few(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), pairs.count()), "nearest")
     links = verified(named, first, classes, percent)
     label = stash(components(links, "a", "b"), "labels")
     rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
@@ -503,7 +503,7 @@ def spanned(tags: DataFrame, whole: DataFrame, classes: DataFrame, percent: int)
                 part = found[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([y for _, y in part], pa.int64())], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
 def across(pairs: DataFrame, label: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import mix, small_batches, stash, text_chunks, word_hashes
+from .common import mix, small_batches, stash, text_chunks, tidy, word_hashes
 
 by_value(__name__)
 
@@ -210,7 +210,7 @@ def featured(docs: DataFrame) -> DataFrame:
                 )
                 row += n
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "row long, doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "row long, doc_id long, x array<double>")
 
 
 def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
@@ -234,7 +234,7 @@ def scored(rows: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD)
             s = model.score(x)
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["row", "doc_id", "score", "predicted"])
 
-    out = rows.mapInArrow(run, "row long, doc_id long, score double, predicted int")
+    out = rows.mapInArrow(tidy(run), "row long, doc_id long, score double, predicted int")
     return out.select("row", "doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
 
 
