@@ -17,6 +17,8 @@ import secrets
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import let
+
 KEY_SETTING = "spark.mergewright.pseudonym.key"
 _RANDOM_KEY = secrets.token_hex(32)
 
@@ -107,11 +109,6 @@ def refill(shape: Column, number: Column) -> Column:
     return place["s"]
 
 
-def let(value: Column, f) -> Column:
-    """f(value), with value computed once."""
-    return F.element_at(F.transform(F.array(value), f), 1)
-
-
 def permute_text(key: Column, kind: str, text: Column, alphabet: str | None = None) -> Column:
     """A text in lower case to another of the same shape: digits become digits and letters letters (or characters of an
     alphabet others of it), by a Feistel network over the two halves of these characters; other characters stay.

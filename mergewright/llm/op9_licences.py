@@ -18,6 +18,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
 from .licence_texts import PERMISSIVE, TEMPLATES
 
 #: A window and a template match from this Dice coefficient on, in percent.
@@ -73,8 +74,7 @@ def found_in(text: Column, templates, percent: int) -> tuple[Column, Column, Col
     b = F.col("grams")
 
     def windows(t: Column) -> Column:
-        common = F.array_intersect(F.col("distinct"), t["grams"])
-        starts = F.filter(F.transform(b, lambda x, i: F.when(F.array_contains(common, x), i)), lambda i: i.isNotNull())
+        starts = let(F.array_intersect(F.col("distinct"), t["grams"]), lambda common: F.filter(F.transform(b, lambda x, i: F.when(F.array_contains(common, x), i)), lambda i: i.isNotNull()))
         sized = F.transform(starts, lambda i: F.struct(i.alias("start"), F.slice(b, i + 1, t["words"] - 1).alias("grams")))
         sized = F.transform(sized, lambda x: F.struct(x["start"], F.size(F.array_distinct(x["grams"])).alias("n"), F.size(F.array_intersect(x["grams"], t["grams"])).alias("common")))
         sized = F.filter(sized, lambda x: (x["n"] * (200 - percent) >= t["m"] * percent) & (x["n"] * percent <= t["m"] * (200 - percent)))
@@ -83,33 +83,34 @@ def found_in(text: Column, templates, percent: int) -> tuple[Column, Column, Col
         ))
         told = F.filter(told, lambda x: x["percent"] >= percent)
         # The best of a template's windows that overlap; they stand in order of their starts.
-        return F.transform(
-            F.array(told),
+        return let(
+            told,
             lambda all_: F.filter(all_, lambda x, j: ~F.exists(F.slice(all_, F.greatest(j + 1 - x["words"], F.lit(1)), 2 * x["words"]), lambda o: (F.abs(o["start"] - x["start"]) < x["words"]) & better(o, x, "start"))),
-        )[0]
+        )
 
     able = F.filter(table, lambda t: (F.size("distinct") >= t["least"]) & F.arrays_overlap(F.col("distinct"), t["probes"]))
     every = F.array_sort(F.flatten(F.transform(able, windows)))
     # So many windows can start within the longest template's length: those of one template don't overlap any more.
     longest = max(t["words"] for t in ready)
     near = sum(-(-longest // t["words"]) + 1 for t in ready)
-    matches = F.transform(
-        F.array(every),
+    matches = let(
+        every,
         lambda all_: F.filter(
             all_,
             lambda x, j: ~F.exists(
                 F.slice(all_, F.greatest(j + 1 - near, F.lit(1)), F.lit(2 * near + 1)), lambda o: (o["start"] < x["start"] + x["words"]) & (x["start"] < o["start"] + o["words"]) & better(o, x, "rank")
             ),
         ),
-    )[0]
-    return words, grams, matches
+    )
+    probes = sorted({p for t in ready for p in t["probes"]})
+    return words, grams, F.when(F.arrays_overlap(F.col("distinct"), strings(probes)), matches)
 
 
 def matched(docs: DataFrame, templates=TEMPLATES, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """doc_id and matches (start and words: the window in words of the text; common, percent, rank, id) for each row of docs."""
     words, grams, matches = found_in(F.col("text"), templates, percent)
     out = docs.select("doc_id", words.alias("words")).select("doc_id", grams.alias("grams"))
-    return out.select("doc_id", "grams", F.array_distinct("grams").alias("distinct")).select("doc_id", F.when(F.size("grams") > 0, matches).alias("matches"))
+    return out.select("doc_id", "grams", F.array_distinct("grams").alias("distinct")).select("doc_id", matches.alias("matches"))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, percent: int = THRESHOLD_PERCENT, permissive=PERMISSIVE) -> DataFrame:
