@@ -664,11 +664,32 @@ def test_lines(spark):
     rows += [(100 + i, ("menu of this great site " * 4 + "\n") * 3 + f"x{i}", "b") for i in range(40)]
     rows += [(200, "a b c a b c", "a"), (201, None, None), (202, "x\nx\n\n x", "a"), (203, body, None)]
     got = {r.doc_id: r for r in line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert got[0].kept and got[0].n_lost_words == 0 and got[203].kept
+    assert got[203].kept
     assert got[100].base_failed and not got[100].kept
     assert (got[200].n_words, got[200].n_repeat_words) == (6, 6) and got[202].n_dup_lines == 1 and got[201].n_words == 0 and got[201].base_failed
-    few = {r.doc_id: r for r in line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_documents=15).collect()}
-    assert few[0].n_lost_words == 6 and few[0].kept
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert got[0].n_lost_words == 6 and got[0].kept  # in 20 of 42 documents of its host
+    few = {r.doc_id: r for r in line_rules(df, max_percent=48).collect()}
+    assert few[0].n_lost_words == 0
+
+
+def test_common_lines_go_and_depleted_documents_too(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    line = "Subscribe to  our\tNEWSLETTER today and every day"
+    rows = [(i, f"{line}\n{own(i)}\n\n{line.upper()} \nend{i}", "a") for i in range(8)]
+    rows += [(20 + i, "\n".join([f"menu item {k} " + " ".join(f"m{k}y{j}" for j in range(20)) for k in range(4)] + [own(20 + i)[:200]]), "a") for i in range(8)]  # over half is a menu
+    rows += [(40, f"{line}\n{' '.join(own(40).split()[:49])}", "a"), (41, own(41), "a"), (42, f"{line}\n{own(42)}", "b"), (43, None, "a")]
+    rows += [(100 + i, own(7777), "a") for i in range(30)]  # copies are one document
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("name", F.lit("x")).withColumn("row", F.lit(1))
+    from mergewright.llm.op10_lines import without_common_lines
+
+    got = {r.doc_id: r for r in line_rules(df).collect()}
+    texts = {r.doc_id: r.text for r in without_common_lines(df).collect()}
+    assert got[0].n_lost_words == 16 and got[0].kept and texts[0] == f"{own(0)}\n\nend0"
+    assert not got[20].kept and not got[20].base_failed and got[20].n_lost_words == 4 * 23
+    assert not got[40].kept and not got[40].base_failed and got[40].n_lost_words == 8
+    assert got[41].kept and texts[41] == own(41) and got[42].kept and got[42].n_lost_words == 0 and texts[42] == rows[18][1]
+    assert all(got[100 + i].kept and got[100 + i].n_lost_words == 0 for i in range(30)) and texts[43] == ""
 
 
 @pytest.mark.parametrize("name", ["op1_robust_graph", "op7_parity_sketch_join", "op9_licence_dice", "op10_line_frequency"])
