@@ -33,7 +33,9 @@ def connected(std: DataFrame, links: DataFrame, p: Params = Params()) -> Cluster
     near = links.select("from_key", "to_key").distinct()
     labels = staged(near.select(F.col("from_key").alias("record_key")).distinct().withColumn("cluster_id", F.col("record_key")), "labels")
     rounds, changed = 0, 1
-    while changed and rounds < p.max_rounds:
+    while changed:
+        if rounds == p.max_rounds:
+            raise RuntimeError(f"clusters still change after {rounds} rounds")
         rounds += 1
         least = near.join(labels, near["to_key"] == labels["record_key"]).groupBy("from_key").agg(F.min("cluster_id").alias("least"))
         step = labels.join(least, labels["record_key"] == least["from_key"], "left").select("record_key", F.col("cluster_id").alias("was"), F.least("cluster_id", "least").alias("cluster_id"))

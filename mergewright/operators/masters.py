@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..plans.params import Params
+from .scoring import unreviewed
 from .standardise import CHARITY, COMPANY, first_exports
 
 
@@ -82,6 +83,7 @@ def chain_queue(masters: DataFrame, xref: DataFrame) -> DataFrame:
         code.alias("reason_code"),
         F.lit(None).cast("decimal(5,2)").alias("score"),
         F.lit("OPEN").alias("status"),
+        *unreviewed(),
     )
 
 
@@ -93,15 +95,15 @@ def entity_lineage(xref: DataFrame, masters: DataFrame, std: DataFrame, raw_char
 
     charity = raw_charities.select(
         F.lit(CHARITY).alias("source_system"), X.blank_to_null(F.col("organisationid")).alias("source_record_id"), F.col("name").alias("raw_name"),
-        extra(raw_charities, "_source_file", "string").alias("raw_source_file"), F.lit(None).cast("string").alias("cos_export_file"),
+        extra(raw_charities, "_source_file", "string").alias("raw_source_file"), extra(raw_charities, "_loaded_at", "timestamp_ntz").alias("raw_loaded_at"), F.lit(None).cast("string").alias("cos_export_file"),
     )
     company = first_exports(raw_companies).select(
         F.lit(COMPANY).alias("source_system"), X.blank_to_null(F.col("nzbn")).alias("source_record_id"), F.col("business_name").alias("raw_name"),
-        extra(raw_companies, "_source_file", "string").alias("raw_source_file"), F.col("export_file").alias("cos_export_file"),
+        extra(raw_companies, "_source_file", "string").alias("raw_source_file"), extra(raw_companies, "_loaded_at", "timestamp_ntz").alias("raw_loaded_at"), F.col("export_file").alias("cos_export_file"),
     )
     out = xref.join(masters.select("master_id", "master_name"), "master_id").join(std.select("record_key", "name_raw"), "record_key")
     out = out.join(charity.unionByName(company), ["source_system", "source_record_id"], "left")
-    return out.select("master_id", "master_name", "record_key", "source_system", "source_record_id", "name_raw", "raw_name", "raw_source_file", "cos_export_file", "link_type", "link_confidence", "link_rules")
+    return out.select("master_id", "master_name", "record_key", "source_system", "source_record_id", "name_raw", "raw_name", "raw_source_file", "raw_loaded_at", "cos_export_file", "link_type", "link_confidence", "link_rules")
 
 
 def summary(masters: DataFrame, xref: DataFrame, rounds: int | None = None) -> DataFrame:

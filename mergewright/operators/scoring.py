@@ -118,8 +118,20 @@ def match_decisions(scores: DataFrame) -> DataFrame:
     return scores.select("pair_id", "score", "decision", "top_reasons", "fuzzy_score", "fuzzy_decision", "decision_path")
 
 
+def unreviewed() -> list:
+    """Columns of a review, empty at first."""
+    return [F.lit(None).cast(kind).alias(name) for name, kind in (("reviewer", "string"), ("review_decision", "string"), ("reviewed_at", "timestamp_ntz"))]
+
+
+def with_reviews(queue: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The queue with the stored reviews (exception_id, reviewer, review_decision, reviewed_at) of its items, which are closed."""
+    known = reviews.select("exception_id", "reviewer", "review_decision", "reviewed_at")
+    out = queue.drop("reviewer", "review_decision", "reviewed_at").join(known, "exception_id", "left")
+    return out.withColumn("status", F.when(F.col("review_decision").isNotNull(), "CLOSED").otherwise(F.col("status"))).select(*queue.columns)
+
+
 def pair_queue(scores: DataFrame, p: Params = Params()) -> DataFrame:
-    """exception_id, pair_id, record_key, reason_code, score, status of what people should look at; the id follows from the content."""
+    """exception_id, pair_id, record_key, reason_code, score, status and the columns of a review, of what people should look at; the id follows from the content."""
     review = F.col("decision") == "REVIEW"
     contact = (F.col("decision_path") == "FUZZY") & (F.col("decision") == "NO_MATCH") & (F.col("name_score") >= p.shared_contact_name) & F.col("has_shared_contact_only")
     code = (
@@ -128,7 +140,7 @@ def pair_queue(scores: DataFrame, p: Params = Params()) -> DataFrame:
         .when(review, "BORDERLINE_SCORE")
         .otherwise("SHARED_CONTACT_ONLY")
     )
-    out = scores.where(review | contact).select("pair_id", F.lit(None).cast("string").alias("record_key"), code.alias("reason_code"), "score", F.lit("OPEN").alias("status"))
+    out = scores.where(review | contact).select("pair_id", F.lit(None).cast("string").alias("record_key"), code.alias("reason_code"), "score", F.lit("OPEN").alias("status"), *unreviewed())
     return out.select(F.sha2(F.concat_ws("|", "pair_id", "reason_code"), 256).alias("exception_id"), "*")
 
 

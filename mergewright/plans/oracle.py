@@ -224,10 +224,10 @@ CTE["master"] = f"""SELECT a.master_id, n.name_raw AS master_name, n.record_key
   LEFT JOIN (SELECT master_id, nzbn FROM member WHERE nzbn IS NOT NULL GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY master_id ORDER BY count(*) DESC, nzbn) = 1) z USING (master_id)
   LEFT JOIN (SELECT master_id, address_line_clean, suburb, city, postcode FROM member WHERE coalesce(address_line_clean, suburb, city, postcode) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY master_id {ORDER}) = 1) p USING (master_id)"""
 CTE["queue"] = "SELECT * FROM pq UNION ALL SELECT NULL, record_key, 'CHAIN_NZBN_CONFLICT', NULL, 'OPEN' FROM xref JOIN master USING (master_id) WHERE nzbn_conflict"
-CTE["truth"] = f"""SELECT l.record_key AS left_key, r.record_key AS right_key, nzbn, n AS nzbn_record_count, pair_id, pair_id IS NOT NULL AS in_candidates, coalesce(NOT only_nzbn_block, false) AS found_without_nzbn, fuzzy_score, fuzzy_decision
+CTE["truth"] = f"""SELECT l.record_key AS left_key, r.record_key AS right_key, nzbn, n AS nzbn_record_count, pair_id, pair_id IS NOT NULL AS in_candidates, coalesce(NOT only_nzbn_block, false) AS found_without_nzbn, block_types, fuzzy_score, fuzzy_decision
   FROM std l JOIN std r USING (nzbn) JOIN (SELECT nzbn, count(*) AS n FROM std GROUP BY 1) USING (nzbn) LEFT JOIN pairs p ON p.left_key = l.record_key AND p.right_key = r.record_key LEFT JOIN decision USING (pair_id)
   WHERE l.is_matchable AND r.is_matchable AND l.record_key < r.record_key AND n <= {P.true_id_max}"""
-CTE["evaluable"] = """SELECT p.pair_id, t.left_key IS NOT NULL AS is_true, fuzzy_score, fuzzy_decision FROM pairs p JOIN decision USING (pair_id) JOIN std l ON l.record_key = p.left_key JOIN std r ON r.record_key = p.right_key
+CTE["evaluable"] = """SELECT p.pair_id, p.left_key, p.right_key, t.left_key IS NOT NULL AS is_true, fuzzy_score, fuzzy_decision FROM pairs p JOIN decision USING (pair_id) JOIN std l ON l.record_key = p.left_key JOIN std r ON r.record_key = p.right_key
   LEFT JOIN (SELECT left_key, right_key FROM truth) t ON t.left_key = p.left_key AND t.right_key = p.right_key WHERE NOT only_nzbn_block AND l.nzbn IS NOT NULL AND r.nzbn IS NOT NULL AND (t.left_key IS NOT NULL OR l.nzbn <> r.nzbn)"""
 CTE["confusion"] = f"""SELECT g AS metric_group, x AS suffix, count(*) FILTER (WHERE is_true) AS tp, count(*) FILTER (WHERE NOT is_true) AS fp FROM (SELECT 'strict' AS g, '' AS x, 0 AS t UNION ALL SELECT 'lenient', '', 0 UNION ALL SELECT 'sweep', '_t' || t, t FROM (SELECT unnest({list(P.thresholds)}) AS t)) m
   LEFT JOIN evaluable e ON CASE g WHEN 'strict' THEN fuzzy_decision = 'AUTO_MATCH' WHEN 'lenient' THEN fuzzy_decision IN ('AUTO_MATCH', 'REVIEW') ELSE fuzzy_score >= t END GROUP BY 1, 2"""

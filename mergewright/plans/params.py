@@ -42,5 +42,7 @@ class Params:
     true_id_max: int = 3
     thresholds: tuple[int, ...] = (50, 55, 60, 65, 70, 75, 80, 85, 90, 95)
     # Expected rows of the sources, checked by the run log where given
+    expected_raw_charities: int | None = None
+    expected_raw_companies: int | None = None
     expected_charities: int | None = None
     expected_companies: int | None = None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +12,11 @@ from pyspark.sql.window import Window
 from ..functions import text as X
 from ..functions.fuzzy import jaccard, jaro_winkler, word_set
 from ..operators import blocking, clusters, evaluation, explorer, features, masters, profile, scoring, standardise
+from ..scratch import root
+from ..sources import registers
 from . import oracle as O
-from .pipeline import Resolution
+from . import schemas
+from .pipeline import Resolution, run
 from .registers import raw_registers
 
 QUERIES: dict = {}
@@ -44,12 +49,21 @@ def query(sql: str | None):
     return add
 
 
-_RESOLUTIONS: dict[tuple[str, str], Resolution] = {}
+_RESOLUTIONS: dict[tuple, Resolution] = {}
+
+
+def version(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and length of a file, or those of the newest and of all in a folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = list(fs.listStatus(p))
+    return max((x.getModificationTime() for x in found), default=0), sum(x.getLen() for x in found)
 
 
 def resolution(spark: SparkSession, sf_dir: str) -> Resolution:
-    """The pipeline over a data set; its stage tables are made once in a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The pipeline over a data set; its stage tables are made once in a session, and again when the files change."""
+    key = (spark.sparkContext.applicationId, sf_dir, *(version(spark, f"{sf_dir}/{t}.parquet") for t in ("customer", "supplier")))
     if key not in _RESOLUTIONS:
         _RESOLUTIONS[key] = Resolution(*raw_registers(spark, sf_dir))
     return _RESOLUTIONS[key]
@@ -80,6 +94,84 @@ def lists(columns: str) -> str:
     return ", ".join("registered_date::VARCHAR AS registered_date" if c == "registered_date" else f"array_to_string({c[:-2]}, ',') AS {c[:-2]}" if c.endswith("[]") else c for c in columns.split())
 
 
+# ---------------------------------------------------------------- sources: register exports written as CSV and read back
+
+
+def exported(df: DataFrame) -> str:
+    """The path of a CSV export of df in the scratch folder."""
+    path = f"{root(df.sparkSession)}/mergewright/export-{uuid.uuid4().hex}"
+    registers.convert(df.sparkSession, df, path)
+    return path
+
+
+def blanks(columns) -> str:
+    return ", ".join(f"{O.blank(c)} AS {c}" for c in columns)
+
+
+def without_blanks(df: DataFrame, columns) -> DataFrame:
+    return df.select(*[X.blank_to_null(F.col(c)).alias(c) for c in columns])
+
+
+@query(O.query(f"SELECT {blanks(registers.CHARITIES)} FROM raw_charities"))
+def csv_charities(spark, sf_dir):
+    return without_blanks(registers.read_charities(spark, exported(raw_registers(spark, sf_dir)[0])), registers.CHARITIES)
+
+
+@query(O.query(f"SELECT {blanks(registers.COMPANIES)} FROM raw_companies WHERE trim(nzbn) <> ''"))
+def csv_companies(spark, sf_dir):
+    """One file for each export, stacked."""
+    raw = raw_registers(spark, sf_dir)[1].select(*registers.COMPANIES)
+    exports = [registers.read_companies(spark, exported(raw.where(F.col("export_file") == x))) for x in ("a.xls", "b.xls")]
+    return without_blanks(registers.stack_exports(*exports), registers.COMPANIES)
+
+
+@query("SELECT s_name AS organisation_name, CASE WHEN s_suppkey % 7 = 0 THEN 'Yes, \"ceased\"' END AS ceased_as_donee FROM supplier")
+def csv_donees(spark, sf_dir):
+    raw = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("organisation_name"), F.when(F.col("s_suppkey") % 7 == 0, 'Yes, "ceased"').alias("ceased_as_donee"))
+    return without_blanks(registers.read_donees(spark, exported(raw)), registers.DONEES)
+
+
+@query(O.query("SELECT 'charities' AS source, count(*) AS n, 1 AS files FROM raw_charities UNION ALL SELECT 'companies', count(*), 1 FROM raw_companies"))
+def csv_load_check(spark, sf_dir):
+    """Rows of each load, and that all have a source file and one load time."""
+    found = []
+    for name, raw, read in zip(("charities", "companies"), raw_registers(spark, sf_dir), (registers.read_charities, registers.read_companies), strict=True):
+        loaded = read(spark, exported(raw.coalesce(1)))
+        found.append(loaded.where("_loaded_at IS NOT NULL").agg(F.lit(name).alias("source"), F.count("*").alias("n"), F.count_distinct("_source_file").cast("int").alias("files")))
+    return found[0].union(found[1])
+
+
+# ---------------------------------------------------------------- the batch run: tables, history and log
+
+
+@query(O.query("""SELECT 'load' AS step, (SELECT count(*) FROM raw_charities) AS rows_out, 'SUCCESS' AS status UNION ALL SELECT 'standardise', (SELECT count(*) FROM std), 'SUCCESS' UNION ALL SELECT 'block', (SELECT count(*) FROM block_key), 'SUCCESS'
+  UNION ALL SELECT 'features', (SELECT count(*) FROM match_feature), 'SUCCESS' UNION ALL SELECT 'decide', (SELECT count(*) FROM decision), 'SUCCESS' UNION ALL SELECT 'masters', (SELECT count(*) FROM xref), 'SUCCESS' UNION ALL SELECT 'evaluate', (SELECT count(*) FROM truth), 'SUCCESS'"""))
+def run_log(spark, sf_dir):
+    """The log of a batch run over both registers, but for the profile."""
+    out = f"{root(spark)}/mergewright/run-{uuid.uuid4().hex}"
+    return run(resolution(spark, sf_dir), out).where("step <> 'profile'").select("step", "rows_out", "status")
+
+
+@query("SELECT 'evaluation_result' AS tbl, 2 AS runs, true AS explained UNION ALL SELECT 'dq_profile', 2, true UNION ALL SELECT 'pipeline_run', 2, true")
+def run_history(spark, sf_dir):
+    """Two runs into one folder: the tables that keep their history have both."""
+    out = f"{root(spark)}/mergewright/run-{uuid.uuid4().hex}"
+    r = resolution(spark, sf_dir)
+    run(r, out)
+    run(r, out)
+    told = {"evaluation_result": "note", "dq_profile": "why_it_matters", "pipeline_run": "notes"}
+    parts = [spark.read.parquet(f"{out}/{t}").agg(F.lit(t).alias("tbl"), F.count_distinct("run_id").cast("int").alias("runs"), F.bool_and(F.col(c).isNotNull()).alias("explained")) for t, c in told.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {len(schemas.names(t))})" for t, d in schemas.TABLES.items()) + ") AS t(tbl, columns)")
+def declared_tables(spark, sf_dir):
+    """Contract tables that aren't there yet, made empty, with their columns."""
+    out = f"{root(spark)}/mergewright/declared-{uuid.uuid4().hex}"
+    schemas.create_missing(spark, out)
+    return spark.createDataFrame([(t, len(spark.read.parquet(f"{out}/{t}").columns)) for t in schemas.TABLES], "tbl string, columns int")
+
+
 # ---------------------------------------------------------------- entity resolution
 
 STD = "record_key source_system source_record_id name_raw name_clean name_core alt_names[] charity_reg_no charity_parent_reg_no nzbn company_no address_line_clean suburb city postcode phone_clean email_clean email_domain is_generic_email_domain website_domain entity_status registered_date is_matchable dq_flags[]"
@@ -150,9 +242,20 @@ def match_decision(r):
     return r.decisions
 
 
-@resolved("SELECT pair_id, record_key, reason_code, score::DOUBLE AS score, status FROM queue")
+@resolved("SELECT sha256(coalesce(pair_id, record_key) || '|' || reason_code) AS exception_id, pair_id, record_key, reason_code, score::DOUBLE AS score, status, NULL::VARCHAR AS reviewer, NULL::VARCHAR AS review_decision, NULL::VARCHAR AS reviewed_at FROM queue")
 def exception_queue(r):
-    return r.queue.drop("exception_id")
+    return r.queue.withColumn("reviewed_at", F.col("reviewed_at").cast("string"))
+
+
+_LOW = "pair_id IN (SELECT pair_id FROM decision WHERE score < 80)"
+
+
+@resolved(f"""SELECT reason_code, CASE WHEN {_LOW} THEN 'CLOSED' ELSE status END AS status, CASE WHEN {_LOW} THEN 'NO_MATCH' END AS review_decision, count(*) AS items FROM queue GROUP BY ALL""")
+def reviewed_queue(r):
+    """Stored reviews carried over to a rebuilt queue: here all of pairs that score under 80."""
+    low = r.queue.join(r.decisions.where("score < 80").select("pair_id"), "pair_id", "left_semi")
+    reviews = low.select("exception_id", F.lit("someone").alias("reviewer"), F.lit("NO_MATCH").alias("review_decision"), F.localtimestamp().alias("reviewed_at"))
+    return scoring.with_reviews(r.queue, reviews).groupBy("reason_code", "status", "review_decision").agg(F.count("*").alias("items"))
 
 
 @resolved("""SELECT 'decision_' || d AS metric, count(decision) AS value FROM (SELECT unnest(['AUTO_MATCH', 'REVIEW', 'NO_MATCH']) AS d) LEFT JOIN decision ON decision = d GROUP BY d
@@ -195,10 +298,10 @@ def master_record(r):
     return r.masters
 
 
-@resolved("""SELECT master_id, master_name, record_key, x.source_system, x.source_record_id, s.name_raw, coalesce(c.name, k.business_name) AS raw_name, k.export_file AS cos_export_file, link_type, link_confidence::DOUBLE AS link_confidence, array_to_string(link_rules, ',') AS link_rules
+@resolved("""SELECT master_id, master_name, record_key, x.source_system, x.source_record_id, s.name_raw, coalesce(c.name, k.business_name) AS raw_name, NULL::VARCHAR AS raw_source_file, NULL::VARCHAR AS raw_loaded_at, k.export_file AS cos_export_file, link_type, link_confidence::DOUBLE AS link_confidence, array_to_string(link_rules, ',') AS link_rules
   FROM xref x JOIN master USING (master_id) JOIN std s USING (record_key) LEFT JOIN raw_charities c ON x.source_system = 'CHARITIES_REGISTER' AND trim(c.organisationid) = x.source_record_id LEFT JOIN k0 k ON x.source_system = 'COMPANIES_OFFICE' AND trim(k.nzbn) = x.source_record_id""")
 def entity_lineage(r):
-    return r.lineage.drop("raw_source_file")
+    return r.lineage.withColumn("raw_loaded_at", F.col("raw_loaded_at").cast("string"))
 
 
 @resolved("""SELECT 'staging_records' AS metric, sum(member_count)::DOUBLE AS value FROM master UNION ALL SELECT 'master_entities', count(*) FROM master UNION ALL SELECT 'singletons', count(*) FROM master WHERE member_count = 1 UNION ALL SELECT 'multi_record_masters', count(*) FROM master WHERE member_count > 1
@@ -209,14 +312,14 @@ def master_summary(r):
     return masters.summary(r.masters, r.xref)
 
 
-@resolved("SELECT left_key, right_key, nzbn, nzbn_record_count, pair_id, in_candidates, found_without_nzbn, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision FROM truth")
+@resolved("SELECT left_key, right_key, nzbn, nzbn_record_count, pair_id, in_candidates, found_without_nzbn, array_to_string(block_types, ',') AS block_types, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision FROM truth")
 def truth_pairs(r):
-    return r.truth.drop("block_types")
+    return r.truth
 
 
-@resolved("SELECT pair_id, is_true, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision FROM evaluable")
+@resolved("SELECT pair_id, left_key, right_key, is_true, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision FROM evaluable")
 def evaluable_pairs(r):
-    return evaluation.evaluable_pairs(r.std, r.pairs, r.decisions, r.truth).drop("left_key", "right_key")
+    return evaluation.evaluable_pairs(r.std, r.pairs, r.decisions, r.truth)
 
 
 @resolved("SELECT count(*) FILTER (WHERE in_candidates) / nullif(count(*), 0) AS blocking_recall_all, count(*) FILTER (WHERE found_without_nzbn) / nullif(count(*), 0) AS blocking_recall_without_nzbn FROM truth")
@@ -249,7 +352,7 @@ def evaluation_result(r):
 
 @resolved("""SELECT 'FALSE_POSITIVE' AS example_type, row_number() OVER (ORDER BY fuzzy_score DESC, pair_id) AS example_rank, pair_id, left_key, l.name_raw AS left_name, right_key, r.name_raw AS right_name, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision, array_to_string(top_reasons, ',') AS top_reasons, array_to_string(block_types, ',') AS block_types
   FROM decision JOIN pairs USING (pair_id) JOIN std l ON l.record_key = left_key JOIN std r ON r.record_key = right_key WHERE l.nzbn <> r.nzbn AND fuzzy_decision IN ('AUTO_MATCH', 'REVIEW') QUALIFY example_rank <= 10
-  UNION ALL SELECT 'FALSE_NEGATIVE', row_number() OVER (ORDER BY d.fuzzy_score, pair_id) AS example_rank, pair_id, p.left_key, l.name_raw, p.right_key, r.name_raw, d.fuzzy_score::DOUBLE, d.fuzzy_decision, array_to_string(top_reasons, ','), array_to_string(block_types, ',')
+  UNION ALL SELECT 'FALSE_NEGATIVE', row_number() OVER (ORDER BY d.fuzzy_score, pair_id) AS example_rank, pair_id, p.left_key, l.name_raw, p.right_key, r.name_raw, d.fuzzy_score::DOUBLE, d.fuzzy_decision, array_to_string(top_reasons, ','), array_to_string(p.block_types, ',')
   FROM truth t JOIN decision d USING (pair_id) JOIN pairs p USING (pair_id) JOIN std l ON l.record_key = p.left_key JOIN std r ON r.record_key = p.right_key WHERE t.fuzzy_decision = 'NO_MATCH' QUALIFY example_rank <= 10""")
 def error_examples(r):
     return r.examples.withColumn("example_rank", F.col("example_rank").cast("long"))
@@ -375,13 +478,10 @@ def explorer_sizes(r):
 
 # ---------------------------------------------------------------- cleaning functions and similarity over all documents, parts and pages
 
-_HEAD = "SELECT doc_id, split_part(text, chr(10), 1) AS s FROM documents"
-
-
-@query(f"SELECT doc_id, {O.name_clean('s')} AS name, {O.name_core(O.name_clean('s'))} AS core, {O.place('s')} AS place, {O.address('s')} AS address, {O.phone('s')} AS phone, {O.overseas('s')} AS overseas, {O.placeholder('s')} AS placeholder FROM ({_HEAD})")
+@query(f"SELECT doc_id, {O.name_clean('s')} AS name, {O.name_core(O.name_clean('s'))} AS core, {O.place('s')} AS place, {O.address('s')} AS address, {O.phone('s')} AS phone, {O.overseas('s')} AS overseas, {O.placeholder('s')} AS placeholder FROM (SELECT doc_id, text AS s FROM documents)")
 def clean_functions(spark, sf_dir):
-    s = F.split_part("text", F.lit("\n"), F.lit(1))
-    c = table(spark, sf_dir, "documents").select("doc_id", s.alias("s"))
+    """The cleaning rules over whole texts."""
+    c = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("s"))
     s = F.col("s")
     return c.select(
         "doc_id", X.name_clean(s).alias("name"), X.name_core(X.name_clean(s)).alias("core"), X.place_clean(s).alias("place"), X.address_clean(s).alias("address"),
@@ -437,9 +537,10 @@ def semi_join(spark, sf_dir):
     return table(spark, sf_dir, "customer").join(big, "c_custkey", "left_semi").select("c_custkey", "c_mktsegment")
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+@query("SELECT c_custkey, c_mktsegment FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 300000)")
 def anti_join(spark, sf_dir):
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
+    big = table(spark, sf_dir, "orders").where("o_totalprice > 300000").withColumnRenamed("o_custkey", "c_custkey")
+    return table(spark, sf_dir, "customer").join(big, "c_custkey", "left_anti").select("c_custkey", "c_mktsegment")
 
 
 @query("SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000 AND c_acctbal > 0")
@@ -463,6 +564,15 @@ def theta_left_join(spark, sf_dir):
     return wide.select(F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"n{t}").alias("n")) for t in steps])).alias("x")).select("x.*")
 
 
+@query("SELECT a.s_suppkey, a.s_nationkey, count(b.s_suppkey) AS richer FROM supplier a LEFT JOIN supplier b ON a.s_nationkey = b.s_nationkey AND b.s_acctbal > a.s_acctbal GROUP BY 1, 2")
+def theta_left_join_thresholds(spark, sf_dir):
+    """Thresholds from a table: an equi-join on the nation, with an inequality."""
+    s = table(spark, sf_dir, "supplier")
+    b = s.select(F.col("s_nationkey").alias("n"), F.col("s_acctbal").alias("other"), F.col("s_suppkey").alias("b"))
+    j = s.join(b, (F.col("s_nationkey") == F.col("n")) & (F.col("other") > F.col("s_acctbal")), "left")
+    return j.groupBy("s_suppkey", "s_nationkey").agg(F.count("b").alias("richer"))
+
+
 @query("SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM customer) AS customers, (SELECT max(o_totalprice) FROM orders) AS dearest")
 def cross_scalars(spark, sf_dir):
     o = table(spark, sf_dir, "orders").agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("dearest"))

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..operators import blocking, clusters, evaluation, features, masters, profile, scoring, standardise
 from ..scratch import staged
+from . import schemas
 from .params import Params
 
-RULES = {"standardise": "std_v3", "block": "block_v1", "features": "feat_v2", "decide": "score_v5", "masters": "surv_v1", "evaluate": "score_v5", "profile": "dq_v1"}
+RULES = {"load": "raw_v1", "standardise": "std_v3", "block": "block_v1", "features": "feat_v2", "decide": "score_v5", "masters": "surv_v1", "evaluate": "score_v5", "profile": "dq_v1"}
 
 
 @dataclass
@@ -99,6 +100,7 @@ class Resolution:
 
 
 TABLES = {
+    "load": {"raw_charities": "raw_charities", "raw_companies": "raw_companies"},
     "standardise": {"organisation_std": "std"},
     "block": {"block_key": "block_keys", "block_skipped": "block_skipped", "candidate_pair": "pairs"},
     "features": {"match_feature": "features"},
@@ -107,12 +109,16 @@ TABLES = {
     "evaluate": {"truth_pair": "truth", "evaluation_result": "evaluation", "evaluation_examples": "examples"},
     "profile": {"dq_profile": "profile"},
 }
-LOG = "run_id string, step string, started_at timestamp_ntz, finished_at timestamp_ntz, rows_out long, rule_version string, status string, notes string"
+#: Columns that tell when a row was made.
+MADE_AT = {"organisation_std": "standardised_at", "candidate_pair": "created_at", "match_feature": "computed_at", "match_decision": "decided_at", "master_organisation": "built_at", "evaluation_result": "evaluated_at", "dq_profile": "profiled_at"}
 
 
 def success(step: str, r: Resolution, n: dict[str, int]) -> tuple[bool, str]:
     """Whether the invariant of a step holds, and notes for the log."""
     p = r.params
+    if step == "load":
+        want = {"raw_charities": p.expected_raw_charities, "raw_companies": p.expected_raw_companies}
+        return all(w is None or n[k] == w for k, w in want.items()), ", ".join(f"{k}={v}" for k, v in n.items())
     if step == "standardise":
         got = {x.source_system: x["count"] for x in r.std.groupBy("source_system").count().collect()}
         want = {standardise.CHARITY: p.expected_charities, standardise.COMPANY: p.expected_companies}
@@ -133,19 +139,46 @@ def success(step: str, r: Resolution, n: dict[str, int]) -> tuple[bool, str]:
     return True, ""
 
 
+def now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
+def stamped(df: DataFrame, table: str, rule: str, run_id: str) -> DataFrame:
+    """df with the audit columns of a table, and as it is declared."""
+    df = df.withColumns({"run_id": F.lit(run_id), "rule_version": F.lit(rule)})
+    if table in MADE_AT:
+        df = df.withColumn(MADE_AT[table], F.lit(now()).cast("timestamp_ntz"))
+    if table == "evaluation_result":
+        df = schemas.explained(df, "metric", schemas.NOTES, "note")
+    if table == "dq_profile":
+        df = schemas.explained(df, "check_name", schemas.REASONS, "why_it_matters")
+    return schemas.conform(df, table) if table in schemas.TABLES else df
+
+
 def run(r: Resolution, out: str, run_id: str | None = None) -> DataFrame:
-    """Write every table under `out`, overwriting, and append the run log; the log's rows of this run."""
+    """Write every table under `out`; the log's rows of this run.
+
+    Tables are rebuilt, but those of schemas.HISTORY keep the rows of earlier runs. Each step is logged as it ends, and a
+    step that raises is logged as FAIL before the error goes on.
+    """
     spark = r.raw_charities.sparkSession
     run_id = run_id or str(uuid.uuid4())
-    now = lambda: datetime.now(UTC).replace(tzinfo=None)
-    log = []
+    schemas.create_missing(spark, out)
+
+    def log(step: str, started: datetime, rows: int | None, good: bool, notes: str) -> None:
+        row = (run_id, step, started, now(), rows, RULES[step], "SUCCESS" if good else "FAIL", notes)
+        spark.createDataFrame([row], schemas.TABLES["pipeline_run"]).coalesce(1).write.mode("append").parquet(f"{out}/pipeline_run")
+
     for step, tables in TABLES.items():
         started, n = now(), {}
-        for table, name in tables.items():
-            getattr(r, name).withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(f"{out}/{table}")
-            n[table] = spark.read.parquet(f"{out}/{table}").count()
-        good, notes = success(step, r, n)
-        log.append((run_id, step, started, now(), next(iter(n.values())), RULES[step], "SUCCESS" if good else "FAIL", notes))
-    rows = spark.createDataFrame(log, LOG)
-    rows.coalesce(1).write.mode("append").parquet(f"{out}/pipeline_run")
-    return rows
+        try:
+            for table, name in tables.items():
+                rows = stamped(getattr(r, name), table, RULES[step], run_id)
+                rows.write.mode("append" if table in schemas.HISTORY else "overwrite").parquet(f"{out}/{table}")
+                n[table] = spark.read.parquet(f"{out}/{table}").where(F.col("run_id") == run_id).count()
+            good, notes = success(step, r, n)
+        except Exception as e:
+            log(step, started, None, False, f"{type(e).__name__}: {e}"[:1000])
+            raise
+        log(step, started, next(iter(n.values())), good, notes)
+    return spark.read.parquet(f"{out}/pipeline_run").where(F.col("run_id") == run_id)

@@ -1,7 +1,7 @@
 """Two raw registers derived from the driver's customer and supplier tables, in SQL that Spark and DuckDB both run.
 
-Three customers in a row and one supplier are records of one organisation, spelled and filled differently, so that
-every rule of the pipeline has rows, at any scale.
+Three customers in a row and one supplier are records of one organisation, spelled and filled differently; the first
+260 customers are also records that the rarer rules need, so that every rule has rows from 1,500 customers on.
 """
 
 from __future__ import annotations
@@ -54,6 +54,26 @@ SELECT 'A' || {padded('k', 9)} AS organisationid,
 FROM (SELECT k, e, {NAME} AS nm FROM (SELECT c_custkey AS k, CAST(floor(c_custkey / 3.0) AS BIGINT) AS e FROM customer) a) t
 """
 
+#: Records for the rarer rules: twelve of which six share a telephone and seven a mail address, one of them both (a large cluster);
+#: triples whose outer records have different numbers and are linked through the middle one; and a telephone that over 200 share.
+_WORDS = "Orchard|Bakery|Weaver|Lantern|Meadow|Pottery|Sailing|Theatre|Walking|Archery"
+_T = "CAST(floor((k - 13) / 3.0) AS BIGINT)"
+SPECIAL = f"""
+SELECT 'B' || {padded('k', 9)} AS organisationid,
+  CASE WHEN k <= 12 THEN 'Chained Harbour Choir Limited' WHEN k <= 42 THEN {pick(_WORDS, _T)} || ' Conflict Society Incorporated' ELSE 'Solo Keeper ' || {text('k * 7919')} END AS name,
+  CAST(NULL AS STRING) AS othernames, 'cc' || {text('9000000 + k')} AS charityregistrationnumber,
+  CASE WHEN k > 12 AND k <= 42 AND (k - 13) % 3 = 0 THEN '9499' || {padded('k * 31', 9)} WHEN k > 12 AND k <= 42 AND (k - 13) % 3 = 2 THEN '9498' || {padded('k * 31', 9)} END AS nzbnnumber,
+  CAST(NULL AS STRING) AS companiesofficenumber,
+  CASE WHEN k >= 6 AND k <= 12 THEN 'sing@choir.org.nz' WHEN k > 12 AND k <= 42 AND (k - 13) % 3 > 0 THEN 'pair' || {text(_T)} || '@fruit.org.nz' END AS emailaddress1,
+  CAST(NULL AS STRING) AS charityemailaddress,
+  CASE WHEN k <= 6 THEN '0219990000' WHEN k > 12 AND k <= 42 AND (k - 13) % 3 < 2 THEN '0219980' || {padded(_T, 3)} WHEN k > 42 THEN '0800555123' END AS telephone1,
+  CAST(NULL AS STRING) AS websiteurl, CAST(NULL AS STRING) AS streetaddressline1, CAST(NULL AS STRING) AS streetaddressline2, CAST(NULL AS STRING) AS streetaddresssuburb,
+  CAST(NULL AS STRING) AS streetaddresscity, CAST(NULL AS STRING) AS streetaddresspostcode, CAST(NULL AS STRING) AS postaladdressline1, CAST(NULL AS STRING) AS postaladdressline2,
+  CAST(NULL AS STRING) AS postaladdresssuburb, CAST(NULL AS STRING) AS postaladdresscity, CAST(NULL AS STRING) AS postaladdresspostcode, 'Registered' AS registrationstatus, '01/02/2001 00:00' AS dateregistered
+FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey <= 260) a
+"""
+CHARITIES = f"{CHARITIES} UNION ALL {SPECIAL}"
+
 COMPANIES = f"""
 SELECT CASE WHEN k % 21 = 4 THEN NULL ELSE upper(nm) || ' ' || upper({pick(FORM, 'e')}) END AS business_name, {NUMBER} AS nzbn,
   {padded('k % 28 + 1', 2)} || '-' || {pick('Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec', 'k')} || '-' || {text('2000 + k % 20')} AS registration_date,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder; only where none is set (tests), a local one."""
+    """The shared folder; only where none is set and all runs in one process (tests), a local one."""
     context = spark.sparkContext
     path = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="mergewright-"))
         path = context.getCheckpointDir()
     return path.rstrip("/")

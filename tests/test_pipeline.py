@@ -5,8 +5,8 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from mergewright.operators import clusters, evaluation, scoring, standardise
-from mergewright.plans import pipeline
+from mergewright.operators import clusters, evaluation, explorer, scoring, standardise
+from mergewright.plans import pipeline, schemas
 from mergewright.plans.params import Params
 from mergewright.plans.pipeline import Resolution
 from mergewright.plans.registers import raw_registers
@@ -191,3 +191,68 @@ def test_csv_round_trip(spark, tmp_path):
     assert [x.business_name for x in registers.stack_exports(back, back).collect()] == ["A\nB"] * 2
     with pytest.raises(FileNotFoundError):
         registers.first_match(str(tmp_path / "nothing*.csv"))
+
+
+def test_a_step_that_fails_is_logged(spark, r, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline.features, "match_features", lambda *_: 1 / 0)
+    broken = Resolution(r.raw_charities, r.raw_companies)
+    with pytest.raises(ZeroDivisionError):
+        pipeline.run(broken, str(tmp_path), "x")
+    log = {x.step: x for x in spark.read.parquet(f"{tmp_path}/pipeline_run").collect()}
+    assert set(log) == {"load", "standardise", "block", "features"} and log["features"].status == "FAIL" and "ZeroDivisionError" in log["features"].notes
+
+
+def test_history_is_kept_and_explained(spark, r, tmp_path):
+    pipeline.run(r, str(tmp_path), "a")
+    pipeline.run(r, str(tmp_path), "b")
+    for table, text in (("evaluation_result", "note"), ("dq_profile", "why_it_matters")):
+        rows = spark.read.parquet(f"{tmp_path}/{table}")
+        n = {x.run_id: x["count"] for x in rows.groupBy("run_id").count().collect()}
+        assert n["a"] == n["b"] > 0 and rows.where(f"{text} IS NULL").count() == 0
+    assert spark.read.parquet(f"{tmp_path}/organisation_std").select("run_id").distinct().collect()[0].run_id == "b"
+    assert spark.read.parquet(f"{tmp_path}/pipeline_run").where("run_id = 'a'").count() == len(pipeline.TABLES)
+
+
+def test_declared_tables_stay_when_there(spark, tmp_path):
+    assert set(schemas.create_missing(spark, str(tmp_path))) == set(schemas.TABLES)
+    assert schemas.create_missing(spark, str(tmp_path)) == [] and all(schemas.names(t) == spark.read.parquet(f"{tmp_path}/{t}").columns for t in schemas.TABLES)
+
+
+def test_stored_reviews_come_back(r):
+    one = r.queue.limit(1).select("exception_id", F.lit("a").alias("reviewer"), F.lit("MATCH").alias("review_decision"), F.localtimestamp().alias("reviewed_at"))
+    got = scoring.with_reviews(r.queue, one)
+    assert got.columns == r.queue.columns and got.count() == r.queue.count() and got.where("status = 'CLOSED' AND reviewer = 'a'").count() == 1
+
+
+def test_clusters_that_still_change_raise(r):
+    with pytest.raises(RuntimeError):
+        clusters.connected(r.std, clusters.edges(r.pairs, r.decisions), Params(max_rounds=1))
+
+
+def test_workbooks(spark, monkeypatch):
+    import pandas as pd
+
+    sheet = pd.DataFrame([["Exported today", None, None], ["Name", "Number", "More"], ["A", "1", "x"], ["B", None, "y"]])
+    monkeypatch.setattr(pd, "read_excel", lambda *_, **__: sheet)
+    rows = registers.read_workbook(spark, "x.xls", ("name", "number"), "Name").collect()
+    assert [tuple(x) for x in rows] == [("A", "1"), ("B", None)]
+    assert registers.read_workbook(spark, "x.xlsx", ("a", "b")).count() == 4
+
+
+def test_parameterised_queries(spark, r):
+    r.masters.createOrReplaceTempView("masters_view")
+    assert explorer.query(spark, "SELECT master_id FROM masters_view WHERE member_count >= ?", [1]).count() == r.masters.count()
+
+
+def test_every_stage_has_tests_and_nothing_private_is_tracked():
+    import re
+    import subprocess
+    from pathlib import Path
+
+    top = Path(pipeline.__file__).parents[2]
+    said = "".join(p.read_text() for p in (top / "tests").glob("*.py")) + (top / "mergewright/plans/parity.py").read_text()
+    assert all(p.stem in said for d in ("operators", "sources", "functions") for p in (top / "mergewright" / d).glob("*.py") if p.stem != "__init__")
+    tracked = subprocess.run(["git", "ls-files"], cwd=top, capture_output=True, text=True, check=False).stdout.split()
+    assert not [p for p in tracked if re.search(r"\.(csv|parquet|xlsx?|zip|pem|key|env)$", p)]
+    secret = re.compile("AKIA[0-9A-Z]{16}|-----BEGIN [A-Z ]*PRIVATE KEY|(?i:password|secret_key) ?= ?['\"][^'\"]{8,}")
+    assert not [p for p in tracked if p.endswith(".py") and p != "tests/test_pipeline.py" and (top / p).exists() and secret.search((top / p).read_text())]
