@@ -1,21 +1,25 @@
 """Removal of repeated byte strings by a hash-compared suffix sort.
 
 Every 200-byte window is filed under its least 40-byte gram (by hash), so equal windows meet under one gram. Windows in
-a row with one gram make a stretch of text; equal stretches are found by hash and covered whole. Where different
+a row with one gram make a stretch of text; equal stretches (of one gram, length, 64-bit content hash and CRC-32, which
+have nothing in common) are covered whole. Where different
 stretches share a gram, their windows are suffixes to sort: bottom-up mergesort in which two suffixes are compared by
 their longest common extension, found by binary search on prefix polynomial hashes; neighbours in that order that
 agree over 200 bytes are checked byte by byte and covered. Only windows at the same distance from the gram can be
 equal, so the sort runs within (gram, distance), all of them side by side in numpy.
 
-A gram with very many different stretches is dealt out by distance, as sorts of their own.
+A gram with very many different stretches is dealt out by distance, as sorts of their own, before its stretches meet.
 
-Texts are named by their 64-bit hash; of equal texts only one takes part, and all copies of at least 200 bytes are
-covered whole. Repeated stretches are merged within a map task, so a passage in many documents is sent once a task.
+Texts are named by a 64-bit hash, and a second one tells texts of one name apart: a name that two texts share is given up
+for both. Of equal texts only one takes part, and all copies of at least 200 bytes are covered whole. Repeated stretches
+are merged within a map task, so a passage in many documents is sent once a task.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import mix, n_shuffle, powers, release, small_batches, stash, text_chunks, tidy, unstash
+from .common import CHUNK_BYTES, mix, n_shuffle, powers, release, small_batches, stash, text_chunks, tidy, unstash
 
 by_value(__name__)
 
 WINDOW, GRAM = 200, 40
-#: A gram with more different stretches than COMMON is dealt out in pieces of STEP distances.
-COMMON, STEP = 256, 20
+#: A gram with more different stretches than COMMON is dealt out in pieces of STEP distances; of a task those count that have more than SEEN.
+COMMON, SEEN, STEP = 256, 32, 10
+#: Bytes of a text that are looked at together; a longer text is looked at in parts.
+PART = CHUNK_BYTES
 _BASE = 0xD1342543DE82EF95 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _TABLE = np.random.default_rng(977).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = 28
-#: A stretch of text: its gram, its content, the text, the first window, the number of windows, the gram's distance from the first window, whether it is known to occur twice.
-_STRETCH = np.dtype([("gram", "<u8"), ("content", "<u8"), ("text", "<i8"), ("start", "<u4"), ("n", "<u2"), ("at", "<u2"), ("twice", "u1")])
+#: A stretch of text: its gram, its content and another hash of that, the text, the first window, the number of windows, the gram's distance from the first window, whether it is known to occur twice.
+_STRETCH = np.dtype([("gram", "<u8"), ("content", "<u8"), ("crc", "<u4"), ("text", "<i8"), ("start", "<u4"), ("n", "<u2"), ("at", "<u2"), ("twice", "u1")])
 _SPAN = np.dtype([("a", "<u4"), ("b", "<u4")])
 
 
@@ -64,9 +70,15 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def stretches(data: np.ndarray, offsets: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """The stretches of texts given end to end."""
+    if len(texts) == 1 and len(data) > 2 * PART:
+        parts = []
+        for at in range(0, len(data) - WINDOW + 1, PART):
+            own = data[at : at + PART + WINDOW - 1]
+            parts.append(stretches(own, np.array([0, len(own)]), texts))
+            parts[-1]["start"] += np.uint32(at)
+        return np.concatenate(parts)
     if len(data) < WINDOW or int(np.diff(offsets).max()) < WINDOW:
         return np.zeros(0, _STRETCH)
-    assert len(data) < 1 << _PLACE, "a text of over 256 MiB"
     sums = prefix_hashes(data)
     grams = mix(sub_hash(sums, np.arange(len(data) - GRAM + 1), GRAM))
     keys = (grams >> np.uint64(_PLACE) << np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
@@ -86,6 +98,15 @@ def stretches(data: np.ndarray, offsets: np.ndarray, texts: np.ndarray) -> np.nd
     doc = np.searchsorted(offsets, s, "right") - 1
     out["gram"], out["text"], out["start"], out["n"], out["at"] = grams[p], texts[doc], s - offsets[doc], n, p - s
     out["content"] = mix(sub_hash(sums, s, n + WINDOW - 1) + mix((n * 1024 + p - s).astype(np.uint64)))
+    raw = memoryview(np.ascontiguousarray(data))
+    out["crc"] = [zlib.crc32(raw[a:b]) for a, b in zip(s.tolist(), (s + n + WINDOW - 1).tolist(), strict=True)]
+    return out
+
+
+def same_as_before(r: np.ndarray, *fields: str) -> np.ndarray:
+    """Whether each row of r has the values of the row before it."""
+    out = np.zeros(len(r), bool)
+    out[1:] = np.logical_and.reduce([r[f][1:] == r[f][:-1] for f in fields])
     return out
 
 
@@ -113,9 +134,43 @@ def merge_spans(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def destinations(df: DataFrame) -> int:
+    """Sixteen for each partition of the shuffle: a Python worker holds the records of one at a time."""
+    return 16 * n_shuffle(df.sparkSession)
+
+
+def by_destination(r: np.ndarray, dests: int) -> tuple[pa.Array, pa.Array]:
+    """Destinations of the grams, and their records."""
+    dest = ((r["gram"] >> np.uint64(35)) % np.uint64(dests)).astype(np.int64)
+    order = np.argsort(dest, kind="stable")
+    r, dest = r[order], dest[order]
+    cuts = np.flatnonzero(np.diff(dest)) + 1
+    return pa.array(dest[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in np.split(r, cuts)], pa.binary())
+
+
+def one_by_one(batches, *columns: str) -> Iterator[list[list]]:
+    """The values of binary columns for each destination in turn; rows come sorted by it."""
+    now, held = None, [[] for _ in columns]
+    for batch in batches:
+        for dest, *values in zip(batch.column("dest").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
+            if dest != now and held[0]:
+                yield held
+                held = [[] for _ in columns]
+            now = dest
+            for h, v in zip(held, values, strict=True):
+                h.append(v)
+    if held[0]:
+        yield held
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df by destination, sorted, so that workers take one after the other; Spark's sort can spill."""
+    return df.repartition(n_shuffle(df.sparkSession), "dest").sortWithinPartitions("dest")
+
+
 def found_stretches(docs: DataFrame) -> DataFrame:
-    """(dest, records) for the shuffle by gram, and (text, spans) covered within a task."""
-    dests = 4 * n_shuffle(docs.sparkSession)
+    """(dest, records) for the shuffle by gram, (text, spans) covered within a task, and (gram, n) of grams with many different stretches."""
+    dests = destinations(docs)
 
     def run(batches):
         seen: set[int] = set()
@@ -124,26 +179,28 @@ def found_stretches(docs: DataFrame) -> DataFrame:
 
         def flush():
             r = np.concatenate(held)
-            order = np.lexsort((r["content"], r["gram"]))
-            r = r[order]
-            same = (r["content"][1:] == r["content"][:-1]) & (r["gram"][1:] == r["gram"][:-1])
-            twice = np.zeros(len(r), bool)
-            twice[1:] |= same
-            twice[:-1] |= same
-            lead = np.concatenate([[True], ~same])
-            names = ["dest", "records", "text", "spans"]
+            r = r[np.lexsort((r["crc"], r["content"], r["gram"]))]
+            same = same_as_before(r, "gram", "content", "crc")
+            twice = same.copy()
+            twice[:-1] |= same[1:]
+            lead = ~same
+            names = ["dest", "records", "text", "spans", "gram", "n"]
+            longs = pa.int64()
             if twice.any():
                 t = r[twice]
                 rows = span_rows(t["text"], t["start"], t["start"].astype(np.int64) + t["n"] + WINDOW - 1)
-                yield pa.RecordBatch.from_arrays([pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary()), *rows.columns], names)
+                none = pa.nulls(rows.num_rows, longs)
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), pa.nulls(rows.num_rows, pa.binary()), *rows.columns, none, none], names)
             r["twice"] = twice
             r = r[lead]
-            dest = ((r["gram"] >> np.uint64(35)) % np.uint64(dests)).astype(np.int64)
-            order = np.argsort(dest, kind="stable")
-            r, dest = r[order], dest[order]
-            cuts = np.flatnonzero(np.diff(dest)) + 1
-            where = dest[np.concatenate([[0], cuts])].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(where), pa.array([x.tobytes() for x in np.split(r, cuts)], pa.binary()), pa.nulls(len(where), pa.int64()), pa.nulls(len(where), pa.binary())], names)
+            where, blobs = by_destination(r, dests)
+            none = pa.nulls(len(where), longs)
+            yield pa.RecordBatch.from_arrays([where, blobs, none, pa.nulls(len(where), pa.binary()), none, none], names)
+            gram, n = np.unique(r["gram"], return_counts=True)
+            gram, n = gram[n > SEEN], n[n > SEEN]
+            if len(gram):
+                none = pa.nulls(len(gram), longs)
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), pa.nulls(len(gram), pa.binary()), none, pa.nulls(len(gram), pa.binary()), pa.array(gram.view(np.int64)), pa.array(n)], names)
 
         for batch in batches:
             names_of = batch.column("name").to_numpy()
@@ -165,7 +222,7 @@ def found_stretches(docs: DataFrame) -> DataFrame:
         if size:
             yield from flush()
 
-    return docs.select("name", F.col("text").cast("binary").alias("bytes")).mapInArrow(tidy(run), "dest int, records binary, text long, spans binary")
+    return docs.select("name", F.col("text").cast("binary").alias("bytes")).mapInArrow(tidy(run), "dest int, records binary, text long, spans binary, gram long, n long")
 
 
 def split_stretches(r: np.ndarray, step: int = STEP) -> np.ndarray:
@@ -182,22 +239,47 @@ def split_stretches(r: np.ndarray, step: int = STEP) -> np.ndarray:
     return out
 
 
-def met_stretches(records: DataFrame, common: int = COMMON) -> DataFrame:
-    """(text, spans) of equal stretches, and (text, records) of different stretches that share a gram."""
+def without_common(found: DataFrame, common: int) -> DataFrame:
+    """(dest, records), in which stretches under very common grams are split by distance, each piece under a gram of its own."""
+    records = found.where("dest IS NOT NULL").select("dest", "records")
+    hot = found.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > common).select("gram")
+    # A gram counts from SEEN stretches of a task on; their list is bounded by the records over `common`, of eight bytes each.
+    hot = np.sort(np.array([r.gram for r in hot.toLocalIterator()], np.int64).view(np.uint64))
+    if not len(hot):
+        return records
+    dests, shared = destinations(found), found.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
-        blobs = [np.frombuffer(x, _STRETCH) for batch in batches for x in batch.column("records").to_pylist()]
-        if not blobs:
-            return
-        r = np.concatenate(blobs)
-        del blobs
-        r = r[np.lexsort((r["start"], r["text"], r["content"], r["gram"]))]
-        gram, content = r["gram"], r["content"]
-        again = np.concatenate([[False], (gram[1:] == gram[:-1]) & (r["text"][1:] == r["text"][:-1]) & (r["start"][1:] == r["start"][:-1])])
-        r = r[~again]  # the same place, sent by several tasks
-        gram, content = r["gram"], r["content"]
-        start = np.concatenate([[True], gram[1:] != gram[:-1]])
-        sub = start | np.concatenate([[True], content[1:] != content[:-1]])
+        hot = shared.value
+        for batch in batches:
+            where, blobs = [], []
+            for dest, raw in zip(batch.column("dest").to_pylist(), batch.column("records").to_pylist(), strict=True):
+                r = np.frombuffer(raw, _STRETCH)
+                some = hot[np.minimum(np.searchsorted(hot, r["gram"]), len(hot) - 1)] == r["gram"]
+                if not some.any():
+                    where.append(pa.array([dest], pa.int32()))
+                    blobs.append(pa.array([raw], pa.binary()))
+                    continue
+                for part in (r[~some], split_stretches(r[some])):
+                    if len(part):
+                        w, x = by_destination(part, dests)
+                        where.append(w)
+                        blobs.append(x)
+            if where:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(where), pa.concat_arrays(blobs)], ["dest", "records"])
+
+    return records.mapInArrow(tidy(run), "dest int, records binary")
+
+
+def met_stretches(records: DataFrame) -> DataFrame:
+    """(text, spans) of equal stretches, and (text, records) of different stretches that share a gram."""
+
+    def meet(blobs: list[bytes]):
+        r = np.concatenate([np.frombuffer(x, _STRETCH) for x in blobs])
+        r = r[np.lexsort((r["start"], r["text"], r["crc"], r["content"], r["n"], r["gram"]))]
+        r = r[~same_as_before(r, "gram", "text", "start")]  # the same place, sent by several tasks
+        start = ~same_as_before(r, "gram")
+        sub = ~same_as_before(r, "gram", "n", "content", "crc")
         group, kind = np.cumsum(start) - 1, np.cumsum(sub) - 1
         copies = np.bincount(kind)[kind]
         twice = (copies > 1) | (np.bincount(kind, r["twice"]) > 0)[kind]
@@ -209,20 +291,23 @@ def met_stretches(records: DataFrame, common: int = COMMON) -> DataFrame:
         # One of each content where the gram has several; a gram whose contents all occur twice has nothing left to find.
         kinds = np.bincount(group, sub)[group]
         open_ = np.bincount(group, ~twice)[group]
-        ask = sub & (kinds > 1) & (open_ > 0)
-        ask = np.concatenate([r[ask & (kinds <= common)], split_stretches(r[ask & (kinds > common)])])
+        ask = r[sub & (kinds > 1) & (open_ > 0)]
         if len(ask):
             ask = ask[np.argsort(ask["text"], kind="stable")]
             cuts = np.flatnonzero(np.diff(ask["text"])) + 1
             parts = np.split(ask, cuts)
             yield pa.RecordBatch.from_arrays([pa.array([int(x["text"][0]) for x in parts], pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
-    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(tidy(run), "text long, spans binary, records binary")
+    def run(batches):
+        for (blobs,) in one_by_one(batches, "records"):
+            yield from meet(blobs)
+
+    return dealt(records).mapInArrow(tidy(run), "text long, spans binary, records binary")
 
 
 def read_stretches(asked: DataFrame) -> DataFrame:
     """(dest, heads, bodies): stretches with their bytes, for the sort by gram."""
-    dests = 4 * n_shuffle(asked.sparkSession)
+    dests = destinations(asked)
 
     def run(batches):
         for batch in batches:
@@ -339,15 +424,8 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
             s = r["start"].astype(np.int64)[owner[hit]] + step[hit]
             yield span_rows(r["text"][owner[hit]], s, s + WINDOW)
 
-    def run(batches):
-        heads, bodies = [], []
-        for batch in batches:
-            heads += [np.frombuffer(x, _STRETCH) for x in batch.column("heads").to_pylist()]
-            bodies += [np.frombuffer(x, np.uint8) for x in batch.column("bodies").to_pylist()]
-        if not heads:
-            return
-        r, data = np.concatenate(heads), np.concatenate(bodies)
-        del heads, bodies
+    def sort(heads: list[bytes], bodies: list[bytes]):
+        r, data = np.concatenate([np.frombuffer(x, _STRETCH) for x in heads]), np.concatenate([np.frombuffer(x, np.uint8) for x in bodies])
         length = r["n"].astype(np.int64) + WINDOW - 1
         begin = np.cumsum(length) - length
         order = np.lexsort((r["start"], r["text"], r["gram"]))
@@ -365,62 +443,94 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
             yield from solve(r[a:b], data[index])
             at = to
 
-    return read.repartition(n_shuffle(read.sparkSession), "dest").mapInArrow(tidy(run), "text long, spans binary")
+    def run(batches):
+        for heads, bodies in one_by_one(batches, "heads", "bodies"):
+            yield from sort(heads, bodies)
+
+    return dealt(read).mapInArrow(tidy(run), "text long, spans binary")
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+def named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs with a name for each text, and (name, copies, one) of the texts of at least 200 bytes.
 
+    The name is a 64-bit hash. Should two texts of different other hash have one, both get names of a third hash."""
+    docs = docs.withColumns({"name": name_hash("text"), "other": F.xxhash64(F.lit(1), "text")})
+    table = docs.where(F.octet_length("text") >= WINDOW).groupBy("name", "other")
+    copies = stash(table.agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("one")), "copies")
+    # About one for 10**10 texts.
+    met = [r.name for r in copies.groupBy("name").count().where("count > 1").select("name").collect()]
+    if met:
+        again = F.when(F.col("name").isin(met), F.xxhash64(F.lit(2), "other", "name")).otherwise(F.col("name"))
+        docs = docs.withColumn("name", again)
+        unstash(copies)
+        copies = stash(docs.where(F.octet_length("text") >= WINDOW).groupBy("name", "other").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("one")), "copies")
+    return docs.drop("other"), copies
 
-def removed_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text).
 
-    A null text reads as empty; texts of under 200 bytes keep everything. Rows with null or repeated doc_id are
-    documents like others. An empty table gives an empty result; other columns are ignored.
-    """
+def name_hash(text: str):
+    return F.xxhash64(text)
+
+
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary, kept binary"
+
+
+def covered(docs: DataFrame, common: int, texts: bool) -> DataFrame:
+    """RESULT for each row of docs; spans and kept bytes only if texts are asked for."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("name", F.xxhash64("text"))
+    docs, copies = named(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
     first = stash(found_stretches(docs), "stretches")
-    second = stash(met_stretches(first.where("dest IS NOT NULL").select("dest", "records"), common), "met")
-    copies = stash(
-        docs.where(F.octet_length("text") >= WINDOW).groupBy("name").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("one")), "copies"
-    )
+    second = stash(met_stretches(without_common(first, common)), "met")
     asked = second.where("records IS NOT NULL").groupBy("text").agg(F.collect_list("records").alias("records")).withColumnRenamed("text", "name")
     asked = asked.join(copies.select("name", "one"), "name")
-    texts = docs.select("name", F.coalesce("doc_id", F.lit(-(2**63))).alias("one"), F.col("text").cast("binary").alias("bytes"))
-    third = stash(sorted_spans(read_stretches(texts.join(asked, ["name", "one"]).select("bytes", "records"))), "sorted")
+    rows = docs.select("name", F.coalesce("doc_id", F.lit(-(2**63))).alias("one"), F.col("text").cast("binary").alias("bytes"))
+    third = stash(sorted_spans(read_stretches(rows.join(asked, ["name", "one"]).select("bytes", "records"))), "sorted")
     release(spark)
     spans = first.where("text IS NOT NULL").select("text", "spans").union(second.where("spans IS NOT NULL").select("text", "spans")).union(third)
     cover = spans.groupBy("text").agg(F.collect_list("spans").alias("spans")).withColumnRenamed("text", "name")
     several = copies.where("copies > 1").select("name", F.lit(True).alias("whole"))
     cover = stash(cover.join(several, "name", "full").select("name", F.coalesce("whole", F.lit(False)).alias("whole"), F.when(F.col("whole").isNull(), F.col("spans")).alias("spans")), "cover")
     unstash(first, second, third, copies)
-    none = hashlib.sha256(b"").hexdigest()
 
     def finish(batches):
         for batch in batches:
             out = []
             for doc, raw, whole, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "bytes", "whole", "spans")), strict=True):
-                if whole:
-                    out.append((doc, len(raw), len(raw), 1, none))
-                elif not spans:
-                    out.append((doc, len(raw), 0, 0, hashlib.sha256(raw).hexdigest()))
-                else:
+                s = np.array([(0, len(raw))], _SPAN) if whole else np.zeros(0, _SPAN)
+                if spans:
                     s = np.concatenate([np.frombuffer(x, _SPAN) for x in spans])
                     s = s[np.argsort(s["a"], kind="stable")]
                     s = merge_spans(s["a"].astype(np.int64), s["b"].astype(np.int64))
-                    h, at, gone = hashlib.sha256(), 0, 0
-                    for a, b in s.tolist():
-                        h.update(raw[at:a])
-                        gone, at = gone + b - a, b
-                    h.update(raw[at:])
-                    out.append((doc, len(raw), gone, len(s), h.hexdigest()))
+                h, at, gone, kept = hashlib.sha256(), 0, 0, []
+                for a, b in [*s.tolist(), (len(raw), len(raw))]:
+                    h.update(raw[at:a])
+                    if texts:
+                        kept.append(raw[at:a])
+                    gone, at = gone + b - a, b
+                out.append((doc, len(raw), gone, len(s), h.hexdigest(), s.tobytes() if texts else None, b"".join(kept) if texts else None))
             if out:
                 cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string()), pa.array(cols[5], pa.binary()), pa.array(cols[6], pa.binary())], RESULT.replace(" long", "").replace(" string", "").replace(" binary", "").split(", "))
 
     return docs.join(cover, "name", "left").select("doc_id", F.col("text").cast("binary").alias("bytes"), "whole", "spans").mapInArrow(tidy(finish), RESULT)
 
 
+def removed_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text).
+
+    A null text reads as empty; texts of under 200 bytes keep everything. Rows with null or repeated doc_id are
+    documents like others. An empty table gives an empty result; other columns are ignored.
+    """
+    return covered(docs, common, False).drop("spans", "kept")
+
+
+def without_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
+    """removed_repeats() with the removed spans (an array of first byte and end) and the kept bytes, which may cut a character."""
+    parts = F.expr("transform(sequence(0, n_spans - 1), k -> substring(hex(spans), cast(k * 16 + 1 as int), 16))")
+    number = lambda x: F.conv(F.concat(*[F.substr(x, F.lit(2 * k + 1), F.lit(2)) for k in (3, 2, 1, 0)]), 16, 10).cast("long")
+    spans = F.transform(parts, lambda x: F.struct(number(F.substr(x, F.lit(1), F.lit(8))).alias("start"), number(F.substr(x, F.lit(9), F.lit(8))).alias("end")))
+    return covered(docs, common, True).withColumn("spans", F.when(F.col("n_spans") > 0, spans).otherwise(F.array().cast("array<struct<start:long,end:long>>")))
+
+
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return removed_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))

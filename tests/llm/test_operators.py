@@ -372,6 +372,36 @@ def test_removed_repeats(docs):
         assert got == want
 
 
+@pytest.mark.parametrize("weaker", ["content", "names", "parts"])
+def test_repeats_with_hashes_that_collide_and_long_texts(spark, docs, monkeypatch, weaker):
+    if weaker == "content":
+        plain = op4.stretches
+
+        def few_contents(*args):
+            out = plain(*args)
+            out["content"] &= np.uint64(7)
+            return out
+
+        monkeypatch.setattr(op4, "stretches", few_contents)
+    if weaker == "names":
+        monkeypatch.setattr(op4, "name_hash", lambda text: F.xxhash64(text) % 8)
+    if weaker == "parts":
+        monkeypatch.setattr(op4, "PART", 700)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op4.removed_repeats(docs, 1 if weaker == "parts" else op4.COMMON).collect()}
+    assert got == brute.removed_repeats(dict(corpus()))
+
+
+def test_kept_bytes_and_spans(spark, docs):
+    import hashlib
+
+    texts = dict(corpus())
+    for r in op4.without_repeats(docs).collect():
+        raw, kept, at = (texts[r.doc_id] or "").encode(), b"", 0
+        for a, b in r.spans:
+            kept, at = kept + raw[at:a], b
+        assert r.kept == kept + raw[at:] and hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.spans) == r.n_spans
+
+
 def test_repeats_that_overlap_and_periods(spark):
     rng = random.Random(5)
     unit = "".join(rng.choices("abcdef", k=199))
