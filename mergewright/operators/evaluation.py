@@ -50,9 +50,8 @@ def precision_recall(counts: DataFrame, truth: DataFrame) -> DataFrame:
     return out.withColumn("f1", 2 * F.col("precision") * F.col("recall") / F.when(both != 0, both))
 
 
-def evaluation(std: DataFrame, pairs: DataFrame, features: DataFrame, decisions: DataFrame, truth: DataFrame, p: Params = Params()) -> DataFrame:
+def evaluation(evaluable: DataFrame, features: DataFrame, decisions: DataFrame, truth: DataFrame, p: Params = Params()) -> DataFrame:
     """metric_group, metric, value: truth, blocking, strict, lenient, sweep and production."""
-    evaluable = evaluable_pairs(std, pairs, decisions, truth)
     rates = precision_recall(confusion(evaluable, p), truth)
     kinds = ("tp", "fp", "fn", "precision", "recall", "f1")
     values = F.array(*[F.struct(F.concat(F.lit(k), "suffix").alias("metric"), F.col(k).cast("decimal(18,4)").alias("value")) for k in kinds])

@@ -63,7 +63,12 @@ def with_counts(std: DataFrame) -> DataFrame:
     return out
 
 
-def match_features(pairs: DataFrame, std: DataFrame) -> DataFrame:
+#: What the evidence shows of each side.
+SHOWN = ("name_clean", "name_core", "address_line_clean", "postcode", "city", "phone_clean", "email_clean", "website_domain", "nzbn", "company_no", "charity_parent_reg_no")
+
+
+def compared(pairs: DataFrame, std: DataFrame) -> DataFrame:
+    """The features of each pair, and the values of both sides (l_, r_) that they come from."""
     counted = with_counts(std)
     extra = [c for c in counted.columns if c.endswith("_n")]
     sided = with_sides(pairs.select("pair_id", "left_key", "right_key"), counted, (*SIDE, *extra))
@@ -96,7 +101,12 @@ def match_features(pairs: DataFrame, std: DataFrame) -> DataFrame:
         (equal("charity_parent_reg_no") & ~equal("charity_reg_no")).alias("same_parent_charity"),
         *shared,
         larger.alias("address_shared_count"),
-    ).select(*FEATURES)
+        *[f"{s}_{c}" for s in "lr" for c in SHOWN],
+    )
+
+
+def match_features(compared_pairs: DataFrame) -> DataFrame:
+    return compared_pairs.select(*FEATURES)
 
 
 def summary(features: DataFrame) -> DataFrame:

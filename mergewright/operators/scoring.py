@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..plans.params import Params
-from .features import with_sides
 
 CONTACTS = ("PHONE_EQ", "EMAIL_EQ", "WEBSITE_EQ")
 
@@ -30,10 +28,12 @@ def name_similarity(p: Params) -> Column:
     return F.when(F.coalesce("name_token_jaccard", F.lit(0)) < p.low_jaccard, F.least(best, F.lit(p.low_jaccard_cap))).otherwise(best)
 
 
-def evidence(pairs: DataFrame, features: DataFrame, std: DataFrame, p: Params = Params()) -> DataFrame:
-    """pair_id, feature, left_value, right_value, similarity, weight, in_score, contribution: one row for each known feature."""
-    columns = ("name_clean", "name_core", "address_line_clean", "postcode", "city", "phone_clean", "email_clean", "website_domain", "nzbn", "company_no", "charity_parent_reg_no")
-    sided = with_sides(pairs.select("pair_id", "left_key", "right_key"), std, columns).join(features, "pair_id")
+NUMBERS = ("nzbn_eq", "company_no_eq", "same_parent_charity", "name_token_jaccard", "nzbn_shared_count", "company_no_shared_count")
+
+
+def pair_evidence(sided: DataFrame, p: Params = Params()) -> DataFrame:
+    """pair_id, the features that the decision asks for, and evidence: an array with a row for each known feature (feature,
+    left_value, right_value, similarity, weight, in_score, contribution). No pair leaves its row, so nothing is shuffled."""
     contact = {c: rarity(f"{c}_eq", f"{c}_shared_count", p) for c in ("phone", "email")}
     contact["website"] = rarity("website_eq", "website_shared_count", p, X.is_generic_host(F.col("l_website_domain")))
     at = rarity(None, "address_shared_count", p)
@@ -62,26 +62,38 @@ def evidence(pairs: DataFrame, features: DataFrame, std: DataFrame, p: Params =
         row("COMPANY_NO_EQ", "company_no", hundred("company_no_eq"), None),
         row("SAME_PARENT_CHARITY", "charity_parent_reg_no", hundred("same_parent_charity"), None),
     )
-    long = sided.select("pair_id", F.explode(F.filter(rows, lambda r: r["similarity"].isNotNull())).alias("e")).select("pair_id", "e.*")
-    whole = F.sum(F.when(F.col("in_score"), F.col("weight")).otherwise(0)).over(Window.partitionBy("pair_id"))
-    return long.withColumn("contribution", F.when(F.col("in_score"), F.round(F.col("weight") * F.col("similarity") / F.nullif(whole, F.lit(0)), 2)).cast("decimal(6,2)"))
+    known = sided.select("pair_id", *NUMBERS, F.filter(rows, lambda r: r["similarity"].isNotNull()).alias("evidence"))
+    known = known.withColumn("whole", total("evidence", lambda r: r["weight"], "decimal(15,2)"))
+    share = lambda r: F.when(r["in_score"], F.round(r["weight"] * r["similarity"] / F.nullif(F.col("whole"), F.lit(0)), 2)).cast("decimal(6,2)")
+    return known.withColumn("evidence", F.transform("evidence", lambda r: r.withField("contribution", share(r)))).drop("whole")
+
+
+def total(rows: str, value, kind: str) -> Column:
+    """Sum of value(row) over those that are in the score."""
+    return F.aggregate(F.filter(rows, lambda r: r["in_score"]), F.lit(0).cast(kind), lambda a, r: (a + value(r)).cast(kind))
 
 
-def pair_scores(ledger: DataFrame, features: DataFrame, p: Params = Params()) -> DataFrame:
+def evidence(evidence_of_pairs: DataFrame) -> DataFrame:
+    """The ledger: pair_id, feature, left_value, right_value, similarity, weight, in_score, contribution."""
+    return evidence_of_pairs.select("pair_id", F.explode("evidence").alias("e")).select("pair_id", "e.*")
+
+
+def pair_scores(evidence_of_pairs: DataFrame, p: Params = Params()) -> DataFrame:
     """The decision of each pair, with what led to it. top_reasons: up to three features by contribution, behind the deciding rule."""
-    scored, full = F.col("in_score"), F.col("similarity") == 100
-    contact = F.col("feature").isin(*CONTACTS) & full
-    counts = F.col("weight") > 0
-    second = ((F.col("feature") == "ADDRESS_JW") & (F.col("similarity") >= p.second_address) | (F.col("feature") == "POSTCODE_EQ") & full | contact) & counts
-    worth = F.when(F.col("contribution") > 0, F.struct((-F.col("contribution")).alias("c"), F.col("feature").alias("f")))
-    fuzzy = ledger.groupBy("pair_id").agg(
-        F.round(F.sum(F.when(scored, F.col("weight") * F.col("similarity"))) / F.nullif(F.sum(F.when(scored, F.col("weight"))), F.lit(0)), 2).cast("decimal(5,2)").alias("fuzzy_score"),
-        F.max(F.when(F.col("feature") == "NAME_BEST_JW", F.col("similarity"))).alias("name_score"),
-        F.bool_or(F.coalesce(second, F.lit(False))).alias("has_second_evidence"),
-        F.bool_or(F.coalesce(contact & (F.col("weight") == 0), F.lit(False))).alias("has_shared_contact"),
-        F.transform(F.slice(F.array_sort(F.collect_list(worth)), 1, 3), lambda x: x["f"]).alias("reasons"),
+    full = lambda r: r["similarity"] == 100
+    contact = lambda r: r["feature"].isin(*CONTACTS) & full(r)
+    second = lambda r: ((r["feature"] == "ADDRESS_JW") & (r["similarity"] >= p.second_address) | (r["feature"] == "POSTCODE_EQ") & full(r) | contact(r)) & (r["weight"] > 0)
+    some = lambda f: F.exists("evidence", lambda r: F.coalesce(f(r), F.lit(False)))
+    worth = F.transform(F.filter("evidence", lambda r: r["contribution"] > 0), lambda r: F.struct((-r["contribution"]).alias("c"), r["feature"].alias("f")))
+    j = evidence_of_pairs.select(
+        "pair_id",
+        *NUMBERS,
+        F.round(total("evidence", lambda r: r["weight"] * r["similarity"], "decimal(21,4)") / F.nullif(total("evidence", lambda r: r["weight"], "decimal(15,2)"), F.lit(0)), 2).cast("decimal(5,2)").alias("fuzzy_score"),
+        F.get(F.filter("evidence", lambda r: r["feature"] == "NAME_BEST_JW"), F.lit(0))["similarity"].alias("name_score"),
+        some(second).alias("has_second_evidence"),
+        some(lambda r: contact(r) & (r["weight"] == 0)).alias("has_shared_contact"),
+        F.transform(F.slice(F.sort_array(worth), 1, 3), lambda x: x["f"]).alias("reasons"),
     )
-    j = fuzzy.join(features.select("pair_id", "nzbn_eq", "company_no_eq", "same_parent_charity", "name_token_jaccard", "nzbn_shared_count", "company_no_shared_count"), "pair_id")
     similar = F.coalesce("name_token_jaccard", F.lit(0)) >= p.auto_jaccard
     by_company = F.col("company_no_eq") & F.col("nzbn_eq").isNull()
     same_id = F.col("nzbn_eq") | by_company

@@ -319,7 +319,7 @@ def truth_pairs(r):
 
 @resolved("SELECT pair_id, left_key, right_key, is_true, fuzzy_score::DOUBLE AS fuzzy_score, fuzzy_decision FROM evaluable")
 def evaluable_pairs(r):
-    return evaluation.evaluable_pairs(r.std, r.pairs, r.decisions, r.truth)
+    return r.evaluable
 
 
 @resolved("SELECT count(*) FILTER (WHERE in_candidates) / nullif(count(*), 0) AS blocking_recall_all, count(*) FILTER (WHERE found_without_nzbn) / nullif(count(*), 0) AS blocking_recall_without_nzbn FROM truth")
@@ -330,8 +330,7 @@ def blocking_recall(r):
 
 @resolved("SELECT metric_group, suffix, tp, fp, fn, round(precision, 4) AS precision, round(recall, 4) AS recall, round(2 * precision * recall / nullif(precision + recall, 0), 4) AS f1 FROM rates")
 def threshold_sweep(r):
-    truth = r.truth
-    out = evaluation.precision_recall(evaluation.confusion(evaluation.evaluable_pairs(r.std, r.pairs, r.decisions, truth)), truth)
+    out = evaluation.precision_recall(evaluation.confusion(r.evaluable), r.truth)
     return out.select("metric_group", "suffix", "tp", "fp", "fn", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")])
 
 

@@ -42,17 +42,25 @@ class Resolution:
     def pairs(self) -> DataFrame:
         return staged(blocking.candidate_pairs(self.std, self.block_keys, self.block_skipped), "pairs")
 
+    @cached_property
+    def compared(self) -> DataFrame:
+        return staged(features.compared(self.pairs, self.std), "compared")
+
     @cached_property
     def features(self) -> DataFrame:
-        return staged(features.match_features(self.pairs, self.std), "features")
+        return features.match_features(self.compared)
+
+    @cached_property
+    def pair_evidence(self) -> DataFrame:
+        return staged(scoring.pair_evidence(self.compared, self.params), "evidence")
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return staged(scoring.evidence(self.pairs, self.features, self.std, self.params), "ledger")
+        return scoring.evidence(self.pair_evidence)
 
     @cached_property
     def scores(self) -> DataFrame:
-        return staged(scoring.pair_scores(self.ledger, self.features, self.params), "scores")
+        return staged(scoring.pair_scores(self.pair_evidence, self.params), "scores")
 
     @cached_property
     def decisions(self) -> DataFrame:
@@ -84,11 +92,15 @@ class Resolution:
 
     @cached_property
     def truth(self) -> DataFrame:
-        return evaluation.truth_pairs(self.std, self.pairs, self.decisions, self.params)
+        return staged(evaluation.truth_pairs(self.std, self.pairs, self.decisions, self.params), "truth")
+
+    @cached_property
+    def evaluable(self) -> DataFrame:
+        return staged(evaluation.evaluable_pairs(self.std, self.pairs, self.decisions, self.truth), "evaluable")
 
     @cached_property
     def evaluation(self) -> DataFrame:
-        return evaluation.evaluation(self.std, self.pairs, self.features, self.decisions, self.truth, self.params)
+        return evaluation.evaluation(self.evaluable, self.features, self.decisions, self.truth, self.params)
 
     @cached_property
     def examples(self) -> DataFrame:

@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from mergewright.operators import clusters, evaluation, explorer, scoring, standardise
+from mergewright.operators import clusters, evaluation, explorer, features, scoring, standardise
 from mergewright.plans import pipeline, schemas
 from mergewright.plans.params import Params
 from mergewright.plans.pipeline import Resolution
@@ -121,9 +121,8 @@ def test_worked_decisions(spark, r):
     rows = [(f"p{i}", *[None if v is None else float(v) if k in numbers else v for k, v in (FEATURE | x).items()]) for i, (x, *_) in enumerate(WORKED)]
     schema = "pair_id string, " + ", ".join(f"{k} {'double' if k in numbers else kinds[k].simpleString()}" for k in FEATURE)
     feats = spark.createDataFrame(rows, schema).select("pair_id", *[F.col(k).cast(kinds[k]).alias(k) for k in FEATURE])
-    keys = r.std.limit(1).collect()[0].record_key
-    pairs = spark.createDataFrame([(f"p{i}", keys, keys) for i in range(len(WORKED))], "pair_id string, left_key string, right_key string")
-    got = {x.pair_id: x for x in scoring.pair_scores(scoring.evidence(pairs, feats, r.std), feats).collect()}
+    sides = [F.lit("x").alias(f"{s}_{c}") for s in "lr" for c in features.SHOWN]
+    got = {x.pair_id: x for x in scoring.pair_scores(scoring.pair_evidence(feats.select("*", *sides))).collect()}
     for i, (_, score, decision, path) in enumerate(WORKED):
         x = got[f"p{i}"]
         assert (float(x.score), x.decision, x.decision_path) == (pytest.approx(score), decision, path), i
@@ -171,7 +170,7 @@ def test_evaluation(r):
         assert v["lenient", k] == v["sweep", f"{k}_t75"]
     assert v["strict", "tp"] + v["strict", "fn"] == v["truth", "total_true_pairs"]
     assert r.examples.count() <= 20
-    assert evaluation.confusion(evaluation.evaluable_pairs(r.std, r.pairs, r.decisions, r.truth)).count() == 12
+    assert evaluation.confusion(r.evaluable).count() == 12
 
 
 def test_run_writes_tables_and_log(spark, r, tmp_path):
@@ -194,7 +193,7 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_a_step_that_fails_is_logged(spark, r, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipeline.features, "match_features", lambda *_: 1 / 0)
+    monkeypatch.setattr(pipeline.features, "compared", lambda *_: 1 / 0)
     broken = Resolution(r.raw_charities, r.raw_companies)
     with pytest.raises(ZeroDivisionError):
         pipeline.run(broken, str(tmp_path), "x")
