@@ -225,11 +225,60 @@ def test_a_group_of_a_third_of_all_rows_is_spread(spark):
     assert size.max() <= 1.03 * size.mean()
 
 
+def full(n: int) -> np.ndarray:
+    return np.full((n, 3), 1.0 / n)
+
+
 def test_place_takes_the_highest_dot_product():
-    where = place(np.array([[9.0, 9, 9], [9, 9, 9], [1, 1, 1], [1, 1, 1]]), 2)
+    v = np.array([[9.0, 9, 9], [9, 9, 9], [1, 1, 1], [1, 1, 1]])
+    where = place(v, full(2), v.sum(0), np.zeros(2, int))
     assert where[0] != where[1] and where[2] != where[3]
 
 
+def test_place_is_near_the_best_of_all_ways():
+    import itertools
+
+    rng = np.random.default_rng(8)
+    for _ in range(12):
+        v = rng.integers(1, 60, (8, 1)) * np.array([[1.0, 1, 1]])
+        got = np.bincount(place(v, full(3), v.sum(0), np.zeros(3, int)), v[:, 0], 3)
+        best = min(max(np.bincount(w, v[:, 0], 3)) for w in itertools.product(range(3), repeat=8))
+        assert got.max() <= 1.12 * best
+
+
+def test_light_groups_are_placed_by_the_rule_in_tasks(spark, monkeypatch):
+    """Against a plain loop over each part; then all shards are near equal in bytes, and nearly in tokens and rows."""
+    from mergewright.llm import op2_sharding as op2
+
+    rng = random.Random(4)
+    monkeypatch.setattr(op2, "BALANCE", 200)
+    seen = {}
+    plain = op2.place_light
+
+    def spied(groups, left, total, parts, rest):
+        seen.update(groups=groups.collect(), left=left, total=total, parts=parts, rest=rest)
+        out = plain(groups, left, total, parts, rest)
+        seen["out"] = {(r.g, r.h): r.shard for r in out.collect()}
+        return out
+
+    monkeypatch.setattr(op2, "place_light", spied)
+    df = spark.createDataFrame([(i, f"t{i % 2500} " * rng.randint(1, 60) if i < 5000 else "hot") for i in range(6000)], "doc_id long, text string")
+    rows = shard(df, 6).collect()
+    own = {p: seen["left"] * (v / seen["rest"]) for p, v in seen["parts"].items()}
+    for r in sorted(seen["groups"], key=lambda r: (r.part, -r["size"], r.g, r.h)):
+        v = np.array([r["size"], r.tokens, r["rows"]]) / seen["total"]
+        dot = own[r.part] @ (v * np.array(op2.WEIGHTS))
+        s = seen["out"][r.g, r.h]
+        assert dot[s] >= dot.max() - 1e-12
+        own[r.part][s] -= v
+    assert len(seen["groups"]) > 1500 and sorted(r.doc_id for r in rows) == list(range(6000))
+    for value, slack in (("size", 1.001), ("tokens", 1.1), (None, 2)):
+        load = np.bincount([r.shard for r in rows], [r[value] if value else 1 for r in rows], 6)
+        assert load.max() <= slack * load.mean(), value
+    for s in range(6):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
 # ---- 3
 
 
