@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import mix, small_batches, stash, text_chunks, tidy, word_hashes
+from .common import mix, small_batches, stash, text_chunks, tidy, unstash, word_hashes
 
 by_value(__name__)
 
@@ -193,49 +193,38 @@ def remainder(doc_id: Column) -> Column:
 
 
 def featured(docs: DataFrame) -> DataFrame:
-    """row (unique), doc_id and features (array) of each whole text."""
+    """doc_id, y and features (array) of each whole text of docs (doc_id, y, text)."""
     small_batches(docs.sparkSession)
 
     def run(batches):
-        from pyspark import TaskContext
-
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 x = features(data, offsets)
-                n = len(x)
-                flat = pa.array(x.ravel())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), part.column("doc_id"), pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), flat)], ["row", "doc_id", "x"]
-                )
-                row += n
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), rows], ["doc_id", "y", "x"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "row long, doc_id long, x array<double>")
+    return docs.select("doc_id", "y", "text").mapInArrow(tidy(run), "doc_id long, y int, x array<double>")
 
 
-def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
-    """The model of a bounded sample of rows (featured) with labels (doc_id, quality) that are not held out."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("y")).where("y IN (0, 1)").where(remainder(F.col("doc_id")) != 0)
-    labelled = stash(rows.join(known, "doc_id").select("doc_id", "x", "y"), "labelled")
-    # Of many rows, those whose hashes can't be among the least don't leave their tasks.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
+    """The model of a bounded sample of docs with labels (doc_id, quality) that are not held out: of those rows the `sample`
+    whose hashed doc_id is least. Only their texts are looked at."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where("y IN (0, 1)").where(remainder(F.col("doc_id")) != 0)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    labelled = stash(ids.join(known, "doc_id"), "labelled")
+    # Of many rows, those whose hashes can't be among the least don't leave their tasks; about 2 * sample rows do.
     least = min(2**63 - 1, -(2**63) + 2 * sample * 2**64 // max(1, labelled.count()))
-    near = labelled.where(F.xxhash64("doc_id") <= F.lit(least))
-    got = near.orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(sample).select("x", "y").toPandas()
+    near = stash(labelled.where(F.xxhash64("doc_id") <= F.lit(least)).distinct(), "near")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(near), "doc_id")
+    got = featured(texts).orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(sample).select("x", "y").toPandas()
+    unstash(labelled, near)
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(np.float64))
 
 
-def scored(rows: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -> DataFrame:
-    """row, doc_id, held_out, score and predicted of featured rows."""
-
-    def run(batches):
-        for batch in batches:
-            x = np.asarray(batch.column("x").flatten()).reshape(-1, len(FEATURES))
-            s = model.score(x)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["row", "doc_id", "score", "predicted"])
-
-    out = rows.mapInArrow(tidy(run), "row long, doc_id long, score double, predicted int")
-    return out.select("row", "doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+def scores_of(batch: pa.RecordBatch, model: AdditiveModel) -> np.ndarray:
+    """The score of each text of a batch."""
+    return np.concatenate([model.score(features(data, offsets)) for _, data, offsets in text_chunks(batch, "text")] or [np.zeros(0)])
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -245,8 +234,28 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold:
     out; a repeated doc_id gives a row for each. Without labels every score is 0.5. An empty table gives an empty
     result; other columns are ignored.
     """
-    rows = stash(featured(docs), "features")
-    return scored(rows, train(rows, labels, sample), threshold).drop("row")
+    small_batches(docs.sparkSession)
+    model = train(docs, labels, sample)
+
+    def run(batches):
+        for batch in batches:
+            s = scores_of(batch, model)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, score double, predicted int")
+    return out.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+def good_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are predicted to be good, with all their columns; each is judged by its own text."""
+    small_batches(docs.sparkSession)
+    model = train(docs, labels, sample)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(batch, model) >= threshold))
+
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op8_additive_quality(spark, sf_dir: str) -> DataFrame:

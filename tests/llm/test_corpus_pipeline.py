@@ -6,6 +6,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).parent))
 import brute
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as c
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +44,40 @@ def test_stages_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in c.STAGES:
         assert stage(spark, none, SF).collect() == []
+
+
+def odd(spark):
+    """Good prose with copies under null, repeated and other ids, near copies, nulls and empties."""
+    text = lambda i: " ".join(f"word{(i * 7919 + k * k * 31) % 9973}" for k in range(120)) + "."
+    rows = [(i, text(i)) for i in range(1, 9)] + [(3, text(3)), (None, text(4)), (20, text(4)), (None, "only here " + text(11)), (None, "only here " + text(11)), (3, text(12))]
+    rows += [(30, None), (None, None), (31, ""), (31, ""), (32, text(5) + " more")]
+    return spark.createDataFrame([(i, t, "en" if i else None, "s", len(t) if t else None, "x", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row string, m_topic int"), rows, text
+
+
+def test_near_copies_go_by_row(spark):
+    docs, rows, text = odd(spark)
+    out = c.deduplicate(spark, docs, SF)
+    kept = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in out.collect())
+    want = [(i, text(i)) for i in range(1, 9)] + [(-1, "only here " + text(11)), (3, text(12)), (30, ""), (-1, ""), (31, ""), (31, "")]
+    assert out.columns == list(c.COLUMNS) and kept == sorted(want)
+
+
+def test_every_stage_takes_odd_rows(spark):
+    docs, rows, _ = odd(spark)
+    for name, stage in c.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert tuple(out.columns) == c.COLUMNS and 0 < out.count() <= len(rows), name
+    changed = c.protect(spark, docs.limit(1).withColumn("text", F.lit("call 212-555-0100")), SF).first()
+    assert changed.n_chars == len(changed.text) and "212-555-0100" not in changed.text
+    assert c.pack_sequences(spark, docs, SF).agg(F.sum("length")).first()[0] > len(rows)
+
+
+def test_the_classifier_judges_rows_not_ids(spark):
+    large = SF.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{large}/documents.parquet").select(*c.COLUMNS), spark.read.parquet(f"{large}/labels.parquet")
+    texts = docs.join(labels, "doc_id").where("text IS NOT NULL").orderBy("doc_id")
+    good, bad = (texts.where(f"quality = {q}").first().text for q in (1, 0))
+    new = 10**9
+    more = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in ((None, good), (new, good), (new, bad), (None, bad))], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = c.good_rows(docs.union(more), labels).where(f"doc_id IS NULL OR doc_id = {new}").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, good), (new, good)]
