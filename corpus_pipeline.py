@@ -12,37 +12,46 @@ from mergewright.llm.op3_pii import pseudonymise, session_key
 from mergewright.llm.op5_packing import pack
 from mergewright.llm.op6_mixing import mixed
 from mergewright.llm.op7_parity import near_components
-from mergewright.llm.op8_quality import quality
+from mergewright.llm.op8_quality import good_rows
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts to be good. It decides by doc_id; rows without one are kept."""
-    labels = spark.read.parquet(posixpath.join(sf_dir, "labels.parquet"))
-    bad = stash(quality(docs, labels).where("predicted = 0 AND doc_id IS NOT NULL").select("doc_id").distinct(), "rejected")
-    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that the quality classifier predicts to be good, each by its own text; ids only link labels to texts.
+
+    A null text counts as empty; null and repeated ids, repeated rows and an empty table need no care."""
+    return good_rows(docs.select(*COLUMNS), spark.read.parquet(posixpath.join(sf_dir, "labels.parquet")))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest doc_id."""
-    extra = stash(near_components(docs).where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    return docs.join(extra, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of near copies: that of the smallest doc_id, null last, and of its first row.
+
+    Rows, not ids, are compared: copies count as such whether ids are null, repeated or different. Texts without words
+    are no copies of each other and stay."""
+    rows = stash(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = near_components(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    found = found.join(rows.select("row", "doc_id"), "row")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept"))
+    extra = stash(found.join(first, "component_id").where("row <> kept.row").select("row"), "copies")
+    return rows.join(extra, "row", "left_anti").select(*COLUMNS)
 
 
 def protect(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms in place of personal data; n_chars follows the text."""
+    """Texts with pseudonyms in place of personal data; n_chars follows the text. Null and empty texts stay as they are,
+    and rows are changed one by one, whatever their ids."""
     out = pseudonymise(docs.select(*COLUMNS), session_key(spark))
     return out.withColumn("n_chars", F.when(F.col("n_changed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with raked source, language and topic marginals."""
-    return mixed(docs).where("mix_kept").select(*COLUMNS)
+    """A sample with raked source, language and topic marginals. A null source or language is one of its own; rows of one id
+    and cell are kept or dropped together, as are rows without an id; a null text has one token."""
+    return mixed(docs.select(*COLUMNS)).where("mix_kept").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences. A null or empty text has one token; rows with null or repeated ids are documents like others."""
     return pack(docs)
 
 
@@ -56,6 +65,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all stages over documents; of an empty table none."""
     docs = spark.read.parquet(posixpath.join(sf_dir, "documents.parquet"))
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
