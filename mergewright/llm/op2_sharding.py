@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..shipping import by_value
-from .common import SPACE_CHARS, n_shuffle, stash, tidy, unstash
+from .common import SPACE_CHARS, few, n_shuffle, stash, tidy, unstash
 
 by_value(__name__)
 
@@ -130,7 +130,8 @@ def shard(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     vector = lambda r: np.array([r["size"] or 0, r["tokens"] or 0, r["rows"] or 0], np.float64)
     total = vector(base.agg(*sums).first())
     share = np.maximum(total / n_shards, 1)
-    groups = stash(base.groupBy("g", "h").agg(*sums).withColumn("part", F.pmod("h", F.lit(n_shuffle(spark))).cast("int")), "groups")
+    n = int(total[2])
+    groups = stash(few(base.groupBy("g", "h").agg(*sums).withColumn("part", F.pmod("h", F.lit(n_shuffle(spark))).cast("int")), n), "groups")
     of_shard = F.greatest(*[F.col(c) / float(x) for c, x in zip(("size", "tokens", "rows"), share, strict=True)])
     # At most 3 * HEAVY * n_shards groups.
     heavy = sorted(groups.where(of_shard > 1 / HEAVY).select("g", "h", "size", "tokens", "rows", of_shard.alias("of")).collect(), key=lambda r: (r.g, r.h))
@@ -159,7 +160,7 @@ def shard(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     parts = {r.part: vector(r) for r in early.groupBy("part").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows")).collect()}
     rest = sum(parts.values(), np.zeros(3))
     after = total - held.sum(0) - rest  # what waits
-    homes = stash(place_light(early, capacity(held, total, rest + after) * (rest / np.maximum(rest + after, 1)), total, parts, rest), "homes")
+    homes = stash(few(place_light(early, capacity(held, total, rest + after) * (rest / np.maximum(rest + after, 1)), total, parts, rest), n_light), "homes")
     for r in homes.join(early, ["g", "h"]).groupBy("shard").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows")).collect():
         held[r.shard] += vector(r)
     # BALANCE groups in expectation at half that number.
@@ -171,7 +172,7 @@ def shard(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     # Only rows of light groups are shuffled by group.
     out = some.where("shard IS NOT NULL").drop("pieces", "piece").unionByName(some.where("shard IS NULL").drop("pieces", "piece", "shard").join(homes, ["g", "h"]))
     ranks = max(RANKS, int(share[2]) // RANKED)
-    out = stash(out.select("doc_id", "size", "text_crc32", "tokens", "shard", "row", F.pmod("row", F.lit(ranks)).cast("int").alias("rank")), "placed")
+    out = stash(few(out.select("doc_id", "size", "text_crc32", "tokens", "shard", "row", F.pmod("row", F.lit(ranks)).cast("int").alias("rank")), n), "placed")
     unstash(groups, homes)
     # A row for each part.
     firsts, at = [], {}
