@@ -1,11 +1,12 @@
 """N-gram Jaccard join by parity sketches.
 
 A document is the set of its hashed five-word shingles. Sets of sizes 4**i to 4**(i+1) form a band. In a band's
-sketch the hash range is cut into segments of 2**32 bits; each shingle flips one bit of its segment, so that the
+sketch the hash range is cut into 4**(i+1) segments of 2**32 bits, so that the members of a set share segments; each
+shingle flips one bit of its segment, so that the
 Hamming distance of two sketches is at most the symmetric difference of the sets. Jaccard similarity of s percent
 allows a symmetric difference of d = (100 - s) * (a + b) / (100 + s), so that at most d segments differ (pigeonhole).
 Of the non-empty segments of a set, in one global order, the first d + 1 therefore include one that is equal in both;
-only these are joined (by a fingerprint of their parities). The order puts rare shingles first, by a count-min sketch
+only these are joined (by a fingerprint of their parities). The order puts segments with a rare shingle first, by a count-min sketch
 of fixed size over all documents. A set also joins the next lower band if a partner there is possible.
 
 Pairs whose folded sketches (two to four bits for each shingle) differ in more than d bits are dropped; the others are
@@ -13,7 +14,8 @@ verified exactly, as far as they can still join components: first each set with
 that are still in different components. A group with a common segment gives pairs with one of its sets at first, and
 the pairs of components that it still spans then, so no link that joins components is lost.
 
-Sets are named by the sum of their mixed hashes (64 bits); documents with equal sets are one set throughout.
+Sets are named by a sum of their mixed hashes (64 bits); a second such sum tells sets of one name apart, and a name that
+two sets share is given up for both. Documents with equal sets are one set throughout.
 """
 
 from __future__ import annotations
@@ -90,12 +92,24 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
     return g[new], own[new]
 
 
-def set_names(g: np.ndarray, own: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Name and size of each document's set; 0 for an empty one."""
+def set_names(g: np.ndarray, own: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two names (independent hashes) and the size of each document's set; 0 for an empty one."""
     n = np.bincount(own, minlength=docs)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(g ^ _MIX[9]))])
     ends = np.cumsum(n)
-    return np.where(n > 0, mix(sums[ends] - sums[ends - n] + n.astype(np.uint64)), np.uint64(0)), n
+
+    def name(k: int) -> np.ndarray:
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(g ^ _MIX[k]))])
+        return np.where(n > 0, mix(sums[ends] - sums[ends - n] + n.astype(np.uint64)), np.uint64(0))
+
+    return name(9), name(11), n
+
+
+def final_names(node: np.ndarray, other: np.ndarray, given_up: np.ndarray) -> np.ndarray:
+    """The names, but for those given up (sorted) ones of both hashes."""
+    if not len(given_up):
+        return node
+    met = given_up[np.minimum(np.searchsorted(given_up, node), len(given_up) - 1)] == node
+    return np.where(met, mix(node ^ mix(other)), node)
 
 
 def counter(g: np.ndarray) -> np.ndarray:
@@ -124,30 +138,30 @@ def sketch_distance(x: bytes, y: bytes) -> int:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, sketch) of each document; and rows with part, slice and counts: a task's share of the count-min sketch."""
+    """(doc_id, node, other, n, sketch) of each document; and rows with part, slice and counts: a task's share of the count-min sketch."""
 
     def run(batches):
         from pyspark import TaskContext
 
         counts, any_rows = np.zeros(COUNTERS, np.uint8), False
-        names = ["doc_id", "node", "n", "sketch", "part", "slice", "counts"]
+        names = ["doc_id", "node", "other", "n", "sketch", "part", "slice", "counts"]
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 any_rows = True
                 g, own = shingle_sets(data, offsets)
-                node, n = set_names(g, own, len(offsets) - 1)
+                node, other, n = set_names(g, own, len(offsets) - 1)
                 at, more = np.unique(counter(g), return_counts=True)
                 counts[at] = np.minimum(counts[at] + more, 255)
                 none = pa.nulls(len(n), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node.view(np.int64)), pa.array(n), pa.array(sketches(g, n), pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node.view(np.int64)), pa.array(other.view(np.int64)), pa.array(n), pa.array(sketches(g, n), pa.binary()), none, none, pa.nulls(len(n), pa.binary())], names)
         if any_rows:
             blobs = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
+                [none, none, none, none, pa.nulls(SLICES, pa.binary()), pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names
             )
 
-    return docs.mapInArrow(tidy(run), "doc_id long, node long, n long, sketch binary, part int, slice int, counts binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, node long, other long, n long, sketch binary, part int, slice int, counts binary")
 
 
 def rarity(shares: DataFrame) -> np.ndarray:
@@ -212,14 +226,15 @@ def signatures(g: np.ndarray, own: np.ndarray, n: np.ndarray, classes: np.ndarra
             continue
         t, o, r = g[use], own[use], rare[use]
         high = 4 ** (scheme[o] + 1)
-        segments = np.where(high <= 64, 1 << 20, 4 * high).astype(np.uint64)
+        segments = np.where(high <= 64, 1 << 20, high).astype(np.uint64)
         seg = ((t >> np.uint64(32)) * segments) >> np.uint64(32)
         start = np.ones(len(t), bool)
         start[1:] = (seg[1:] != seg[:-1]) | (o[1:] != o[:-1])
         at = np.flatnonzero(start)
         bits = np.bitwise_xor.reduceat(mix((t & np.uint64(0xFFFFFFFF)) + _MIX[10]), at)
         sig = mix(bits + mix(seg[at] * np.uint64(64) + scheme[o[at]].astype(np.uint64)))
-        order_key = (np.maximum.reduceat(r, at).astype(np.uint64) << np.uint64(56)) | (sig >> np.uint64(8))
+        # A segment is as rare as its rarest member.
+        order_key = (np.minimum.reduceat(r, at).astype(np.uint64) << np.uint64(56)) | (sig >> np.uint64(8))
         o = o[at]
         order = np.lexsort((order_key, o))
         sig, o = sig[order], o[order]
@@ -232,7 +247,7 @@ def signatures(g: np.ndarray, own: np.ndarray, n: np.ndarray, classes: np.ndarra
     return np.concatenate(sigs), np.concatenate(owners)
 
 
-def shown(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
+def shown(docs: DataFrame, classes: np.ndarray, given_up: np.ndarray, percent: int) -> DataFrame:
     """(dest, records): packed (signature, set) records for each destination; a set once for each task."""
     spark = docs.sparkSession
     dests = 4 * n_shuffle(spark)
@@ -254,7 +269,8 @@ def shown(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
         for batch in batches:
             for _, data, offsets in text_chunks(batch, "text"):
                 g, own = shingle_sets(data, offsets)
-                node, n = set_names(g, own, len(offsets) - 1)
+                node, other, n = set_names(g, own, len(offsets) - 1)
+                node = final_names(node, other, given_up)
                 new = np.zeros(len(n), bool)
                 for i, x in enumerate(node.tolist()):
                     if n[i] and x not in seen:
@@ -337,7 +353,7 @@ def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return fit.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "n", "m", "x", "y").mapInArrow(tidy(run), "a long, b long, far double")
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame, given_up: np.ndarray) -> DataFrame:
     """(node, members) of the named sets, from a document of each; members: sorted hashes of 48 bits, in 6 bytes each."""
     wanted = stash(classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node"), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
@@ -347,7 +363,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             for part, data, offsets in text_chunks(batch, "text"):
                 g, own = shingle_sets(data, offsets)
-                node, n = set_names(g, own, len(offsets) - 1)
+                node, other, n = set_names(g, own, len(offsets) - 1)
+                node = final_names(node, other, given_up)
                 want = part.column("node").to_numpy().view(np.uint64)
                 ends = np.cumsum(n)
                 raw = np.ascontiguousarray((g >> np.uint64(16)).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
@@ -386,10 +403,10 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, given_up: np.ndarray, percent: int) -> DataFrame:
     """The similar ones of the pairs (a, b), as a table."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stash(sets_of(docs, nodes, classes), "members")
+    sets = stash(sets_of(docs, nodes, classes, given_up), "members")
     release(docs.sparkSession)
     links = stash(few(linked(pairs, sets, percent), pairs.count()), "links")
     unstash(sets)
@@ -408,16 +425,28 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_rows = stash(described(docs), "sets")
-    rows = all_rows.where("part IS NULL").select("doc_id", "node", "n")
+    rows = all_rows.where("part IS NULL")
+    # About one name for 10**10 sets.
+    twice = rows.where("n > 0").select("node", "other").distinct().groupBy("node").count().where("count > 1").select("node").collect()
+    given_up = np.sort(np.array([r.node for r in twice], np.int64).view(np.uint64))
+    if len(given_up):
+
+        def rename(batches):
+            for batch in batches:
+                node, other = (batch.column(c).to_numpy().view(np.uint64) for c in ("node", "other"))
+                named = np.where(batch.column("n").to_numpy() > 0, final_names(node, other, given_up), node)
+                yield batch.set_column(1, "node", pa.array(named.view(np.int64)))
+
+        rows = stash(rows.select("doc_id", "node", "other", "n", "sketch").mapInArrow(tidy(rename), "doc_id long, node long, other long, n long, sketch binary"), "renamed")
     counts = rarity(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
-    classes = all_rows.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("node")
+    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
     classes = stash(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     named = docs.where("doc_id IS NOT NULL")
-    groups = stash(met(shown(named, counts, percent)), "groups")
+    groups = stash(met(shown(named, counts, given_up, percent)), "groups")
     release(spark)
     pairs = stash(near(groups.where("sig IS NULL").select("a", "b").distinct(), classes, percent), "pairs")
     first = stash(few(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), pairs.count()), "nearest")
-    links = verified(named, first, classes, percent)
+    links = verified(named, first, classes, given_up, percent)
     label = stash(components(links, "a", "b"), "labels")
     rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
     large = groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node"))
@@ -430,7 +459,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     more = stash(rest[0] if len(rest) == 1 else rest[0].union(rest[1]).distinct(), "pairs")
     release(spark)
     if not more.isEmpty():
-        links = links.union(verified(named, more, classes, percent))
+        links = links.union(verified(named, more, classes, given_up, percent))
     unstash(groups)
     reps = classes.select("node", "rep")
     by_id = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("u")), "a").join(reps.select(F.col("node").alias("b"), F.col("rep").alias("v")), "b")

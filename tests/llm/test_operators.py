@@ -615,6 +615,42 @@ def test_near_components(docs):
     assert got == brute.near_components(dict(corpus()))
 
 
+def test_near_components_of_sets_whose_names_collide(docs, monkeypatch):
+    from mergewright.llm import op7_parity as op7
+
+    plain = op7.set_names
+
+    def few_names(*args):
+        node, other, n = plain(*args)
+        return np.where(n > 0, node % np.uint64(8) + np.uint64(1), node), other, n
+
+    monkeypatch.setattr(op7, "set_names", few_names)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(docs).collect()}
+    assert got == brute.near_components(dict(corpus()))
+
+
+def test_similar_sets_show_a_common_segment():
+    """Random pairs of sets of at least 75 percent, with and without a next higher band; segments hold several members."""
+    from mergewright.llm import op7_parity as op7
+
+    rng = np.random.default_rng(3)
+    classes = rng.integers(0, 200, op7.COUNTERS).astype(np.uint8)
+    folded = 0
+    for k in range(300):
+        n = int(rng.integers(4, 1400))
+        both = rng.integers(0, 2**64, n, dtype=np.uint64)
+        more = int(n / 3 * rng.random())
+        own = rng.integers(0, 2**64, more, dtype=np.uint64)
+        cut = int(rng.integers(0, more + 1)) if k % 3 else 0
+        a, b = np.unique(np.concatenate([both, own[:cut]])), np.unique(np.concatenate([both, own[cut:]]))
+        assert 100 * len(both) >= 75 * (len(a) + len(b) - len(both))
+        x, y = (set(op7.signatures(g, np.zeros(len(g), np.int64), np.array([len(g)]), classes)[0].tolist()) for g in (a, b))
+        assert x & y
+        segments = len(np.unique((a >> np.uint64(32)) * np.uint64(4 ** (op7.band_of(np.array([len(a)]))[0] + 1)) >> np.uint64(32)))
+        folded += len(a) - segments
+    assert folded > 20_000
+
+
 def test_near_copies_that_share_much_but_not_enough(spark):
     rng = random.Random(8)
     base = [f"w{k}" for k in range(200)]
