@@ -83,22 +83,23 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """uid (unique), doc_id, key, n and ids (unsigned 16-bit, with the closing 0) of each row."""
+    """uid (unique), doc_id, key, n and ids (unsigned, of 16 bits or, for larger vocabularies, 32; with the closing 0) of each row."""
 
     def run(batches):
         from pyspark import TaskContext
 
         enc = encoder(path)
         table = np.random.default_rng(5).standard_normal((enc.max_token_value + 1, DIMS)).astype(np.float32)
+        kind = np.uint16 if enc.max_token_value < 1 << 16 else np.uint32
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             ids, n, at = [], [], []
             for text in batch.column(1).to_pylist():
-                got = np.array(encode_added(enc, text) if text else [], np.uint16)
+                got = np.array(encode_added(enc, text) if text else [], kind)
                 c = table[got].sum(0) / np.sqrt(max(1, len(got)) * 40.0) if len(got) else np.zeros(DIMS)
                 at.append(np.tanh(c))
                 n.append(len(got) + 1)
-                ids.append(np.append(got, np.uint16(0)).tobytes())
+                ids.append(np.append(got, kind(0)).tobytes())
             grid = np.clip((np.array(at).reshape(-1, DIMS) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +159,7 @@ def pack(docs: DataFrame, seq_len: int = 1024, path: str | None = None) -> DataF
         for batch in batches:
             out = []
             for doc, part, at, n, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "at", "n", "ids")), strict=True):
-                u32 = np.frombuffer(ids, np.uint16).astype("<u4")
+                u32 = np.frombuffer(ids, np.uint16 if len(ids) == 2 * n else np.uint32).astype("<u4")
                 pos, done = firsts[part] + at, 0
                 while done < n:
                     if pos < body:

@@ -82,6 +82,22 @@ def test_odd_rows(docs, name):
     assert ids.count() == want
 
 
+def test_a_very_long_text(spark):
+    """1.7 MB beside a short text, whole in every operator."""
+    import hashlib
+
+    words = [f"w{k * 7919 % 250007}" for k in range(250_000)]
+    long = " ".join(words)
+    df = spark.createDataFrame([(1, long, "en", "s", len(long)), (2, "short text", "en", "s", 10), (3, long[-400:], "en", "s", 400)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {name: {r.doc_id: r for r in f(df).collect()} for name, f in OPERATORS.items() if name not in ("op5", "op8")}
+    assert len(long) > 1_500_000 and all(set(rows) == {1, 2, 3} for rows in got.values())
+    assert got["op7"][1].n_shingles == 250_000 - 4 and got["op7"][1].component_id == 1 and got["op10"][1].n_words == 250_000 and got["op10"][1].n_repeat_words == 0
+    assert (got["op4"][1].n_removed, got["op4"][3].n_removed) == (400, 400) and got["op4"][1].kept_sha256 == hashlib.sha256(long[:-400].encode()).hexdigest()
+    assert got["op3"][1].text == long and got["op2"][1]["size"] == len(long) + 8 and got["op9"][1].n_matches == 0
+    pieces = OPERATORS["op5"](df).where("doc_id = 1").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).first()
+    assert pieces.n == pieces.all > 250_000 and quality(df, df.select("doc_id", F.lit(None).cast("int").alias("quality"))).count() == 3
+
+
 # ---- 1
 
 
@@ -479,7 +495,6 @@ def test_pieces_are_the_tokens(docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     texts = dict(corpus())
     ids = {i: np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4") for i, x in texts.items()}
     rows = pack(docs, 64).collect()
@@ -500,14 +515,15 @@ def test_pieces_are_the_tokens(docs):
         assert at == 64 or at & (at - 1) == 0
 
 
-def test_encoder_takes_special_strings_as_text():
+def test_encoder_gives_the_ids_of_the_tokenizer():
     from public_tokenizers import path
     from tokenizers import Tokenizer
 
+    from mergewright.llm.op5_packing import encode_added
+
     t = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    for text in ("<|endoftext|> x", "a" * 3000, "é \x00  \n\n\tß", "12345 '"):
-        assert encoder(None).encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
+    for text in ("<|endoftext|> x", "x<|endoftext|>", "a <|endoftext|><|endoftext|> b", "<|endoftext|", "a" * 3000, "é \x00  \n\n\tß", "12345 '"):
+        assert encode_added(encoder(None), text) == t.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_of_added_tokens_are_those_of_the_tokenizer_by_default(spark):
