@@ -30,7 +30,8 @@ def matches(c: Column, pattern: str) -> Column:
 
 
 def plain_upper(c: Column) -> Column:
-    return F.upper(F.translate(c, MACRONS, VOWELS))
+    # translate() looks up each character; few texts need it.
+    return F.upper(F.when(c.rlike(f"[{MACRONS}]"), F.translate(c, MACRONS, VOWELS)).otherwise(c))
 
 
 def squeezed(c: Column) -> Column:
@@ -44,7 +45,7 @@ def whole_words(c: Column, pairs) -> Column:
 
 
 def name_clean(c: Column) -> Column:
-    spelled = F.translate(F.replace(plain_upper(c), F.lit("&"), F.lit(" AND ")), "'’", "")
+    spelled = F.regexp_replace(F.replace(plain_upper(c), F.lit("&"), F.lit(" AND ")), "['’]", "")
     words = whole_words(F.trim(F.regexp_replace(spelled, "[^A-Z0-9]+", " ")), LEGAL_FORMS)
     return F.nullif(F.regexp_replace(words, rf"\A({'|'.join(LEADING)}) ", ""), F.lit(""))
 
