@@ -30,9 +30,16 @@ def members(xref: DataFrame, std: DataFrame, master_id: str) -> DataFrame:
     return mine.join(std.drop("source_system"), "record_key").orderBy("record_key")
 
 
-def pair_evidence(pairs: DataFrame, decisions: DataFrame, ledger: DataFrame, keys) -> DataFrame:
-    inside = F.col("left_key").isin(*keys) & F.col("right_key").isin(*keys)
-    return pairs.where(inside).select("pair_id", "left_key", "right_key").join(decisions.select("pair_id", "decision"), "pair_id").join(ledger, "pair_id")
+def records_of(xref: DataFrame, master_id: str) -> DataFrame:
+    return xref.where(F.col("master_id") == master_id).select("record_key")
+
+
+def pair_evidence(pairs: DataFrame, decisions: DataFrame, ledger: DataFrame, records: DataFrame) -> DataFrame:
+    """Evidence of the pairs among the records (record_key)."""
+    inside = pairs.select("pair_id", "left_key", "right_key")
+    for side in ("left_key", "right_key"):
+        inside = inside.join(records.withColumnRenamed("record_key", side), side, "left_semi")
+    return inside.join(decisions.select("pair_id", "decision"), "pair_id").join(ledger, "pair_id")
 
 
 def pair_summary(evidence: DataFrame, strong: float = 80) -> DataFrame:
@@ -45,10 +52,12 @@ def pair_summary(evidence: DataFrame, strong: float = 80) -> DataFrame:
     )
 
 
-def queue_of(queue: DataFrame, pairs: DataFrame, keys) -> DataFrame:
-    out = queue.select("reason_code", "status", "record_key", "pair_id").join(pairs.select("pair_id", "left_key", "right_key"), "pair_id", "left")
-    named = F.col("record_key").isin(*keys) | F.col("left_key").isin(*keys) | F.col("right_key").isin(*keys)
-    return out.where(named).select("reason_code", "status", "record_key", "left_key", "right_key")
+def queue_of(queue: DataFrame, pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """Items of the queue that name one of the records (record_key), themselves or through their pair."""
+    out = queue.select("exception_id", "reason_code", "status", "record_key", "pair_id").join(pairs.select("pair_id", "left_key", "right_key"), "pair_id", "left")
+    named = out.select("exception_id", F.explode(F.array_compact(F.array("record_key", "left_key", "right_key"))).alias("named"))
+    mine = named.join(records.withColumnRenamed("record_key", "named"), "named", "left_semi").select("exception_id").distinct()
+    return out.join(mine, "exception_id", "left_semi").select("reason_code", "status", "record_key", "left_key", "right_key")
 
 
 def decision_counts(decisions: DataFrame) -> DataFrame:

@@ -437,27 +437,26 @@ def name_search(r):
 _FIRST = "(SELECT master_id FROM master ORDER BY member_count DESC, master_id LIMIT 1)"
 
 
-def largest(r) -> tuple[str, list[str]]:
-    """The largest master and its records (a cluster, shown to a person)."""
-    top = r.masters.orderBy(F.desc("member_count"), "master_id").first()
-    return top.master_id, [x.record_key for x in r.xref.where(F.col("master_id") == top.master_id).select("record_key").collect()]
+def largest(r) -> str:
+    """The largest master."""
+    return r.masters.orderBy(F.desc("member_count"), "master_id").first().master_id
 
 
 @resolved(f"SELECT record_key, link_type, link_confidence::DOUBLE AS link_confidence, name_raw, name_clean, nzbn FROM xref JOIN std USING (record_key, source_system, source_record_id) WHERE master_id = {_FIRST}")
 def explorer_members(r):
-    return explorer.members(r.xref, r.std, largest(r)[0]).select("record_key", "link_type", "link_confidence", "name_raw", "name_clean", "nzbn")
+    return explorer.members(r.xref, r.std, largest(r)).select("record_key", "link_type", "link_confidence", "name_raw", "name_clean", "nzbn")
 
 
 @resolved(f"""SELECT pair_id, left_key, right_key, decision, array_to_string(list_sort(list(feature) FILTER (WHERE in_score AND similarity >= 80)), ',') AS strong_evidence, round(sum(contribution), 2) AS evidence_score,
   CASE max(CASE WHEN feature = 'NZBN_EQ' THEN similarity END) WHEN 100 THEN 'same' WHEN 0 THEN 'different' ELSE 'unknown' END AS identifier FROM pairs JOIN decision USING (pair_id) JOIN ledger USING (pair_id)
   WHERE left_key IN (SELECT record_key FROM xref WHERE master_id = {_FIRST}) AND right_key IN (SELECT record_key FROM xref WHERE master_id = {_FIRST}) GROUP BY 1, 2, 3, 4""")
 def explorer_pairs(r):
-    return explorer.pair_summary(explorer.pair_evidence(r.pairs, r.decisions, r.ledger, largest(r)[1]))
+    return explorer.pair_summary(explorer.pair_evidence(r.pairs, r.decisions, r.ledger, explorer.records_of(r.xref, largest(r))))
 
 
 @resolved(f"""SELECT reason_code, status, q.record_key, left_key, right_key FROM queue q LEFT JOIN pairs USING (pair_id) WHERE EXISTS (SELECT 1 FROM xref x WHERE master_id = {_FIRST} AND x.record_key IN (q.record_key, left_key, right_key))""")
 def explorer_queue(r):
-    return explorer.queue_of(r.queue, r.pairs, largest(r)[1])
+    return explorer.queue_of(r.queue, r.pairs, explorer.records_of(r.xref, largest(r)))
 
 
 @resolved("SELECT decision, count(*) AS pairs FROM decision GROUP BY 1")
