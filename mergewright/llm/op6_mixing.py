@@ -57,8 +57,10 @@ def forms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def measured(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """docs with mix_tokens and mix_topic of each whole text, with or without the text."""
+    """docs with mix_tokens, mix_topic and, if they have doc_id, mix_key (what a row is drawn by) of each whole text, with or without the text."""
     small_batches(docs.sparkSession)
+    if "doc_id" in docs.columns:
+        docs = docs.withColumn("mix_key", F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
     names = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches):
@@ -284,13 +286,13 @@ def sampled(docs: DataFrame, cells: DataFrame, topic: str = "mix_topic") -> Data
     names = margins(topic)
     joined = docs.alias("d").join(cells.alias("c"), (names["source"] == F.col("c.m_source")) & (names["lang"] == F.col("c.m_lang")) & (names["topic"] == F.col("c.m_topic")), "left")
     chance = F.col("c.m_probability")
-    draw = F.conv(F.substr(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("d.doc_id"), F.lit(-1)).cast("string"))), F.lit(1), F.lit(12)), 16, 10).cast("double") / float(2**48)
-    return joined.select("d.*", chance.alias("mix_probability"), (draw < chance).alias("mix_kept"))
+    draw = F.conv(F.substr(F.md5(F.concat(F.lit("mix:"), F.col("d.mix_key"))), F.lit(1), F.lit(12)), 16, 10).cast("double") / float(2**48)
+    return joined.select("d.*", chance.alias("mix_probability"), (draw < chance).alias("mix_kept")).drop("mix_key")
 
 
 def mixture(docs: DataFrame, weights: dict[str, dict] | None = None, power: float = POWER, share: float = SHARE, topic: str | None = None) -> tuple[DataFrame, Plan]:
     """mixed(), and the plan: the share of tokens that is kept and whether the marginals hold."""
-    docs = docs.drop("mix_tokens", "mix_topic", "mix_probability", "mix_kept")
+    docs = docs.drop("mix_tokens", "mix_topic", "mix_key", "mix_probability", "mix_kept")
     by = topic or "mix_topic"
     cells, plan = chances(measured(docs.select("source", "lang", "text", *([topic] if topic else [])), False), weights, power, share, by)
     logging.getLogger(__name__).info("mixture: %s", plan)
@@ -303,8 +305,8 @@ def mixed(docs: DataFrame, weights: dict[str, dict] | None = None, power: float
     weights: targets by marginal (source, lang, topic) and value, a value without one gets none; a marginal without them gets
     its tokens to `power`, but at most FULL of a value's tokens. topic: the column that is the third marginal, else the form
     of the text. A null source, language or topic is a value of its own. A null or empty text has one token and is prose.
-    Equal doc_ids are kept or dropped together within a cell; a null doc_id is sampled as -1. An empty table gives an empty
-    result. Other columns pass through, whatever their names; earlier columns of the four names are replaced.
+    Equal doc_ids are kept or dropped together within a cell, as are equal texts without one. An empty table gives an empty
+    result. Other columns pass through, whatever their names; earlier columns of the four names and mix_key are dropped.
     """
     return mixture(docs, weights, power, share, topic)[0]
 

@@ -587,6 +587,13 @@ def test_kept_tokens_have_the_marginals(spark, sf):
     assert drawn == pytest.approx(SHARE, abs=0.05)
 
 
+def test_rows_without_an_id_are_drawn_by_their_text(spark):
+    df = spark.createDataFrame([(None, f"text {i % 200}", "en", "s") for i in range(400)], "doc_id long, text string, lang string, source string")
+    rows = mixed(df).collect()
+    kept = {(r.text, r.mix_kept) for r in rows}
+    assert len(rows) == 400 and len(kept) == 200 and 120 < sum(k for _, k in kept) < 190 and "mix_key" not in rows[0].asDict()
+
+
 def test_goals_that_cannot_hold_lower_the_share(spark):
     df = spark.createDataFrame([(i, "w " * 10, "en" if i % 10 else "de", "s") for i in range(2000)], "doc_id long, text string, lang string, source string")
     rows, plan = mixture(df, {"lang": {"en": 1.0, "de": 1.0}})
