@@ -46,7 +46,7 @@ def protect(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample with raked source, language and topic marginals. A null source or language is one of its own; rows of one id
-    and cell are kept or dropped together, as are rows without an id; a null text has one token."""
+    and cell are kept or dropped together, as are equal texts without one; a null text has one token."""
     return mixed(docs.select(*COLUMNS)).where("mix_kept").select(*COLUMNS)
 
 
