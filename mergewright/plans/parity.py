@@ -269,10 +269,13 @@ def lowest_auto_matches(r):
     return scoring.lowest_auto(r.decisions).select("pair_id", "score", "decision_path")
 
 
-@resolved(None)
+@resolved("SELECT decision, least(count(*), 5) AS pairs, true AS known FROM decision GROUP BY 1")
 def sampled_decisions(r):
-    """Five pairs of each decision, by a fixed seed."""
-    return scoring.sample(r.decisions, "AUTO_MATCH", 5, 1).union(scoring.sample(r.decisions, "REVIEW", 5, 1)).union(scoring.sample(r.decisions, "NO_MATCH", 5, 1))
+    """Random samples of each decision: how many, and that they are pairs with that decision."""
+    some = scoring.sample(r.decisions, "AUTO_MATCH", 5, 1).union(scoring.sample(r.decisions, "REVIEW", 5, 1)).union(scoring.sample(r.decisions, "NO_MATCH", 5, 1))
+    true = r.decisions.select("pair_id", "decision", F.lit(True).alias("true"))
+    found = some.select("pair_id", "decision").distinct().join(true, ["pair_id", "decision"], "left")
+    return found.groupBy("decision").agg(F.count("*").alias("pairs"), F.bool_and(F.coalesce("true", F.lit(False))).alias("known"))
 
 
 @resolved("SELECT pair_id, a AS from_key, b AS to_key, score::DOUBLE AS score, decision_path FROM edge")

@@ -92,3 +92,20 @@ def test_best_of_names(spark):
     got = [r.s for r in spark.createDataFrame(rows, "l array<string>, r array<string>").select(best_of_names(F.col("l"), F.col("r")).alias("s")).collect()]
     both = min(plain_jaro_winkler("MARTHA", "MARHTA"), plain_jaro_winkler("AHTRAM", "ATHRAM"))
     assert float(got[0]) == round(100 * both, 2) and got[1] is None and got[2] is None and float(got[3]) == 100
+
+
+def test_fixed_values():
+    """Literal numbers and lists, for the twins take them from the same place as the code."""
+    from dataclasses import asdict
+
+    from mergewright.plans.params import Params
+
+    assert asdict(Params()) == {
+        "max_block": 200, "max_pairs": 2_000_000, "weight_name": 40, "weight_address": 15, "weight_postcode": 10, "weight_city": 5, "weight_phone": 15, "weight_email": 15, "weight_website": 10,
+        "alt_name_cap": 90, "low_jaccard": 0.5, "low_jaccard_cap": 70, "rare_max": 3, "shared_max": 10, "shared_factor": 0.5, "id_shared_max": 3, "auto_score": 85, "auto_name": 85, "auto_jaccard": 0.75,
+        "second_address": 85, "review_score": 75, "id_conflict_cap": 40, "id_conflict_review_name": 95, "shared_contact_name": 90, "max_rounds": 30, "large_cluster": 10, "true_id_max": 3,
+        "thresholds": (50, 55, 60, 65, 70, 75, 80, 85, 90, 95), "expected_raw_charities": None, "expected_raw_companies": None, "expected_charities": None, "expected_companies": None,
+    }
+    assert dict(X.LEGAL_FORMS) == {"LIMITED": "LTD", "INCORPORATED": "INC", "COMPANY": "CO"}
+    assert dict(X.STREET_TYPES) == {"STREET": "ST", "ROAD": "RD", "AVENUE": "AVE", "DRIVE": "DR", "PLACE": "PL", "CRESCENT": "CRES", "TERRACE": "TCE"}
+    assert len(X.TRAILING) == 8 and len(X.LEADING) == 4 and len(X.GENERIC_EMAIL_DOMAINS) == 10 and len(X.GENERIC_HOSTS) == 7
