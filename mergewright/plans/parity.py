@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +10,7 @@ from pyspark.sql.window import Window
 from ..functions import text as X
 from ..functions.fuzzy import jaccard, jaro_winkler, word_set
 from ..operators import blocking, clusters, evaluation, explorer, features, masters, profile, scoring, standardise
-from ..scratch import root
+from ..scratch import fresh_path
 from ..sources import registers
 from . import oracle as O
 from . import schemas
@@ -99,7 +97,7 @@ def lists(columns: str) -> str:
 
 def exported(df: DataFrame) -> str:
     """The path of a CSV export of df in the scratch folder."""
-    path = f"{root(df.sparkSession)}/mergewright/export-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, "export")
     registers.convert(df.sparkSession, df, path)
     return path
 
@@ -148,14 +146,14 @@ def csv_load_check(spark, sf_dir):
   UNION ALL SELECT 'features', (SELECT count(*) FROM match_feature), 'SUCCESS' UNION ALL SELECT 'decide', (SELECT count(*) FROM decision), 'SUCCESS' UNION ALL SELECT 'masters', (SELECT count(*) FROM xref), 'SUCCESS' UNION ALL SELECT 'evaluate', (SELECT count(*) FROM truth), 'SUCCESS'"""))
 def run_log(spark, sf_dir):
     """The log of a batch run over both registers, but for the profile."""
-    out = f"{root(spark)}/mergewright/run-{uuid.uuid4().hex}"
+    out = fresh_path(spark, "run")
     return run(resolution(spark, sf_dir), out).where("step <> 'profile'").select("step", "rows_out", "status")
 
 
 @query("SELECT 'evaluation_result' AS tbl, 2 AS runs, true AS explained UNION ALL SELECT 'dq_profile', 2, true UNION ALL SELECT 'pipeline_run', 2, true")
 def run_history(spark, sf_dir):
     """Two runs into one folder: the tables that keep their history have both."""
-    out = f"{root(spark)}/mergewright/run-{uuid.uuid4().hex}"
+    out = fresh_path(spark, "run")
     r = resolution(spark, sf_dir)
     run(r, out)
     run(r, out)
@@ -167,7 +165,7 @@ def run_history(spark, sf_dir):
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {len(schemas.names(t))})" for t, d in schemas.TABLES.items()) + ") AS t(tbl, columns)")
 def declared_tables(spark, sf_dir):
     """Contract tables that aren't there yet, made empty, with their columns."""
-    out = f"{root(spark)}/mergewright/declared-{uuid.uuid4().hex}"
+    out = fresh_path(spark, "declared")
     schemas.create_missing(spark, out)
     return spark.createDataFrame([(t, len(spark.read.parquet(f"{out}/{t}").columns)) for t in schemas.TABLES], "tbl string, columns int")
 

@@ -109,3 +109,16 @@ def test_fixed_values():
     assert dict(X.LEGAL_FORMS) == {"LIMITED": "LTD", "INCORPORATED": "INC", "COMPANY": "CO"}
     assert dict(X.STREET_TYPES) == {"STREET": "ST", "ROAD": "RD", "AVENUE": "AVE", "DRIVE": "DR", "PLACE": "PL", "CRESCENT": "CRES", "TERRACE": "TCE"}
     assert len(X.TRAILING) == 8 and len(X.LEADING) == 4 and len(X.GENERIC_EMAIL_DOMAINS) == 10 and len(X.GENERIC_HOSTS) == 7
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from mergewright import scratch
+
+    kept, gone = scratch.staged(spark.range(3), "a"), scratch.staged(spark.range(3), "b")
+    scratch.drop(gone)
+    path = lambda df: df.staged_path.removeprefix("file:")
+    assert kept.count() == 3 and not os.path.exists(path(gone)) and os.path.exists(path(kept))
+    scratch._drop_the_rest()
+    assert not os.path.exists(path(kept))
