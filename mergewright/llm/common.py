@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..shipping import by_value
 
 by_value(__name__)
@@ -25,34 +23,14 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 CHUNK_BYTES = 1 << 20
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where it is unset and all runs in one process (tests), a local one is made."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="mergewright-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
-
-
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write df to a fresh table in the shared folder and read it back: lineage ends there, and its size is known."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/mergewright/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stash_path = path
-    return out
+    return scratch.staged(df, name)
 
 
 def unstash(*dfs: DataFrame) -> None:
     """Remove tables that stash() wrote and nothing reads any more."""
-    for df in dfs:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.stash_path)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    scratch.drop(*dfs)
 
 
 def release(spark: SparkSession) -> None:
