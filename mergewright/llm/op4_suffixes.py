@@ -534,3 +534,19 @@ def without_repeats(docs: DataFrame, common: int = COMMON) -> DataFrame:
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return removed_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Every window of every text as hexadecimal digits.
+ORACLE = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+w AS (SELECT r, p, md5(substr(h, 2 * p + 1, {2 * WINDOW})) AS m FROM (SELECT r, h, unnest(range(0, greatest(len(h) // 2 - {WINDOW - 1}, 0))) AS p FROM d)),
+k AS MATERIALIZED (SELECT * FROM w), g AS (SELECT m FROM k GROUP BY m HAVING count(*) > 1),
+c AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM k JOIN g USING (m)),
+i AS (SELECT r, p, sum(CASE WHEN p <= before + {WINDOW} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS s FROM c),
+s AS (SELECT r, s, min(p) AS a, max(p) + {WINDOW} AS b FROM i GROUP BY r, s),
+l AS (SELECT r, s, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY s), 0) AS past FROM s),
+t AS (SELECT r, sum(b - a) AS removed, count(*) AS spans, string_agg(substr(h, 2 * past + 1, 2 * (a - past)), '' ORDER BY s) AS kept, max(b) AS last FROM l JOIN d USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN t.r IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (r)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_graph, op7_parity, op9_licences, op10_lines
+from . import op1_graph, op4_suffixes, op7_parity, op9_licences, op10_lines
 from .op1_graph import op1_robust_graph
 from .op2_sharding import op2_vector_bin_packing
 from .op3_pii import op3_feistel_pseudonyms
@@ -32,6 +32,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_robust_graph": op1_graph.ORACLE,
+    "op4_suffix_dedup": op4_suffixes.ORACLE,
     "op7_parity_sketch_join": op7_parity.ORACLE,
     "op9_licence_dice": op9_licences.ORACLE,
     "op10_line_frequency": op10_lines.ORACLE,

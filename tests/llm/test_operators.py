@@ -830,7 +830,7 @@ def test_common_lines_go_and_depleted_documents_too(spark):
     assert all(got[100 + i].kept and got[100 + i].n_lost_words == 0 for i in range(30)) and texts[43] == ""
 
 
-@pytest.mark.parametrize("name", ["op1_robust_graph", "op7_parity_sketch_join", "op9_licence_dice", "op10_line_frequency"])
+@pytest.mark.parametrize("name", ["op1_robust_graph", "op4_suffix_dedup", "op7_parity_sketch_join", "op9_licence_dice", "op10_line_frequency"])
 def test_twins(spark, name):
     import duckdb
 
