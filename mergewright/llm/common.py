@@ -75,6 +75,34 @@ def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# ---------------------------------------------------------------- records by destination
+
+
+def destinations(df: DataFrame) -> int:
+    """Sixteen for each partition of the shuffle: a Python worker holds the records of one at a time."""
+    return 16 * n_shuffle(df.sparkSession)
+
+
+def one_by_one(batches, *columns: str) -> Iterator[tuple]:
+    """(destination, values of each column) for each destination in turn; rows come sorted by it."""
+    now, held = None, [[] for _ in columns]
+    for batch in batches:
+        for dest, *values in zip(batch.column("dest").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
+            if dest != now and held[0]:
+                yield now, *held
+                held = [[] for _ in columns]
+            now = dest
+            for h, v in zip(held, values, strict=True):
+                h.append(v)
+    if held[0]:
+        yield now, *held
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df by destination, sorted, so that workers take one after the other; Spark's sort can spill."""
+    return df.repartition(n_shuffle(df.sparkSession), "dest").sortWithinPartitions("dest")
+
+
 # ---------------------------------------------------------------- words and hashes in numpy
 
 _RNG = np.random.default_rng(20240229)

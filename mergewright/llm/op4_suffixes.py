@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import CHUNK_BYTES, mix, n_shuffle, powers, release, small_batches, stash, text_chunks, tidy, unstash
+from .common import CHUNK_BYTES, dealt, destinations, mix, one_by_one, powers, release, small_batches, stash, text_chunks, tidy, unstash
 
 by_value(__name__)
 
@@ -134,11 +133,6 @@ def merge_spans(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def destinations(df: DataFrame) -> int:
-    """Sixteen for each partition of the shuffle: a Python worker holds the records of one at a time."""
-    return 16 * n_shuffle(df.sparkSession)
-
-
 def by_destination(r: np.ndarray, dests: int) -> tuple[pa.Array, pa.Array]:
     """Destinations of the grams, and their records."""
     dest = ((r["gram"] >> np.uint64(35)) % np.uint64(dests)).astype(np.int64)
@@ -148,26 +142,6 @@ def by_destination(r: np.ndarray, dests: int) -> tuple[pa.Array, pa.Array]:
     return pa.array(dest[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in np.split(r, cuts)], pa.binary())
 
 
-def one_by_one(batches, *columns: str) -> Iterator[list[list]]:
-    """The values of binary columns for each destination in turn; rows come sorted by it."""
-    now, held = None, [[] for _ in columns]
-    for batch in batches:
-        for dest, *values in zip(batch.column("dest").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
-            if dest != now and held[0]:
-                yield held
-                held = [[] for _ in columns]
-            now = dest
-            for h, v in zip(held, values, strict=True):
-                h.append(v)
-    if held[0]:
-        yield held
-
-
-def dealt(df: DataFrame) -> DataFrame:
-    """df by destination, sorted, so that workers take one after the other; Spark's sort can spill."""
-    return df.repartition(n_shuffle(df.sparkSession), "dest").sortWithinPartitions("dest")
-
-
 def found_stretches(docs: DataFrame) -> DataFrame:
     """(dest, records) for the shuffle by gram, (text, spans) covered within a task, and (gram, n) of grams with many different stretches."""
     dests = destinations(docs)
@@ -299,7 +273,7 @@ def met_stretches(records: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([int(x["text"][0]) for x in parts], pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
     def run(batches):
-        for (blobs,) in one_by_one(batches, "records"):
+        for _, blobs in one_by_one(batches, "records"):
             yield from meet(blobs)
 
     return dealt(records).mapInArrow(tidy(run), "text long, spans binary, records binary")
@@ -444,7 +418,7 @@ def sorted_spans(read: DataFrame, budget: int = 100_000) -> DataFrame:
             at = to
 
     def run(batches):
-        for heads, bodies in one_by_one(batches, "heads", "bodies"):
+        for _, heads, bodies in one_by_one(batches, "heads", "bodies"):
             yield from sort(heads, bodies)
 
     return dealt(read).mapInArrow(tidy(run), "text long, spans binary")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import by_value
-from .common import components, few, mix, n_shuffle, release, small_batches, stash, text_chunks, tidy, unstash, word_hashes
+from .common import components, dealt, destinations, few, mix, n_shuffle, one_by_one, release, small_batches, stash, text_chunks, tidy, unstash, word_hashes
 
 by_value(__name__)
 
@@ -250,7 +250,7 @@ def signatures(g: np.ndarray, own: np.ndarray, n: np.ndarray, classes: np.ndarra
 def shown(docs: DataFrame, classes: np.ndarray, given_up: np.ndarray, percent: int) -> DataFrame:
     """(dest, records): packed (signature, set) records for each destination; a set once for each task."""
     spark = docs.sparkSession
-    dests = 4 * n_shuffle(spark)
+    dests = destinations(docs)
     classes = spark.sparkContext.broadcast(classes)  # COUNTERS bytes
 
     def packed(records: list[np.ndarray]) -> pa.RecordBatch:
@@ -296,17 +296,9 @@ def shown(docs: DataFrame, classes: np.ndarray, given_up: np.ndarray, percent: i
 def met(records: DataFrame) -> DataFrame:
     """Groups of sets with a common signature: pairs (a, b) of its first set and each other one, and for groups of over two rows (sig, b) of all members."""
 
-    def run(batches):
-        blobs = []
-        for batch in batches:
-            for dest, raw in zip(batch.column("dest").to_pylist(), batch.column("records").to_pylist(), strict=True):
-                r = read_records(raw)
-                r["sig"] |= np.uint64(dest << 40)
-                blobs.append(r)
-        if not blobs:
-            return
-        r = np.concatenate(blobs)
-        del blobs
+    def meet(dest: int, blobs: list[bytes]):
+        r = np.concatenate([read_records(raw) for raw in blobs])
+        r["sig"] |= np.uint64(dest << 40)
         r = r[np.lexsort((r["node"], r["sig"]))]
         sig, node = r["sig"], r["node"]
         new = np.ones(len(r), bool)
@@ -331,7 +323,11 @@ def met(records: DataFrame) -> DataFrame:
             x = m[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), pa.array(x.view(np.int64)), pa.array(s[at : at + 100_000].view(np.int64))], ["a", "b", "sig"])
 
-    return records.repartition(n_shuffle(records.sparkSession), "dest").mapInArrow(tidy(run), "a long, b long, sig long")
+    def run(batches):
+        for dest, blobs in one_by_one(batches, "records"):
+            yield from meet(dest, blobs)
+
+    return dealt(records).mapInArrow(tidy(run), "a long, b long, sig long")
 
 
 def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
