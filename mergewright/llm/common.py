@@ -40,10 +40,12 @@ def release(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few documents and bytes, for some documents are long."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 500:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """Batches of few documents and bytes, to Python and from Parquet, for some documents are long: a batch of 4096 rows, Spark's
+    default, is one array of over 16 MB for texts of 4 KB."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 500), ("spark.sql.parquet.columnarReaderBatchSize", 512)):
+        if int(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def let(value: Column, f) -> Column:
