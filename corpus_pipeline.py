@@ -32,8 +32,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = stash(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
     found = near_components(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
     found = found.join(rows.select("row", "doc_id"), "row")
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept"))
-    extra = stash(found.join(first, "component_id").where("row <> kept.row").select("row"), "copies")
+    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept")).select("kept.row")
+    # By row, so that a large group is no single task.
+    extra = stash(found.select("row").join(kept, "row", "left_anti"), "copies")
     return rows.join(extra, "row", "left_anti").select(*COLUMNS)
 
 
