@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: On a shared local folder Hadoop writes a checksum file beside each file, and starts a process for each of the two to set its
+#: permissions; scratch tables do without. Other file systems don't look at this.
+UNCHECKED = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _LEFT: dict[str, SparkSession] = {}
 
 
@@ -38,7 +41,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written to a fresh table and read back."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**UNCHECKED).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
