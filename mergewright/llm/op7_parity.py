@@ -436,14 +436,15 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         rows = stash(rows.select("doc_id", "node", "other", "n", "sketch").mapInArrow(tidy(rename), "doc_id long, node long, other long, n long, sketch binary"), "renamed")
     counts = rarity(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
-    classes = stash(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    most = rows.count()
+    classes = stash(few(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), most, 20_000), "classes")
     named = docs.where("doc_id IS NOT NULL")
     groups = stash(met(shown(named, counts, given_up, percent)), "groups")
     release(spark)
     pairs = stash(near(groups.where("sig IS NULL").select("a", "b").distinct(), classes, percent), "pairs")
     first = stash(few(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), pairs.count()), "nearest")
     links = verified(named, first, classes, given_up, percent)
-    label = stash(components(links, "a", "b"), "labels")
+    label = stash(few(components(links, "a", "b"), most), "labels")
     rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
     large = groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node"))
     tags = large.join(label, "node", "left").select("sig", F.coalesce("component", "node").alias("label")).distinct()
