@@ -12,7 +12,7 @@ of fixed size over all documents. A set also joins the next lower band if a part
 Pairs whose folded sketches (two to four bits for each shingle) differ in more than d bits are dropped; the others are
 verified exactly, as far as they can still join components: first each set with its nearest partner, then the pairs
 that are still in different components. A group with a common segment gives pairs with one of its sets at first, and
-the pairs of components that it still spans then, so no link that joins components is lost.
+the pairs of its sets that are in different components then, so no link that joins components is lost.
 
 Sets are named by a sum of their mixed hashes (64 bits); a second such sum tells sets of one name apart, and a name that
 two sets share is given up for both. Documents with equal sets are one set throughout.
@@ -446,18 +446,14 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = verified(named, first, classes, given_up, percent)
     label = stash(few(components(links, "a", "b"), most), "labels")
     rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
-    large = groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node"))
-    tags = large.join(label, "node", "left").select("sig", F.coalesce("component", "node").alias("label")).distinct()
-    tags = stash(tags.join(tags.groupBy("sig").count().where("count > 1").select("sig"), "sig"), "tags")
-    if not tags.isEmpty():
-        # The members of two components that a group spans; those of a component of one set are that set.
-        whole = label.select("node", F.col("component").alias("label")).union(tags.select(F.col("label").alias("node"), "label")).distinct()
-        rest.append(spanned(tags, whole, classes, percent))
+    tags, spans = spanning(groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node")), label)
+    if not spans.isEmpty():
+        rest.append(spanned(tags, spans, classes, percent))
     more = stash(rest[0] if len(rest) == 1 else rest[0].union(rest[1]).distinct(), "pairs")
     release(spark)
     if not more.isEmpty():
         links = links.union(verified(named, more, classes, given_up, percent))
-    unstash(groups)
+    unstash(groups, tags)
     reps = classes.select("node", "rep")
     by_id = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("u")), "a").join(reps.select(F.col("node").alias("b"), F.col("rep").alias("v")), "b")
     found = components(by_id, "u", "v")
@@ -467,26 +463,63 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def spanned(tags: DataFrame, whole: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def spanning(large: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, node, label, sets) of the members, and (sig, sets, least) of the groups, of groups (sig, node) that span components.
+
+    Groups of the same sets, which have the same pairs, count as one; two 64-bit hashes tell them from others."""
+    tags = large.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("label"))
+    same = ("sets", "least", "most", "h", "i")
+    spans = tags.groupBy("sig").agg(
+        F.count("*").alias("sets"), F.min("label").alias("least"), F.max("label").alias("most"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("i")
+    )
+    spans = stash(spans.where("least <> most").groupBy(*same).agg(F.min("sig").alias("sig")).select("sig", "sets", "least"), "spans")
+    return stash(tags.join(spans.select("sig", "sets"), "sig"), "tags"), spans
+
+
+def units(tags: DataFrame, spans: DataFrame) -> DataFrame:
+    """(kind, unit, node, label, blocks): the sets that are compared with each other, and the number of their blocks.
+
+    A group of up to BLOCK sets is a unit, whatever else its sets are in, so that units don't grow where groups overlap. Larger
+    groups that overlap (share components) are compared one by one or as a whole, whichever deals out fewer sets."""
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    out = tags.where(F.col("sets") <= BLOCK).select(F.lit(0).alias("kind"), F.col("sig").alias("unit"), "node", "label", F.lit(1).alias("blocks"))
+    many = spans.where(F.col("sets") > BLOCK)
+    if many.isEmpty():
+        return out
+    large = tags.where(F.col("sets") > BLOCK)
+    found = components(large.join(many.select("sig", "least"), "sig").select("label", "least"), "label", "least")
+    by_sig = many.join(found.select(F.col("node").alias("least"), F.col("component").alias("span")), "least").select("sig", "span", "sets")
+    members = large.join(by_sig.select("sig", "span"), "sig").select("span", "node", "label").distinct()
+    apart = by_sig.groupBy("span").agg(F.sum(F.col("sets") * blocks("sets")).alias("apart"))
+    whole = members.groupBy("span").agg(F.count("*").alias("n")).join(apart, "span").where(F.col("n") * blocks("n") <= F.col("apart")).select("span", "n")
+    whole = stash(whole, "spans")
+    alone = by_sig.join(whole, "span", "left_anti").select("sig")
+    out = out.union(large.join(alone, "sig").select(F.lit(0), "sig", "node", "label", blocks("sets")))
+    return out.union(members.join(whole, "span").select(F.lit(1), "span", "node", "label", blocks("n")))
+
+
+def spanned(tags: DataFrame, spans: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b) of sets of different components that a common group spans and whose sketches allow them to be similar.
 
-    Components that groups connect form a span. Its sets are dealt to blocks, and each pair of blocks is compared in one
-    task, sketch by sketch; only pairs that may be similar leave it.
+    The sets of a unit are dealt to blocks, and each pair of blocks is compared in one task, sketch by sketch; only pairs that
+    may be similar leave it.
     """
-    spark = tags.sparkSession
-    least = tags.groupBy("sig").agg(F.min("label").alias("least"))
-    span = components(tags.join(least, "sig").select("label", "least"), "label", "least")
-    member = whole.join(span.select(F.col("node").alias("label"), F.col("component").alias("span")), "label")
-    sizes = member.groupBy("span").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    member = member.join(sizes, "span").join(classes.select("node", "n", "sketch"), "node")
+    member = units(tags, spans).join(classes.select("node", "n", "sketch"), "node")
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
-    dealt = member.select("span", "label", "node", "n", "sketch", own.alias("own"), F.explode(others).alias("pair"))
-    dealt = dealt.repartition(n_shuffle(spark), "span", "pair").sortWithinPartitions("span", "pair")
+    key_columns = ("kind", "unit", "pair")
+    dealt = member.select("kind", "unit", "label", "node", "n", "sketch", own.alias("own"), F.explode(others).alias("pair"))
+    dealt = dealt.repartition(n_shuffle(tags.sparkSession), *key_columns).sortWithinPartitions(*key_columns)
 
     def compare(rows: list[tuple]):
         """Pairs of the rows (label, node, n, sketch, own) of one pair of blocks."""
         rows.sort(key=lambda r: r[2])
+        if len(rows) <= 4:
+            for k, (p, u, n, x, i) in enumerate(rows):
+                for q, v, m, y, j in rows[k + 1 :]:
+                    if p != q and percent * m <= 100 * n and sketch_distance(x, y) * (100 + percent) <= (100 - percent) * (n + m):
+                        yield u, v
+            return
         label, node, n, own = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 4))
         length = np.array([len(r[3]) for r in rows])
         both = own.max() != own.min()
@@ -514,12 +547,12 @@ def spanned(tags: DataFrame, whole: DataFrame, classes: DataFrame, percent: int)
         def groups():
             key, rows = None, []
             for batch in batches:
-                for r in zip(*(batch.column(c).to_pylist() for c in ("span", "pair", "label", "node", "n", "sketch", "own")), strict=True):
-                    if r[:2] != key:
+                for r in zip(*(batch.column(c).to_pylist() for c in (*key_columns, "label", "node", "n", "sketch", "own")), strict=True):
+                    if r[:3] != key:
                         if len(rows) > 1:
                             yield rows
-                        key, rows = r[:2], []
-                    rows.append(r[2:])
+                        key, rows = r[:3], []
+                    rows.append(r[3:])
             if len(rows) > 1:
                 yield rows
 

@@ -688,6 +688,43 @@ def test_near_copies_that_share_much_but_not_enough(spark):
     assert got == brute.near_components(texts)
 
 
+def chained(k: int) -> dict:
+    """Texts of three passages, each of which is in three texts: groups that overlap in one long chain, with links to the copies only."""
+    words = lambda i: " ".join(f"w{(i * 7919 + j * j * 31 + j) % 99991}" for j in range(60))
+    text = lambda i: f"{words(i)} {words(i + 1)} {words(i + 2)}"
+    return {i: text(i) for i in range(k)} | {k + i: f"{text(i)} more" for i in range(0, k, 10)}
+
+
+def test_groups_that_overlap_in_a_chain_are_dealt_out_one_by_one(spark, monkeypatch):
+    from mergewright.llm import op7_parity as op7
+
+    texts, seen, plain = chained(150), [], type(spark.range(1)).mapInArrow
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def counted(self, f, schema, *more):
+        if "pair" in self.columns:
+            seen.append(self.count())
+        return plain(self, f, schema, *more)
+
+    monkeypatch.setattr(op7, "BLOCK", 8)
+    monkeypatch.setattr(type(df), "mapInArrow", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(df).collect()}
+    assert got == brute.near_components(texts)
+    # As a whole the chain would be 165 sets in 21 blocks, dealt out 21 times.
+    assert seen and sum(seen) < 165 * 8
+
+
+@pytest.mark.parametrize("block", [2, 3, 768])
+def test_groups_of_more_sets_than_a_block(spark, monkeypatch, block):
+    from mergewright.llm import op7_parity as op7
+
+    head = " ".join(f"h{j}" for j in range(70))
+    texts = {i: head + " " + " ".join(f"t{i % 6}x{j}" for j in range(24 + i % 3)) + " end" * (i % 2) for i in range(40)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(op7, "BLOCK", block)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(df).collect()} == brute.near_components(texts)
+
+
 def test_sketch_distance_bounds_the_difference():
     rng = np.random.default_rng(4)
     for n, m, both in ((300, 500, 200), (10, 1000, 10), (64, 64, 63)):
