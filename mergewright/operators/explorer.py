@@ -43,10 +43,11 @@ def pair_evidence(pairs: DataFrame, decisions: DataFrame, ledger: DataFrame, rec
 
 
 def pair_summary(evidence: DataFrame, strong: float = 80) -> DataFrame:
-    """For each pair the strong evidence, the sum of contributions, and what the identifiers say."""
+    """For each pair the strong evidence (null if there is none), the sum of contributions, and what the identifiers say."""
     number = F.max(F.when(F.col("feature") == "NZBN_EQ", F.col("similarity")))
+    features = F.collect_list(F.when(F.col("in_score") & (F.col("similarity") >= strong), F.col("feature")))
     return evidence.groupBy("pair_id", "left_key", "right_key", "decision").agg(
-        F.array_sort(F.collect_list(F.when(F.col("in_score") & (F.col("similarity") >= strong), F.col("feature")))).alias("strong_evidence"),
+        F.when(F.size(features) > 0, F.array_sort(features)).alias("strong_evidence"),
         F.sum("contribution").alias("evidence_score"),
         F.when(number == 100, "same").when(number == 0, "different").otherwise("unknown").alias("identifier"),
     )

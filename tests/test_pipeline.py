@@ -243,6 +243,13 @@ def test_parameterised_queries(spark, r):
     assert explorer.query(spark, "SELECT master_id FROM masters_view WHERE member_count >= ?", [1]).count() == r.masters.count()
 
 
+def test_pairs_without_strong_evidence_have_none(spark):
+    rows = [("p", "a", "b", "REVIEW", "NAME_BEST_JW", 70.0, True, 60.0), ("p", "a", "b", "REVIEW", "NZBN_EQ", 100.0, False, None), ("q", "a", "c", "REVIEW", "NAME_BEST_JW", 80.0, True, 80.0)]
+    evidence = spark.createDataFrame(rows, "pair_id string, left_key string, right_key string, decision string, feature string, similarity double, in_score boolean, contribution double")
+    got = {x.pair_id: (x.strong_evidence, x.identifier) for x in explorer.pair_summary(evidence).collect()}
+    assert got == {"p": (None, "same"), "q": (["NAME_BEST_JW"], "unknown")}
+
+
 def test_every_stage_has_tests_and_nothing_private_is_tracked():
     import re
     import subprocess
