@@ -7,11 +7,11 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mergewright.llm.common import stash
+from mergewright.llm.common import release, stash
 from mergewright.llm.op3_pii import pseudonymise, session_key
 from mergewright.llm.op5_packing import pack
 from mergewright.llm.op6_mixing import mixed
-from mergewright.llm.op7_parity import near_components
+from mergewright.llm.op7_parity import BROADCAST_ROWS, near_components
 from mergewright.llm.op8_quality import good_rows
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,14 +28,21 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest doc_id, null last, and of its first row.
 
     Rows, not ids, are compared: copies count as such whether ids are null, repeated or different. Texts without words
-    are no copies of each other and stay."""
-    rows = stash(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    are no copies of each other and stay. Where ids tell the rows apart, docs is read again and again and not written anew."""
+    docs = docs.select(*COLUMNS)
+    odd = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        rows = docs.withColumn("row", F.col("doc_id").cast("long"))
+    else:
+        rows = stash(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
     found = near_components(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
     found = found.join(rows.select("row", "doc_id"), "row")
     kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("kept")).select("kept.row")
     # By row, so that a large group is no single task.
     extra = stash(found.select("row").join(kept, "row", "left_anti"), "copies")
-    return rows.join(extra, "row", "left_anti").select(*COLUMNS)
+    release(spark)
+    # So that texts need no shuffle, up to the bound that holds for the join's own tables.
+    return rows.join(F.broadcast(extra) if extra.count() <= BROADCAST_ROWS else extra, "row", "left_anti").select(*COLUMNS)
 
 
 def protect(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

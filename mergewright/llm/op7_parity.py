@@ -21,6 +21,7 @@ two sets share is given up for both. Documents with equal sets are one set throu
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ COUNTERS, SLICES = 1 << 25, 64
 BLOCK = 768
 #: Up to so many rows of two numbers (8 MB) go to every executor, so that texts need no shuffle; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
+#: Rows with sketches, and pairs with whole sets, that a pass shuffles at least.
+PASS_ROWS, PASS_PAIRS = 1_000_000, 100_000
 _MIX = mix(np.arange(1, 17, dtype=np.uint64))
 _RECORD = np.dtype([("sig", "<u8"), ("node", "<u8")])
 #: Of a signature 40 bits travel; the others have chosen the destination.
@@ -330,6 +333,28 @@ def met(records: DataFrame) -> DataFrame:
     return dealt(records).mapInArrow(tidy(run), "a long, b long, sig long")
 
 
+def n_passes(rows: int, most: int) -> int:
+    """Passes of about `most` rows each. Rows that carry sketches or sets are shuffled pass by pass, so that disk follows the
+    number of sets where chance meetings grow faster than that."""
+    return max(1, -(-rows // most))
+
+
+def turn(df: DataFrame, k: int, i: int, *columns: str) -> DataFrame:
+    """The rows of df for pass i of k."""
+    return df if k == 1 else df.where(F.pmod(F.xxhash64(*columns, F.lit(7)), F.lit(k)) == i)
+
+
+def in_turns(k: int, make, name: str, spark) -> DataFrame:
+    """make(0) to make(k - 1) as one table each; the shuffle files of a pass go before the next."""
+    parts = []
+    for i in range(k):
+        parts.append(stash(make(i), name))
+        release(spark)
+    out = reduce(DataFrame.union, parts)
+    out.parts = parts
+    return out
+
+
 def near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b, far) of the pairs (a, b) that their sizes and sketches allow to be similar; far: sketch distance to total size."""
 
@@ -404,9 +429,10 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, given_up: np
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stash(sets_of(docs, nodes, classes, given_up), "members")
     release(docs.sparkSession)
-    links = stash(few(linked(pairs, sets, percent), pairs.count()), "links")
+    rows = pairs.count()
+    k = n_passes(rows, max(PASS_PAIRS, classes.count() // 4))
+    links = in_turns(k, lambda i: few(linked(turn(pairs, k, i, "a", "b"), sets, percent), -(-rows // k)), "links", docs.sparkSession)
     unstash(sets)
-    release(docs.sparkSession)
     return links
 
 
@@ -421,7 +447,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     all_rows = stash(described(docs), "sets")
-    rows = all_rows.where("part IS NULL")
+    rows, done = all_rows.where("part IS NULL"), [all_rows]
     # About one name for 10**10 sets.
     twice = rows.where("n > 0").select("node", "other").distinct().groupBy("node").count().where("count > 1").select("node").collect()
     given_up = np.sort(np.array([r.node for r in twice], np.int64).view(np.uint64))
@@ -434,26 +460,36 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 yield batch.set_column(1, "node", pa.array(named.view(np.int64)))
 
         rows = stash(rows.select("doc_id", "node", "other", "n", "sketch").mapInArrow(tidy(rename), "doc_id long, node long, other long, n long, sketch binary"), "renamed")
+        done.append(rows)
     counts = rarity(all_rows.where("part IS NOT NULL").select("part", "slice", "counts"))
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node")
     most = rows.count()
     classes = stash(few(classes.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), most, 20_000), "classes")
+    # Without sketches and counts, which are most of the table.
+    rows = stash(few(rows.select("doc_id", "node", "n"), most), "rows_of_sets")
+    unstash(*done)
+    release(spark)
     named = docs.where("doc_id IS NOT NULL")
     groups = stash(met(shown(named, counts, given_up, percent)), "groups")
     release(spark)
-    pairs = stash(near(groups.where("sig IS NULL").select("a", "b").distinct(), classes, percent), "pairs")
+    star, each = groups.where("sig IS NULL").select("a", "b"), max(PASS_ROWS, 2 * classes.count())
+    k = n_passes(star.count(), each)
+    pairs = in_turns(k, lambda i: near(turn(star, k, i, "a", "b").distinct(), classes, percent), "pairs", spark)
     first = stash(few(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b"), pairs.count()), "nearest")
     links = verified(named, first, classes, given_up, percent)
     label = stash(few(components(links, "a", "b"), most), "labels")
     rest = [across(pairs.join(first, ["a", "b"], "left_anti").select("a", "b"), label)]
-    tags, spans = spanning(groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node")), label)
+    tags, spans = spanning(groups.where("sig IS NOT NULL").select("sig", F.col("b").alias("node")), label, each)
+    unstash(groups)
+    done = [*tags.parts, *pairs.parts, first, spans]
     if not spans.isEmpty():
-        rest.append(spanned(tags, spans, classes, percent))
+        rest.append(spanned(tags, spans, classes, percent, each))
+        done += rest[1].parts
     more = stash(rest[0] if len(rest) == 1 else rest[0].union(rest[1]).distinct(), "pairs")
+    unstash(*done)
     release(spark)
     if not more.isEmpty():
         links = links.union(verified(named, more, classes, given_up, percent))
-    unstash(groups, tags)
     reps = classes.select("node", "rep")
     by_id = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("u")), "a").join(reps.select(F.col("node").alias("b"), F.col("rep").alias("v")), "b")
     found = components(by_id, "u", "v")
@@ -463,17 +499,28 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def spanning(large: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sig, node, label, sets) of the members, and (sig, sets, least) of the groups, of groups (sig, node) that span components.
+def spanning(large: DataFrame, label: DataFrame, each: int) -> tuple[DataFrame, DataFrame]:
+    """(sig, node, label, sets) of the members, and (sig, sets, least) of the groups, of groups (sig, node) that span components;
+    each: rows of a pass.
 
     Groups of the same sets, which have the same pairs, count as one; two 64-bit hashes tell them from others."""
-    tags = large.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("label"))
+    spark, k = large.sparkSession, n_passes(large.count(), each)
     same = ("sets", "least", "most", "h", "i")
-    spans = tags.groupBy("sig").agg(
-        F.count("*").alias("sets"), F.min("label").alias("least"), F.max("label").alias("most"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("i")
-    )
-    spans = stash(spans.where("least <> most").groupBy(*same).agg(F.min("sig").alias("sig")).select("sig", "sets", "least"), "spans")
-    return stash(tags.join(spans.select("sig", "sets"), "sig"), "tags"), spans
+
+    def tagged(i: int) -> DataFrame:
+        return turn(large, k, i, "sig").join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("label"))
+
+    def spans_of(i: int) -> DataFrame:
+        out = tagged(i).groupBy("sig").agg(
+            F.count("*").alias("sets"), F.min("label").alias("least"), F.max("label").alias("most"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("i")
+        )
+        return out.where("least <> most").groupBy(*same).agg(F.min("sig").alias("sig"))
+
+    found = in_turns(k, spans_of, "spans", spark)
+    spans = stash(found.groupBy(*same).agg(F.min("sig").alias("sig")).select("sig", "sets", "least"), "spans")
+    unstash(*found.parts)
+    release(spark)
+    return in_turns(k, lambda i: tagged(i).join(turn(spans.select("sig", "sets"), k, i, "sig"), "sig"), "tags", spark), spans
 
 
 def units(tags: DataFrame, spans: DataFrame) -> DataFrame:
@@ -498,18 +545,25 @@ def units(tags: DataFrame, spans: DataFrame) -> DataFrame:
     return out.union(members.join(whole, "span").select(F.lit(1), "span", "node", "label", blocks("n")))
 
 
-def spanned(tags: DataFrame, spans: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of sets of different components that a common group spans and whose sketches allow them to be similar.
+def spanned(tags: DataFrame, spans: DataFrame, classes: DataFrame, percent: int, each: int) -> DataFrame:
+    """(a, b) of sets of different components that a common group spans and whose sketches allow them to be similar, as tables;
+    each: rows of a pass.
 
     The sets of a unit are dealt to blocks, and each pair of blocks is compared in one task, sketch by sketch; only pairs that
-    may be similar leave it.
+    may be similar leave it. A pass takes some of the pairs of blocks; sketches join the rows of its own only.
     """
-    member = units(tags, spans).join(classes.select("node", "n", "sketch"), "node")
+    spark, member = tags.sparkSession, units(tags, spans)
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(own, j) * F.col("blocks") + F.greatest(own, j))
     key_columns = ("kind", "unit", "pair")
-    dealt = member.select("kind", "unit", "label", "node", "n", "sketch", own.alias("own"), F.explode(others).alias("pair"))
-    dealt = dealt.repartition(n_shuffle(tags.sparkSession), *key_columns).sortWithinPartitions(*key_columns)
+    member = member.select("kind", "unit", "label", "node", own.alias("own"), "blocks", others.alias("others"))
+    k = n_passes(member.agg(F.sum("blocks")).first()[0] or 0, each)
+    member = member.select("kind", "unit", "label", "node", "own", F.explode("others").alias("pair"))
+
+    def dealt_for(i: int) -> DataFrame:
+        rows = turn(member, k, i, *key_columns).join(classes.select("node", "n", "sketch"), "node")
+        return rows.repartition(n_shuffle(spark), *key_columns).sortWithinPartitions(*key_columns)
+
 
     def compare(rows: list[tuple]):
         """Pairs of the rows (label, node, n, sketch, own) of one pair of blocks."""
@@ -562,7 +616,7 @@ def spanned(tags: DataFrame, spans: DataFrame, classes: DataFrame, percent: int)
                 part = found[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([y for _, y in part], pa.int64())], ["a", "b"])
 
-    return dealt.mapInArrow(tidy(run), "a long, b long")
+    return in_turns(k, lambda i: dealt_for(i).mapInArrow(tidy(run), "a long, b long"), "found", spark)
 
 
 def across(pairs: DataFrame, label: DataFrame) -> DataFrame:

@@ -81,3 +81,27 @@ def test_the_classifier_judges_rows_not_ids(spark):
     more = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in ((None, good), (new, good), (new, bad), (None, bad))], "doc_id long, text string, lang string, source string, n_chars long")
     kept = c.good_rows(docs.union(more), labels).where(f"doc_id IS NULL OR doc_id = {new}").collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, good), (new, good)]
+
+
+def test_the_join_writes_no_texts_anew(spark, monkeypatch):
+    """With ids that tell rows apart neither its tables nor its last join's shuffles hold texts."""
+    from mergewright import scratch
+
+    docs, written, plain = spark.read.parquet(f"{SF}/documents.parquet"), [], scratch.staged
+
+    def staged(df, name):
+        written.append(df.columns)
+        return plain(df, name)
+
+    monkeypatch.setattr(scratch, "staged", staged)
+    monkeypatch.setattr(c, "stash", staged)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = c.deduplicate(spark, docs, SF)
+        assert out.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert written and not any("text" in columns for columns in written)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -725,6 +725,27 @@ def test_groups_of_more_sets_than_a_block(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(df).collect()} == brute.near_components(texts)
 
 
+def test_rows_with_sketches_and_sets_are_shuffled_in_passes(spark, monkeypatch):
+    """However often sets meet by chance: no pass takes far more rows with sketches than its share."""
+    from mergewright.llm import op7_parity as op7
+
+    head, rng = [f"h{j}" for j in range(60)], random.Random(5)
+    texts = {i: " ".join([*head[rng.randrange(8) :], *(f"t{i % 40}x{j}" for j in range(30 + i % 3))]) for i in range(160)}
+    df, seen, plain = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), [], type(spark.range(1)).mapInArrow
+
+    def counted(self, f, schema, *more):
+        if "pair" in self.columns or "x" in self.columns:
+            seen.append(self.count())
+        return plain(self, f, schema, *more)
+
+    monkeypatch.setattr(op7, "BLOCK", 8)
+    monkeypatch.setattr(op7, "PASS_ROWS", 100)
+    monkeypatch.setattr(op7, "PASS_PAIRS", 20)
+    monkeypatch.setattr(type(df), "mapInArrow", counted)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_components(df).collect()} == brute.near_components(texts)
+    assert len(seen) > 6 and max(seen) < sum(seen) / 2 and max(seen) < 3 * 2 * 160
+
+
 def test_sketch_distance_bounds_the_difference():
     rng = np.random.default_rng(4)
     for n, m, both in ((300, 500, 200), (10, 1000, 10), (64, 64, 63)):
